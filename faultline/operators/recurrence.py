@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.temporal import SGT, col, dtype, from_local, parse_hms, to_local
-from faultline.schemas import WEEKDAYS
+from faultline.schemas import FREQUENCIES, WEEKDAYS
 
 
 def _weekday(day: Column) -> Column:
@@ -26,51 +26,58 @@ def expand_recurrence(
 ) -> DataFrame:
     """One row per occurrence, `occurrence_start` and `occurrence_end` added.
 
-    Days between start and until are filtered inside the row before exploding. Without
-    weekdays, weekly takes the weekday of the start, monthly its day and yearly its day and
-    month (months lacking the day are skipped); with weekdays every such day counts.
-    `clip` = (from, to) drops days that cannot touch a search window before they exist.
+    Without weekdays, weekly takes the weekday of the start, monthly its day and yearly its
+    day and month (months lacking the day are skipped) and only those days are generated;
+    with weekdays every such day counts. Candidate days explode first and are filtered as
+    rows, which stays in generated code. `clip` = (from, to) drops days that cannot touch a
+    search window before they exist.
     """
     kind = dtype(df, start)
     tz = F.coalesce(F.col(time_zone), F.lit(SGT)) if time_zone else F.lit(SGT)
-    s, e = to_local(start, kind, tz), to_local(end, kind, tz)
-    opens, closes = parse_hms(window_start), parse_hms(window_end)
-    freq = col(frequency)
     by_day = F.col(days) if days else F.lit(None).cast("array<string>")
-    has_days = by_day.isNotNull() & (F.size(by_day) > 0)
-    first, last = F.to_date(s), F.to_date(e)
+    rows = df.select(
+        "*", to_local(start, kind, tz).alias("_s"), to_local(end, kind, tz).alias("_e"), tz.alias("_tz"),
+        parse_hms(window_start).alias("_opens"), parse_hms(window_end).alias("_closes"),
+        F.when(F.size(by_day) > 0, by_day).alias("_days"), col(frequency).alias("_freq"),
+        F.to_date(to_local(start, kind, tz)).alias("_first"),
+    )
+    low = F.col("_first")
+    high = F.to_date("_e")
     if clip is not None:
-        low, high = (to_local(c, kind, tz) for c in clip)
-        first = F.greatest(first, F.date_sub(F.to_date(low), 1))
-        last = F.least(last, F.to_date(high))
-
-    def matches(day: Column) -> Column:
-        same_day = F.day(day) == F.day(s)
-        by_rule = (
-            F.when(freq == "daily", F.lit(True))
-            .when(freq == "weekly", F.weekday(day) == F.weekday(s))
-            .when(freq == "monthly", same_day)
-            .when(freq == "yearly", same_day & (F.month(day) == F.month(s)))
-            .otherwise(F.lit(False))
-        )
-        wanted = F.when(has_days, F.array_contains(by_day, _weekday(day))).otherwise(by_rule)
-        begin = _at(day, opens)
-        keep = wanted & (begin >= s) & (begin <= e)
-        if excluded:
-            out = F.coalesce(F.array_contains(F.col(excluded), day), F.lit(False))
-            if exclude_match == "instant":
-                out = out & (opens == 0)
-            keep = keep & ~out
-        return keep
-
-    candidates = F.when(first <= last, F.filter(F.sequence(first, last), matches))
-    begin = _at(F.col("_day"), opens)
-    finish = _at(F.col("_day"), closes)
-    finish = F.when(closes <= opens, _at(F.date_add("_day", 1), closes)).otherwise(finish)
-    return df.select("*", F.explode(candidates).alias("_day")).select(
+        begin_, end_ = (to_local(c, kind, F.col("_tz")) for c in clip)
+        low = F.greatest(low, F.date_sub(F.to_date(begin_), 1))
+        high = F.least(high, F.to_date(end_))
+    rows = rows.withColumn("_low", low).withColumn("_high", high).filter("_low <= _high")
+    day_of = F.day("_first") - 1
+    months = lambda since, step: F.transform(
+        F.sequence(since, F.col("_high"), F.make_ym_interval(months=F.lit(step))), lambda m: F.date_add(m, day_of))
+    freq, plain = F.col("_freq"), F.col("_days").isNull()
+    phase = F.date_add("_first", (F.ceil(F.datediff("_low", "_first") / 7) * 7).cast("int"))
+    candidates = (
+        F.when(plain & (freq == "yearly"), F.when(F.trunc("_first", "month") <= F.col("_high"), months(F.trunc("_first", "month"), 12)))
+        .when(plain & (freq == "monthly"), months(F.trunc("_low", "month"), 1))
+        .when(plain & (freq == "weekly"), F.when(phase <= F.col("_high"), F.sequence(phase, F.col("_high"), F.make_dt_interval(days=F.lit(7)))))
+        .when(freq.isin(FREQUENCIES), F.sequence(F.col("_low"), F.col("_high")))
+    )
+    day = F.col("_day")
+    begin = _at(day, F.col("_opens"))
+    # a month without the day rolls over into the next one, where the day differs
+    right_day = F.when(plain & freq.isin("monthly", "yearly"), F.day(day) == F.day("_first")).otherwise(F.lit(True))
+    right_weekday = plain | F.array_contains("_days", _weekday(day))
+    keep = right_day & right_weekday & (begin >= F.col("_s")) & (begin <= F.col("_e"))
+    if clip is not None:
+        keep = keep & day.between(F.col("_low"), F.col("_high"))
+    if excluded:
+        out = F.coalesce(F.array_contains(F.col(excluded), day), F.lit(False))
+        if exclude_match == "instant":
+            out = out & (F.col("_opens") == 0)
+        keep = keep & ~out
+    overnight = F.col("_closes") <= F.col("_opens")
+    finish = _at(F.date_add(day, F.when(overnight, 1).otherwise(0)), F.col("_closes"))
+    return rows.select("*", F.explode(candidates).alias("_day")).filter(keep).select(
         *df.columns,
-        from_local(begin, kind, tz).alias("occurrence_start"),
-        from_local(finish, kind, tz).alias("occurrence_end"),
+        from_local(begin, kind, F.col("_tz")).alias("occurrence_start"),
+        from_local(finish, kind, F.col("_tz")).alias("occurrence_end"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,7 @@ from faultline.operators.ordered import first_per_group
 from faultline.operators.recurrence import flatten_periods
 
 DAY_US = 86_400_000_000
-LEVELS = 20  # 2^19 days is past any calendar interval
+MAX_PROBES = 500_000  # rows of a few longs each
 MILLI_US = 1_000
 
 
@@ -35,26 +36,32 @@ def overlap_join(
     Each left range goes to the level whose bucket width is at least its length, so it
     falls in one or two buckets however long it is; windows probe every level. A pair that
     meets in two buckets is kept in the first one only. Bounds are long columns; an open
-    left end is clipped to the last window.
+    left end is clipped to the last window. The number of probes is computed beforehand:
+    they are broadcast only below `MAX_PROBES`, else both sides shuffle by bucket.
     """
     ls, le = left_bounds
     ws, we = window_bounds
-    span = windows.agg(F.min(ws).alias("lo"), F.max(we).alias("hi")).first()  # one row
-    lo, hi = (span.lo, span.hi) if span.lo is not None else (1, 0)
+    length_ = F.col(we) - F.col(ws) + 1
+    span = windows.agg(F.min(ws).alias("lo"), F.max(we).alias("hi"), F.sum(length_).alias("total"), F.count(F.lit(1)).alias("n")).first()
+    lo, hi = (span.lo, span.hi) if span.n else (1, 0)
+    levels = max(0, math.ceil(math.log2(max(hi - lo + 1, 1) / base_us))) + 1
+    probes_n = 2 * (span.total or 0) / base_us + 2 * levels * span.n
     rows = left.withColumn("_s", F.greatest(F.col(ls), F.lit(lo))).withColumn(
         "_e", F.least(F.coalesce(F.col(le), F.lit(hi)), F.lit(hi))
     ).filter((F.col("_s") <= F.col("_e")) & (F.col(le).isNull() | (F.col(ls) <= F.col(le))))
     length = (F.col("_e") - F.col("_s") + 1) / F.lit(float(base_us))
     level = F.greatest(F.ceil(F.log2(length)), F.lit(0)).cast("int")
     rows = rows.withColumn("_level", level)
-    width = F.lit(base_us) * F.shiftleft(F.lit(1).cast("long"), F.col("_level"))
+    width = F.lit(base_us) * F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_level"))
     rows = rows.withColumn("_b0", F.floor(F.col("_s") / width)).withColumn(
         "_bucket", F.explode(F.sequence("_b0", F.floor(F.col("_e") / width)))
     )
-    probes = windows.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
+    probes = windows.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))))
     probes = probes.withColumn("_w0", F.floor(F.col(ws) / width)).withColumn(
         "_bucket", F.explode(F.sequence("_w0", F.floor(F.col(we) / width)))
     )
+    if probes_n <= MAX_PROBES:
+        probes = F.broadcast(probes)
     pairs = rows.join(probes, ["_level", "_bucket"])
     exact = (F.col("_s") <= F.col(we)) & (F.col(ws) <= F.col("_e"))
     once = F.col("_bucket") == F.greatest("_b0", "_w0")
@@ -75,12 +82,6 @@ def score_hits(hits: DataFrame) -> DataFrame:
     return hits.withColumn("score", score.cast("long")).withColumn("reasons", reasons).filter("score > 0")
 
 
-def _tagged(df: DataFrame, windows: DataFrame, tag: str) -> DataFrame:
-    return overlap_join(df, windows, ("_from", "_to"), ("_wfrom", "_wto")).select(
-        "window_id", "issue_id", F.lit(tag).alias("tag")
-    )
-
-
 def issues_in_window(
     issues: DataFrame, evidence: DataFrame, periods: DataFrame, windows: DataFrame,
     k: int = 25, tz: str = SGT,
@@ -95,19 +96,18 @@ def issues_in_window(
     bounds = windows.agg(F.min("start_at").alias("lo"), F.max("end_at").alias("hi")).first()
     date = F.try_to_timestamp(F.substring("issue_id", 1, 10), F.lit("yyyy-MM-dd")).cast("date")
     begin = micros(date_instant(date, tz))
-    by_date = issues.filter(date.isNotNull()).select(
-        "issue_id", begin.alias("_from"), (begin + DAY_US - 1).alias("_to")
-    )
-    at = micros("ts")
-    by_evidence = evidence.filter(F.col("ts").isNotNull()).select("issue_id", at.alias("_from"), at.alias("_to"))
+
+    def ranges(df: DataFrame, tag: str, start: Column, end: Column) -> DataFrame:
+        return df.select("issue_id", F.lit(tag).alias("tag"), start.alias("_from"), end.alias("_to"))
+
     clip = (F.lit(bounds.lo).cast("timestamp"), F.lit(bounds.hi).cast("timestamp")) if bounds.lo else None
-    by_period = flatten_periods(periods, clip=clip).select(
-        "issue_id", micros("start_at").alias("_from"), (micros("end_at") + MILLI_US - 1).alias("_to")
-    )
-    tagged = (
-        _tagged(by_date, w, "date").unionByName(_tagged(by_evidence, w, "evidence"))
-        .unionByName(_tagged(by_period, w, "period"))
+    at = micros("ts")
+    timed = (
+        ranges(issues.filter(date.isNotNull()), "date", begin, begin + DAY_US - 1)
+        .unionByName(ranges(evidence.filter(F.col("ts").isNotNull()), "evidence", at, at))
+        .unionByName(ranges(flatten_periods(periods, clip=clip), "period", micros("start_at"), micros("end_at") + MILLI_US - 1))
     )
+    tagged = overlap_join(timed, w, ("_from", "_to"), ("_wfrom", "_wto"))
     hits = tagged.groupBy("window_id", "issue_id").agg(
         *[F.count_if(F.col("tag") == t).alias(f"{t}_hits") for t in ("date", "evidence", "period")]
     )

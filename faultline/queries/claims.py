@@ -1 +1,269 @@
+"""Claims, impact and replay over the event and order tables."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from faultline.functions.text import entity_key
+from faultline.operators import claims as C
+from faultline.operators import diff
+from faultline.operators import replay as R
+from faultline.operators.impact import compute_impact, number_events, reconcile_periods
+from faultline.operators.state import bundle_state
+from faultline.queries.registry import minutes, query, sgt, sgt_text, sql_text
+from faultline.schemas import CLAIM_EFFECT, ENTITY, PERIOD, SCOPE
+
+
+def _null(kind):
+    return F.lit(None).cast(kind)
+
+
+def service(service_id):
+    return F.struct(F.lit("service").alias("type"), service_id.alias("service_id"), _null("string").alias("station_id"),
+                    _null("string").alias("line_id"), _null("string").alias("kind")).cast(ENTITY)
+
+
+def hint(kind, start, end, **more):
+    given = {"frequency": _null("string"), "days_of_week": _null("array<string>"), "window_start": _null("string"), "window_end": _null("string"),
+             "time_zone": _null("string"), "excluded_dates": _null("array<date>"), **more}
+    return F.struct(kind.alias("kind"), start.alias("start_at"), end.alias("end_at"), *[c.alias(n) for n, c in given.items()]).cast(PERIOD)
+
+
+def scope(kind, station=None):
+    return F.struct(F.lit(kind).alias("type"), _null("string").alias("from_station_id"), _null("string").alias("to_station_id"),
+                    (station if station is not None else _null("string")).alias("station_id")).cast(SCOPE)
+
+
+def event_claims(t):
+    """One claim per event: issue = user, evidence = event, service = event type."""
+    i = F.col("event_id")
+    start, end = sgt("ts"), sgt(F.col("ts") + minutes(F.floor("value")))
+    recurring = hint(F.lit("recurring"), start, sgt(F.col("ts") + F.expr("interval 20 days")), frequency=F.lit("daily"), window_start=F.lit("22:00:00"),
+                     window_end=F.lit("23:30:00"), time_zone=F.lit("Asia/Singapore"))
+    hints = (F.when(i % 50 == 49, recurring).when(i % 4 == 0, hint(F.lit("fixed"), start, F.when(i % 8 == 0, end)))
+             .when(i % 4 == 1, hint(F.lit("start-only"), start, _null("timestamp"))).when(i % 4 == 2, hint(F.lit("end-only"), _null("timestamp"), end)))
+    effect = F.struct(F.when(i % 5 < 2, F.struct(F.when(i % 5 == 0, "delay").otherwise("no-service").alias("kind"), F.when(i % 10 == 0, "PT10M").alias("duration"))).alias("service"),
+                      _null("struct<kind:string>").alias("facility")).cast(CLAIM_EFFECT)
+    scopes = F.when(i % 4 == 0, F.array(scope("service.whole"))).when(i % 4 == 1, F.array(scope("service.point", F.concat(F.lit("st"), i % 3))))
+    causes = F.when(i % 6 == 0, F.array(F.lit("signal.fault"))).when(i % 6 == 1, F.array(F.lit("power.fault")))
+    return t.events.select(
+        F.concat(F.lit("u"), "user_id").alias("issue_id"), F.concat(F.lit("e"), i).alias("evidence_id"), start.alias("evidence_ts"), F.lit(0).cast("long").alias("seq"),
+        service(F.col("event_type")).alias("entity"), effect.alias("effect"), scopes.alias("scopes"), _null("string").alias("status_signal"),
+        hints.alias("time_hints"), causes.alias("causes"), i.alias("ev_seq"))
+
+
+def event_issues(t):
+    k = F.col("user_id") % 3
+    return t.events.select("user_id").distinct().select(
+        F.concat(F.lit("u"), "user_id").alias("issue_id"), F.when(k == 0, "disruption").when(k == 1, "maintenance").otherwise("infra").alias("type"))
+
+
+_IMPACT_SQL = """WITH c AS (SELECT 'u' || user_id AS issue_id, 'service:' || event_type AS entity_key, event_id AS i, user_id % 3 = 0 AS disruption,
+  event_id % 50 = 49 OR event_id % 4 < 3 AS hinted, event_id % 50 = 49 OR event_id % 4 < 2 AS opening FROM events),
+g AS (SELECT *, hinted OR i > min(i) FILTER (opening) OVER (PARTITION BY issue_id, entity_key) AS can FROM c),
+a AS (
+  SELECT issue_id, entity_key, i, 'service_effects.set' AS type, CASE WHEN i % 5 = 0 THEN 'delay' ELSE 'no-service' END || coalesce(CASE WHEN i % 10 = 0 THEN 'PT10M' END, '') AS value
+  FROM g WHERE coalesce(can, false) AND i % 5 < 2
+  UNION ALL SELECT issue_id, entity_key, i, 'service_scopes.set', CASE WHEN i % 4 = 0 THEN 'service.whole' ELSE 'service.point' || 'st' || (i % 3) END FROM g WHERE coalesce(can, false) AND i % 4 < 2
+  UNION ALL SELECT issue_id, entity_key, i, 'causes.set', CASE WHEN i % 6 = 0 THEN 'signal.fault' ELSE 'power.fault' END FROM g WHERE (coalesce(can, false) OR NOT disruption) AND i % 6 < 2),
+l AS (SELECT *, lag(value) OVER (PARTITION BY issue_id, entity_key, type ORDER BY i) AS before FROM a)
+SELECT issue_id, entity_key, 'e' || i AS evidence_id, type, value FROM l WHERE before IS NULL OR before <> value"""
+
+
+@query("impact_attributes", _IMPACT_SQL)
+def impact_attributes(t):
+    """Effect, scope and cause events; periods, a fold, are in compute_impact."""
+    events = compute_impact(event_claims(t), event_issues(t)).filter("type <> 'periods.set'")
+    first = F.col("service_scopes")[0]
+    value = (F.when(F.col("type") == "causes.set", F.col("causes")[0])
+             .when(F.col("type") == "service_scopes.set", F.concat(first["type"], F.coalesce(first["station_id"], F.lit(""))))
+             .otherwise(F.concat("effect.kind", F.coalesce("effect.duration", F.lit("")))))
+    return events.select("issue_id", "entity_key", "evidence_id", "type", value.alias("value"))
+
+
+@query("compute_impact")
+def impact(t):
+    events = compute_impact(event_claims(t), event_issues(t))
+    return events.select("issue_id", "entity_key", "evidence_id", "type", F.to_json("periods").alias("periods"))
+
+
+@query("reconcile_periods")
+def periods(t):
+    return reconcile_periods(event_claims(t)).select("issue_id", "entity_key", "ev_seq", F.size("periods").alias("periods"))
+
+
+@query("reconcile_fixed", f"""
+WITH h AS (SELECT user_id, event_id, ts, CASE WHEN event_id % 97 <> 0 THEN ts + to_minutes(CAST(floor(value) AS BIGINT)) END AS te FROM events),
+r AS (SELECT *, coalesce(te, TIMESTAMP '9999-01-01') AS x FROM h),
+f AS (SELECT *, max(x) OVER (PARTITION BY user_id ORDER BY ts, x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r),
+g AS (SELECT *, sum(CASE WHEN reach >= ts THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, x) AS island FROM f)
+SELECT user_id, {sql_text('min(ts)')} AS start_at, CASE WHEN bool_or(te IS NULL) THEN NULL ELSE {sql_text('max(te)')} END AS end_at FROM g GROUP BY user_id, island""")
+def reconcile_fixed(t):
+    """With fixed hints in time order the last state is the union of all hints."""
+    end = F.when(F.col("event_id") % 97 != 0, sgt(F.col("ts") + minutes(F.floor("value"))))
+    rows = event_claims(t).select("issue_id", "evidence_id", "seq", "entity", "ev_seq").join(
+        t.events.select(F.col("event_id").alias("ev_seq"), "user_id", sgt("ts").alias("evidence_ts"), hint(F.lit("fixed"), sgt("ts"), end).alias("time_hints")), "ev_seq")
+    one = rows.withColumn("entity", service(F.lit("all"))).drop("user_id")
+    last = reconcile_periods(one).groupBy("issue_id").agg(F.max_by("periods", "ev_seq").alias("p"))
+    return last.select(F.substring("issue_id", 2, 20).cast("long").alias("user_id"), F.inline("p")).select(
+        "user_id", sgt_text("start_at").alias("start_at"), sgt_text("end_at").alias("end_at"))
+
+
+def event_log(t):
+    """An event log derived from the table: what compute_impact emits, numbered per issue."""
+    return number_events(compute_impact(event_claims(t), event_issues(t))).drop("entity_key", "ev_seq", "pos", "attr_pos")
+
+
+def event_evidence(t):
+    return t.events.select(F.concat(F.lit("u"), "user_id").alias("issue_id"), F.concat(F.lit("e"), "event_id").alias("evidence_id"),
+                           F.col("event_id").alias("line_no"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+08:00'").alias("ts"), F.lit("").alias("text"))
+
+
+@query("replay")
+def replay(t):
+    """Replay the derived log from its evidence and compare per issue."""
+    log = event_log(t)
+    again = R.replay(event_issues(t), event_evidence(t), log)
+    return diff.replay_summary(log, again)
+
+
+_LOG_SQL = """WITH l AS (SELECT user_id, event_id, ts, value, event_id % 4 AS k, ts + to_minutes(CAST(floor(value) - 20 AS BIGINT)) AS te,
+  ts + to_minutes(CAST(event_id % 11 - 5 AS BIGINT)) AS s FROM events)"""
+
+
+def violating_log(t):
+    """Events as period setters whose bounds stray before and after the event."""
+    start, end = F.col("ts") + minutes(F.col("event_id") % 11 - 5), F.col("ts") + minutes(F.floor("value") - 20)
+    k = F.col("event_id") % 4
+    period = hint(F.when(k == 3, "recurring").otherwise("fixed"), sgt(start), F.when(k != 1, sgt(end)))
+    return t.events.select(
+        F.concat(F.lit("u"), "user_id").alias("issue_id"), F.concat(F.lit("e"), F.floor(F.col("event_id") / 2)).alias("evidence_id"), F.col("event_id").alias("seq"),
+        F.when(F.col("event_id") % 3 == 0, "service_effects.set").otherwise("periods.set").alias("type"), service(F.col("event_type")).alias("entity"), sgt("ts").alias("ts"),
+        F.array(period).alias("periods"), F.struct(F.when(F.col("event_id") % 6 == 0, "no-service").otherwise("delay").alias("kind")).alias("effect"))
+
+
+@query("period_violations", _LOG_SQL + """
+SELECT 'u' || user_id AS issue_id, event_id AS seq FROM l WHERE event_id % 3 <> 0 AND CASE WHEN k = 1 THEN s > ts ELSE te <= s END""")
+def period_violations(t):
+    return R.period_violations(violating_log(t)).select("issue_id", "seq")
+
+
+@query("select_targets", _LOG_SQL + """
+SELECT DISTINCT 'u' || user_id AS issue_id, 'e' || (event_id // 2) AS evidence_id FROM l WHERE event_id % 3 <> 0 AND CASE WHEN k = 1 THEN s > ts ELSE te <= s END""")
+def select_targets(t):
+    log = violating_log(t)
+    evidence = log.select("issue_id", "evidence_id", F.lit("").alias("text"), F.lit("").alias("ts")).distinct()
+    return R.select_targets(evidence, log, "period-violations")
+
+
+@query("future_no_service", """WITH l AS (SELECT user_id, event_id // 3 AS ev, event_id % 3 AS k, event_id, ts, value FROM events),
+e AS (SELECT user_id, ev, min(ts) AS at FROM l GROUP BY 1, 2),
+f AS (SELECT user_id, ev, bool_or(k = 0) AS a, bool_or(k = 1 AND event_id % 2 = 0 AND ts > at) AS b FROM l JOIN e USING (user_id, ev) GROUP BY 1, 2)
+SELECT 'u' || user_id AS issue_id, 'e' || ev AS evidence_id FROM f WHERE a AND b""")
+def future_no_service(t):
+    i = F.col("event_id")
+    rows = t.events.select(
+        F.concat(F.lit("u"), "user_id").alias("issue_id"), F.concat(F.lit("e"), F.floor(i / 3)).alias("evidence_id"), service(F.lit("s")).alias("entity"), "ts",
+        F.when(i % 3 == 0, "service_effects.set").when(i % 3 == 1, "periods.set").otherwise("causes.set").alias("type"), F.struct(F.lit("no-service").alias("kind")).alias("effect"),
+        F.array(hint(F.lit("fixed"), sgt("ts"), F.when(i % 2 == 0, sgt(F.col("ts") + F.expr("interval 1 hour"))))).alias("periods"))
+    evidence = rows.groupBy("issue_id", "evidence_id").agg(F.date_format(F.min("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+08:00'").alias("ts"))
+    return R.future_no_service(rows, evidence)
+
+
+# --- claims over line items: one order's items are claims in line order ---------------
+
+
+@query("merge_claims", """
+SELECT l_orderkey, arg_max(l_returnflag, l_linenumber * 100000000 + l_partkey) FILTER (l_quantity > 10) AS effect,
+  arg_max(l_linestatus, l_linenumber * 100000000 + l_partkey) FILTER (l_discount > 0.02) AS scope FROM lineitem GROUP BY l_orderkey""")
+def merge_claims(t):
+    rows = t.lineitem.select("l_orderkey", (F.col("l_linenumber").cast("long") * 100000000 + F.col("l_partkey")).alias("seq"),
+                             F.when(F.col("l_quantity") > 10, F.col("l_returnflag")).alias("effect"), F.when(F.col("l_discount") > 0.02, F.col("l_linestatus")).alias("scope"))
+    return C.merge_claims(rows, ["l_orderkey"], "seq", ["effect", "scope"])
+
+
+_SVC_SQL = """s AS (SELECT p_partkey, p_partkey // 8 AS line, TIMESTAMP '1996-01-01' AS a, CASE WHEN p_partkey % 3 = 0 THEN TIMESTAMP '2000-01-01' END AS z FROM part),
+c AS (SELECT l_suppkey, l_partkey, l_returnflag, l_shipdate, TIMESTAMP '1999-06-01' + to_days(CAST(l_suppkey % 400 AS INTEGER)) AS at FROM lineitem)"""
+
+
+def part_services(t):
+    """Parts as services, eight to a line, every third one retired in 2000."""
+    at = lambda s: sgt(F.to_timestamp_ntz(F.lit(s)))
+    return t.part.select(
+        F.concat(F.lit("p"), "p_partkey").alias("service_id"), F.concat(F.lit("L"), F.floor(F.col("p_partkey") / 8)).alias("line_id"),
+        F.array(F.struct(at("1996-01-01 00:00:00").alias("start_at"), F.when(F.col("p_partkey") % 3 == 0, at("2000-01-01 00:00:00")).alias("end_at"))).alias("revisions"))
+
+
+def supplier_claims(t):
+    """A supplier's items as the claims of one evidence, the return flag as the effect."""
+    at = sgt(F.to_timestamp_ntz(F.lit("1999-06-01 00:00:00")) + F.make_dt_interval(days=(F.col("l_suppkey") % 400).cast("int")))
+    return t.lineitem.select(
+        F.lit("all").alias("issue_id"), F.concat(F.lit("s"), "l_suppkey").alias("evidence_id"), at.alias("evidence_ts"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), service(F.concat(F.lit("p"), "l_partkey")).alias("entity"),
+        F.struct(F.struct(F.col("l_returnflag").alias("kind"), _null("string").alias("duration")).alias("service"), _null("struct<kind:string>").alias("facility")).cast(CLAIM_EFFECT).alias("effect"),
+        _null(f"array<{SCOPE}>").alias("scopes"), _null("string").alias("status_signal"), _null(PERIOD).alias("time_hints"), _null("array<string>").alias("causes"))
+
+
+@query("filter_inactive", f"""WITH {_SVC_SQL}
+SELECT l_suppkey AS supplier, count(*) AS kept FROM c JOIN s ON p_partkey = l_partkey WHERE a <= at AND (z IS NULL OR at < z) GROUP BY 1""")
+def filter_inactive(t):
+    kept = C.filter_inactive(supplier_claims(t), part_services(t))
+    return kept.groupBy(F.substring("evidence_id", 2, 20).cast("long").alias("supplier")).agg(F.count(F.lit(1)).alias("kept"))
+
+
+@query("complete_siblings", f"""WITH {_SVC_SQL},
+x AS (SELECT l_suppkey, line, l_partkey, l_returnflag, at FROM c JOIN s ON p_partkey = l_partkey WHERE a <= at AND (z IS NULL OR at < z)),
+g AS (SELECT l_suppkey, line, any_value(at) AS at, min(l_returnflag) AS flag FROM x GROUP BY 1, 2 HAVING count(DISTINCT l_partkey) >= 2 AND count(DISTINCT l_returnflag) = 1)
+SELECT g.l_suppkey AS supplier, s.p_partkey AS part, flag FROM g JOIN s ON s.line = g.line AND s.a <= g.at AND (s.z IS NULL OR g.at < s.z)
+WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.l_suppkey = g.l_suppkey AND x.l_partkey = s.p_partkey)""")
+def complete_siblings(t):
+    out = C.complete_siblings(supplier_claims(t), part_services(t)).filter(F.col("seq") >= C.SYNTHETIC_SEQ)
+    return out.select(F.substring("evidence_id", 2, 20).cast("long").alias("supplier"), F.substring("entity.service_id", 2, 20).cast("long").alias("part"),
+                      F.col("effect.service.kind").alias("flag"))
+
+
+@query("normalize_claims", f"""WITH {_SVC_SQL},
+x AS (SELECT l_suppkey, line, l_partkey, l_returnflag, at FROM c JOIN s ON p_partkey = l_partkey WHERE a <= at AND (z IS NULL OR at < z)),
+g AS (SELECT l_suppkey, line, any_value(at) AS at, min(l_returnflag) AS flag FROM x GROUP BY 1, 2 HAVING count(DISTINCT l_partkey) >= 2 AND count(DISTINCT l_returnflag) = 1),
+n AS (SELECT DISTINCT l_suppkey, l_partkey, l_returnflag FROM x UNION SELECT g.l_suppkey, s.p_partkey, flag FROM g JOIN s ON s.line = g.line AND s.a <= g.at AND (s.z IS NULL OR g.at < s.z))
+SELECT l_suppkey AS supplier, count(*) AS claims, count(*) AS anchored FROM n GROUP BY 1""")
+def normalize_claims(t):
+    """The whole normalisation: inactive services out, siblings in, anchors set, repeats out."""
+    out = C.normalize_for_evidence(supplier_claims(t), part_services(t))
+    return out.groupBy(F.substring("evidence_id", 2, 20).cast("long").alias("supplier")).agg(
+        F.count(F.lit(1)).alias("claims"), F.count_if(F.col("time_hints.kind") == "start-only").alias("anchored"))
+
+
+@query("clamp_hints", f"""SELECT event_id, {sql_text("CASE WHEN event_id % 97 = 0 AND event_id % 2 = 0 THEN ts ELSE ts + INTERVAL 1 HOUR END")} AS start_at FROM events""")
+def clamp_hints(t):
+    end = F.when(F.col("event_id") % 97 != 0, sgt(F.col("ts") + F.expr("interval 2 hours")))
+    kind = F.when((F.col("event_id") % 97 == 0) & (F.col("event_id") % 2 == 1), "start-only").otherwise("fixed")
+    rows = t.events.select("event_id", sgt("ts").alias("evidence_ts"), hint(kind, sgt(F.col("ts") + F.expr("interval 1 hour")), end).alias("time_hints"))
+    return C.clamp_hints(rows).select("event_id", sgt_text("time_hints.start_at").alias("start_at"))
+
+
+@query("issue_date", f"""
+WITH h AS (SELECT user_id, min(event_id) FILTER (event_id % 4 < 3 OR event_id % 50 = 49) AS f, min(ts) AS c FROM events GROUP BY 1)
+SELECT 'u' || h.user_id AS issue_id, {sql_text("CASE WHEN f % 4 = 0 OR f % 50 = 49 THEN e.ts ELSE c END")} AS issue_at FROM h LEFT JOIN events e ON e.event_id = f""")
+def issue_date(t):
+    rows = event_claims(t).withColumn("seq", F.col("ev_seq")).withColumn("evidence_id", F.lit("all")).withColumn("created_at", F.col("evidence_ts"))
+    return C.issue_date(rows).select("issue_id", sgt_text("issue_at").alias("issue_at"))
+
+
+@query("reconstruct_claims", """
+WITH l AS (SELECT user_id, event_id // 3 AS ev, event_type, event_id, event_id % 3 AS k, value FROM events)
+SELECT 'u' || user_id AS issue_id, 'e' || ev AS evidence_id, 'service:' || event_type AS entity_key, count(*) FILTER (k = 0) > 0 AS has_effect,
+  CASE WHEN count(*) FILTER (k = 1) = 0 THEN NULL WHEN arg_min(event_id, event_id) FILTER (k = 1) % 2 = 0 THEN 'fixed' ELSE 'recurring' END AS hint,
+  arg_min('c' || event_id, event_id) FILTER (k = 2) AS cause FROM l GROUP BY user_id, ev, event_type""".replace(
+    "count(*) FILTER (k = 0) > 0 AS has_effect", "CAST(count(*) FILTER (k = 0) > 0 AS INTEGER) AS has_effect"))
+def reconstruct_claims(t):
+    i = F.col("event_id")
+    rows = t.events.select(
+        F.concat(F.lit("u"), "user_id").alias("issue_id"), F.concat(F.lit("e"), F.floor(i / 3)).alias("evidence_id"), i.alias("seq"), service(F.col("event_type")).alias("entity"),
+        F.when(i % 3 == 0, "service_effects.set").when(i % 3 == 1, "periods.set").otherwise("causes.set").alias("type"),
+        F.struct(F.lit("delay").alias("kind"), _null("string").alias("duration")).alias("effect"), _null(f"array<{SCOPE}>").alias("service_scopes"),
+        F.array(hint(F.when(i % 2 == 0, "fixed").otherwise("recurring"), sgt("ts"), _null("timestamp"))).alias("periods"), F.array(F.concat(F.lit("c"), i)).alias("causes"))
+    state = bundle_state(rows.withColumn("event_id", F.lit("")).filter("type = 'none'"))
+    out = R.reconstruct_claims(rows, state)
+    return out.select("issue_id", "evidence_id", entity_key("entity").alias("entity_key"), F.col("effect.service.kind").isNotNull().cast("int").alias("has_effect"),
+                      F.col("time_hints.kind").alias("hint"), F.col("causes")[0].alias("cause"))

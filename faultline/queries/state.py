@@ -95,7 +95,11 @@ def state_by_stream(t):
     if not shared:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     work = f"{shared}/faultline-stream-{uuid.uuid4().hex}"
-    log = spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events.parquet")
+    events = t.events
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{t.folder}/events.parquet")
+    one_file = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isFile()
+    reader = spark.readStream.schema(events.schema)
+    log = reader.option("pathGlobFilter", "events.parquet").parquet(t.folder) if one_file else reader.parquet(f"{t.folder}/events.parquet")
     state = streaming_state(log.withColumn("id", F.col("event_id")), ["user_id"], "event_type", "event_id", ["value", "id"])
     write_state(state, f"{work}/state", f"{work}/checkpoint", ["user_id"], "event_type", "event_id").awaitTermination()
     return read_state(spark.read.parquet(f"{work}/state"), ["user_id"], "event_type", "event_id", ["value"]).select(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: int | str = 8, partitions: int = 8, **conf: str) -> SparkSession:
@@ -21,3 +24,10 @@ def local_session(cores: int | str = 8, partitions: int = 8, **conf: str) -> Spa
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def small_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """Literal rows as a local relation: planned with its true size, read without a Python task."""
+    schema = StructType.fromDDL(ddl)
+    table = pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=to_arrow_schema(schema))
+    return spark.createDataFrame(table, schema)
