@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from faultline.lineage import cut_lineage
-from faultline.operators.ordered import CHUNK, HOT, HOT_ROWS, cut
+from faultline.operators.ordered import CHUNK, HOT, HOT_ROWS, apply_cuts, find_cuts
 
 Step = Callable[[object, list[dict]], tuple[object, list[dict]]]
 STATE, FINAL = "_state", "_final"
@@ -72,15 +72,18 @@ def _streamer(keys: Sequence[str], order: str, step: Step, empty, schema: pa.Sch
 
 def ordered_fold(
     rows: DataFrame, keys: Sequence[str], order: Sequence[str], step: Step, empty, out: StructType,
-    initial: DataFrame | None = None, hot_rows: int | None = HOT_ROWS,
+    initial: DataFrame | None = None, hot_rows: int | None = HOT_ROWS, cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Run `step(state, rows)` over the rows of each key in order; rows tied on order[0] go together.
 
     States must survive JSON. `initial` holds (keys, `_state`) rows for keys that do not start
-    from `empty`. Output columns: keys and `out`.
+    from `empty`. `cuts` are borders already found for these keys and this order. Output
+    columns: keys and `out`.
     """
     keyed = rows.filter(F.col(order[0]).isNotNull())
-    tagged = cut(keyed, keys, order[0], hot_rows).withColumn(STATE, F.lit(None).cast("string"))
+    if cuts is None:
+        cuts = find_cuts(keyed, keys, order[0], hot_rows)
+    tagged = apply_cuts(keyed, keys, order[0], cuts).withColumn(STATE, F.lit(None).cast("string"))
     key_fields = [rows.schema[k] for k in keys]
     full = StructType([
         *[StructField(f.name, f.dataType, True) for f in key_fields], *out.fields,
@@ -104,7 +107,7 @@ def ordered_fold(
 
     begin = tagged if initial is None else tagged.unionByName(
         start_rows(initial.withColumn(HOT, F.lit(False))))
-    if hot_rows is not None and not tagged.filter(HOT).isEmpty():
+    if cuts is not None:
         hot = tagged.filter(HOT)
         if initial is not None:
             hot_keys = hot.select(*keys).distinct()

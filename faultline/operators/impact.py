@@ -114,7 +114,8 @@ def hint_columns(tz: str = SGT) -> list[Column]:
 
 
 def reconcile_periods(
-    claims: DataFrame, state: DataFrame | None = None, tz: str = SGT, hot_rows: int | None = ordered.HOT_ROWS
+    claims: DataFrame, state: DataFrame | None = None, tz: str = SGT, hot_rows: int | None = ordered.HOT_ROWS,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """C6 over whole logs: (issue_id, entity_key, ev_seq, periods) where an evidence changed them.
 
@@ -129,7 +130,7 @@ def reconcile_periods(
             *ENTITY_KEY, F.to_json(F.transform("periods", to_fold_period), {"ignoreNullFields": "false"}).alias("_state"))
         initial = initial.join(hints.select(*ENTITY_KEY).distinct(), ENTITY_KEY, "left_semi")
     out = T._parse_datatype_string(f"ev_seq bigint, periods array<{FOLD_PERIOD}>")
-    folded = ordered_fold(hints, ENTITY_KEY, ["ev_seq", "seq"], _period_step, [], out, initial, hot_rows)
+    folded = ordered_fold(hints, ENTITY_KEY, ["ev_seq", "seq"], _period_step, [], out, initial, hot_rows, cuts)
     return folded.withColumn("periods", F.transform("periods", from_fold_period))
 
 
@@ -147,6 +148,8 @@ def compute_impact(
     Output: event columns with (ev_seq, pos, attr_pos) as the order of emission.
     """
     keyed = claims.withColumn("entity_key", entity_key("entity"))
+    cuts = ordered.find_cuts(keyed, ENTITY_KEY, "ev_seq", hot_rows)  # once, for windows and fold
+    hot_rows = None
     hint = F.col("time_hints.kind")
     merged = keyed.groupBy(*ENTITY_KEY, "ev_seq").agg(
         F.min("evidence_id").alias("evidence_id"), F.min("evidence_ts").alias("ts"), F.max_by("entity", "seq").alias("entity"),
@@ -187,13 +190,14 @@ def compute_impact(
         wanted = state.join(merged.select(*ENTITY_KEY).distinct(), ENTITY_KEY, "left_semi")
         values = values.unionByName(wanted.select(*ENTITY_KEY, F.lit(-1).cast("long").alias("ev_seq"), F.inline(held)))
     keys = [*ENTITY_KEY, "attribute"]
-    marked = ordered.previous(ordered.cut(values, keys, "ev_seq", hot_rows), keys, ["ev_seq"], "value", "_before")
+    rows = ordered.apply_cuts(values, ENTITY_KEY, "ev_seq", cuts)
+    marked = ordered.previous(rows, keys, ["ev_seq"], "value", "_before")
     unset = F.coalesce(F.size("value.scopes"), F.lit(-1)) == 0
     unset = unset | (F.coalesce(F.size("value.causes"), F.lit(-1)) == 0)
     differs = F.when(F.col("_before").isNull(), ~unset).otherwise(~F.col("value").eqNullSafe(F.col("_before")))
     emitted = marked.filter((F.col("ev_seq") >= 0) & differs).select(
         *ENTITY_KEY, "ev_seq", "attribute", "value.effect", "value.scopes", "value.causes", null(f"array<{PERIOD}>").alias("periods"))
-    moved = reconcile_periods(claims, state, tz, hot_rows).select(
+    moved = reconcile_periods(claims, state, tz, hot_rows, cuts).select(
         *ENTITY_KEY, "ev_seq", F.lit("periods").alias("attribute"), null(EFFECT).alias("effect"), null(s_t).alias("scopes"),
         null(c_t).alias("causes"), "periods")
     facts = merged.select(*ENTITY_KEY, "ev_seq", "evidence_id", "ts", "entity", "pos")

@@ -91,34 +91,45 @@ def edge_sources(pairs: DataFrame, a: str, b: str, cols: Sequence[str]) -> DataF
     return pairs.select(pair_key(a, b).alias("edge"), *cols, F.col(a).alias("from_id"), F.col(b).alias("to_id"))
 
 
-def topology_at(services: DataFrame, stations: DataFrame, at: Column) -> dict[str, DataFrame]:
-    """Lines, revisions, stations and edges in force at `at`, with code-only and path-only stations."""
-    stops = service_stops(services).filter(valid_at("start_at", "end_at", at))
-    codes = station_codes(stations).filter(valid_at("start_at", "end_at", at)).select("station_id").distinct()
-    on_path = stops.select("station_id").distinct()
-    pairs = adjacent_pairs(stops, ["service_id", "rev_pos"], "pos", "station_id")
+def topology(stops: DataFrame, codes: DataFrame, at: Column) -> dict[str, DataFrame]:
+    """N1 on stop and code tables: lines, revisions, stations and edges in force at `at`,
+    with code-only and path-only stations.
+
+    stops as `service_stops`, codes as `station_codes`.
+    """
+    live = stops.filter(valid_at("start_at", "end_at", at))
+    coded = codes.filter(valid_at("start_at", "end_at", at)).select("station_id").distinct()
+    on_path = live.select("station_id").distinct()
+    pairs = adjacent_pairs(live, ["service_id", "rev_pos"], "pos", "station_id")
     return {
-        "lines": stops.select("line_id").distinct(),
-        "revisions": stops.select("service_id", "line_id", "revision_id", "start_at", "end_at").distinct(),
+        "lines": live.select("line_id").distinct(),
+        "revisions": live.select("service_id", "line_id", "rev_pos", "start_at", "end_at").distinct(),
         "stations": on_path,
-        "code_only": codes.join(on_path, "station_id", "left_anti"),
-        "path_only": on_path.join(codes, "station_id", "left_anti"),
+        "code_only": coded.join(on_path, "station_id", "left_anti"),
+        "path_only": on_path.join(coded, "station_id", "left_anti"),
         "edges": edges(pairs, "station_id", "next_station_id", ["service_id", "rev_pos", "pos"]),
-        "edge_sources": edge_sources(pairs, "station_id", "next_station_id", ["service_id", "line_id", "revision_id"]),
+        "edge_sources": edge_sources(pairs, "station_id", "next_station_id", ["service_id", "line_id", "rev_pos"]),
     }
 
 
-def topology_in_month(services: DataFrame, month: str | Column) -> DataFrame:
+def topology_at(services: DataFrame, stations: DataFrame, at: Column) -> dict[str, DataFrame]:
+    """N1 on documents."""
+    return topology(service_stops(services), station_codes(stations), at)
+
+
+def _month(df: DataFrame, month: str | Column) -> DataFrame:
+    return df.filter(in_month(F.col("start_at").cast("timestamp_ntz"), F.col("end_at").cast("timestamp_ntz"), month))
+
+
+def topology_in_month(stops: DataFrame, month: str | Column) -> DataFrame:
     """Edges per line of revisions that touch the month."""
-    stops = service_stops(services).filter(in_month(F.col("start_at").cast("timestamp_ntz"), F.col("end_at").cast("timestamp_ntz"), month))
-    pairs = adjacent_pairs(stops, ["service_id", "rev_pos"], "pos", "station_id")
+    pairs = adjacent_pairs(_month(stops, month), ["service_id", "rev_pos"], "pos", "station_id")
     return edges(pairs, "station_id", "next_station_id", ["service_id", "rev_pos", "pos"], ["line_id"])
 
 
-def active_codes(stations: DataFrame, month: str | Column) -> DataFrame:
+def active_codes(codes: DataFrame, month: str | Column) -> DataFrame:
     """First code per (station, line) that is valid in the month."""
-    codes = station_codes(stations).filter(in_month(F.col("start_at").cast("timestamp_ntz"), F.col("end_at").cast("timestamp_ntz"), month))
-    return codes.groupBy("station_id", "line_id").agg(F.min_by("code", "pos").alias("code"))
+    return _month(codes, month).groupBy("station_id", "line_id").agg(F.min_by("code", "pos").alias("code"))
 
 
 def stations_at(stations: DataFrame, at: Column) -> DataFrame:
@@ -186,6 +197,7 @@ def shortest_paths(
     is reached, so their number is the graph's diameter. Columns: keys, source, node, hops, path.
     """
     k = [*keys, "source", "node"]
+    neighbours = cut_lineage(neighbours)  # read by every round
     frontier = sources.select(*keys, F.col("source"), F.col("source").alias("node"), F.lit(0).alias("hops"), F.array("source").alias("path")).distinct()
     reached = frontier = cut_lineage(frontier)
     hops = 0
@@ -247,6 +259,7 @@ def orient_trunks(trunks: DataFrame, reference_stops: DataFrame, line: str = "li
 
 def components(near: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Connected components by smallest id: labels hop to neighbours until none changes."""
+    near = cut_lineage(near)  # read by every round
     labels = cut_lineage(near.select(*keys, "node").distinct().withColumn("component", F.col("node")))
     while True:
         offered = near.join(labels, [*keys, "node"]).select(*keys, F.col("neighbour").alias("node"), "component")
@@ -286,7 +299,8 @@ def line_order(line_edges: DataFrame, reference_stops: DataFrame) -> DataFrame:
     into branches once the trunk is removed; every branch is reached from the first trunk
     station next to it and walked on its own, so no task holds more than one branch.
     """
-    trunks = orient_trunks(line_trunks(line_edges), reference_stops)
+    line_edges = cut_lineage(line_edges)
+    trunks = cut_lineage(orient_trunks(line_trunks(line_edges), reference_stops))
     spine = trunks.select("line_id", F.posexplode("trunk").alias("trunk_pos", "station_id"))
     near = both_ways(line_edges, "from_id", "to_id", ["line_id"])
     on_trunk = spine.select("line_id", F.col("station_id").alias("node"), "trunk_pos")

@@ -5,6 +5,9 @@ therefore cut into ranges of their order column; windows run per (key, range) an
 what a range needs from its neighbours (last value, running maximum, row count) is
 taken from a summary with one row per range. Ordinary keys are never cut and see a
 plain window. Results are exactly those of the window over the whole key.
+
+Hot keys are looked for by one counting job over the key columns when the operator
+is called. Usually there are none, and the plan is then the plain window.
 """
 
 from __future__ import annotations
@@ -15,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from faultline.lineage import cut_lineage
+
 HOT_ROWS = 2_000_000  # a key with more rows than this is cut
 RANGES = 1024  # cuts per hot key
 MAX_HOT = 500  # hot keys cut; any further key holds at most 1/500 of the rows
@@ -36,26 +41,39 @@ def _number(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def cut(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Add `_hot` and `_chunk`; rows that tie on `order` always share a chunk."""
+def find_cuts(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int | None = HOT_ROWS) -> DataFrame | None:
+    """Range borders of the hot keys (at most MAX_HOT x RANGES numbers), or None without hot keys."""
     if hot_rows is None:
-        return df.withColumn(HOT, F.lit(False)).withColumn(CHUNK, F.lit(0))
+        return None
     renamed = [F.col(k).alias(k + "_h") for k in keys]
     hot = (
         df.groupBy(*renamed).agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(MAX_HOT)
     )
+    found = hot.collect()  # at most MAX_HOT keys
+    if not found:
+        return None
+    hot = df.sparkSession.createDataFrame(found, hot.schema)
     rows = df.select(*keys, _number(df, order).alias("_o"))
-    rows = rows.join(F.broadcast(hot), _same(rows, hot, keys, "_h"))  # at most MAX_HOT rows
+    rows = rows.join(F.broadcast(hot), _same(rows, hot, keys, "_h"))
     points = [i / RANGES for i in range(1, RANGES)]
-    cuts = rows.groupBy(*renamed).agg(F.array_distinct(F.percentile_approx("_o", points)).alias("_cuts"))
-    out = df.join(F.broadcast(cuts), _same(df, cuts, keys, "_h"), "left")  # MAX_HOT x RANGES numbers
+    return cut_lineage(rows.groupBy(*renamed).agg(F.array_distinct(F.percentile_approx("_o", points)).alias("_cuts")))
+
+
+def apply_cuts(df: DataFrame, keys: Sequence[str], order: str, cuts: DataFrame | None) -> DataFrame:
+    """Add `_hot` and `_chunk`; rows that tie on `order` always share a chunk."""
+    if cuts is None:
+        return df.withColumn(HOT, F.lit(False)).withColumn(CHUNK, F.lit(0))
+    out = df.join(F.broadcast(cuts), _same(df, cuts, keys, "_h"), "left")
     at = _number(df, order)
     return out.select(
-        *df.columns,
-        F.col("_cuts").isNotNull().alias(HOT),
-        F.coalesce(F.size(F.filter("_cuts", lambda c: c < at)), F.lit(0)).alias(CHUNK),
-    ).withColumn(CHUNK, F.when(F.col(HOT), F.col(CHUNK)).otherwise(0))
+        *df.columns, F.col("_cuts").isNotNull().alias(HOT),
+        F.when(F.col("_cuts").isNotNull(), F.size(F.filter("_cuts", lambda c: c < at))).otherwise(0).alias(CHUNK),
+    )
+
+
+def cut(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    return apply_cuts(df, keys, order, find_cuts(df, keys, order, hot_rows))
 
 
 def _attach(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:

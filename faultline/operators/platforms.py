@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.temporal import valid_at
+from faultline.lineage import cut_lineage
 from faultline.operators.network import service_stops, services_towards, station_codes
 
 
@@ -101,6 +102,7 @@ def infer_platforms(observations: DataFrame, net: dict[str, DataFrame], lines: D
     The first skip reason that holds is one ordered `when` over aggregates per (station, line).
     """
     resolved, errors = resolve_observations(observations, net, lines, as_of)
+    resolved = cut_lineage(resolved)  # read by half a dozen results
     mapping = resolved.groupBy("service_id").agg(F.min("platform_label").alias("label"))
     observed = merge_observations(resolved)
     _, _, stops = _active(net, as_of)
@@ -108,7 +110,7 @@ def infer_platforms(observations: DataFrame, net: dict[str, DataFrame], lines: D
     stops = stops.join(ends, "service_id")
     serving = stops.groupBy("line_id", "station_id", "service_id").agg(
         F.count(F.lit(1)).alias("_times"), F.bool_or((F.col("pos") == F.col("_lo")) | (F.col("pos") == F.col("_hi"))).alias("_end"))
-    serving = serving.join(mapping, "service_id", "left")
+    serving = cut_lineage(serving.join(mapping, "service_id", "left"))
     codes = net["codes"].filter(valid_at("start_at", "end_at", as_of))
     per_station = codes.groupBy("station_id").agg(F.count(F.lit(1)).alias("_codes"))
     wanted = codes.select("station_id", "line_id").distinct().join(observations.select("line_id").distinct(), "line_id", "left_semi").join(per_station, "station_id")

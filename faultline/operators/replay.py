@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from faultline.functions.temporal import SGT, micros, parse_instant
 from faultline.functions.text import entity_key
+from faultline.lineage import cut_lineage
 from faultline.operators import ordered
 from faultline.operators.claims import _active, clamp_hints, normalize_for_evidence
 from faultline.operators.fold import ordered_fold
@@ -285,10 +286,11 @@ def replay(
 ) -> DataFrame:
     """C11 and, with `fresh` claims, C12: the event log the current rules give from scratch.
 
-    Events stay joined to evidence, so events without evidence drop out. Ids of equal old
+    The claims the log stands for are written out between the two folds, so the first is not
+    run again by every later job. Events stay joined to evidence, so events without evidence drop out. Ids of equal old
     events can be taken over with `diff.preserve_ids`.
     """
-    claims = claims_from_log(evidence, impact, services, fresh, tz, hot_rows)
+    claims = cut_lineage(claims_from_log(evidence, impact, services, fresh, tz, hot_rows))
     return compute_impact(claims, issues, None, tz, hot_rows)
 
 

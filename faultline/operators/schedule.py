@@ -60,18 +60,27 @@ def resolve_timing(stops: DataFrame, timing: DataFrame, calendars: Sequence[str]
     return rows.withColumn("_t", choice).select(*stops.columns, "calendar", "_t.source_calendar", "_t.first_train", "_t.last_train")
 
 
-def boundary_windows(start: Column, end: Column, covers: Column, bounds: Column | None = None) -> Column:
-    """Consecutive windows between the distinct cut points of [start, end) and its covers.
+def keep_computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once per row.
 
-    `covers` is an array of structs whose first fields are s and e. Each window carries the
+    Stacked projections are merged by the optimizer, which would copy an array expression
+    into every lambda that reads it; a one-element generator keeps them apart.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def boundary_windows(cuts: str, covers: str) -> Column:
+    """Consecutive windows between the cut points in `cuts`, sorted and distinct.
+
+    `covers` is an array of structs whose first fields are s and e. Each window carries its
     covering elements, so more than one is visible to the caller as an overlap.
     """
-    cuts = bounds if bounds is not None else F.array_sort(F.array_distinct(F.concat(
-        F.array(start, end), F.transform(covers, lambda c: c["s"]), F.transform(covers, lambda c: c["e"]))))
-    return F.transform(F.sequence(F.lit(1), F.size(cuts) - 1), lambda i: F.struct(
-        F.element_at(cuts, i).alias("s"), F.element_at(cuts, i + 1).alias("e"),
-        F.filter(covers, lambda c: (c["s"] <= F.element_at(cuts, i)) & (c["e"] >= F.element_at(cuts, i + 1))).alias("cover"),
-    ))
+    pairs = F.arrays_zip(F.slice(cuts, 1, F.size(cuts) - 1).alias("s"), F.slice(cuts, 2, F.size(cuts) - 1).alias("e"))
+    return F.transform(pairs, lambda w: F.struct(
+        w["s"].alias("s"), w["e"].alias("e"), F.filter(covers, lambda c: (c["s"] <= w["s"]) & (c["e"] >= w["e"])).alias("cover")))
+
+
+WINDOWS = "array<struct<start_s:int,end_s:int,headway_s:int,min_s:int,max_s:int,source_period_id:string>>"
 
 
 def frequency_windows(timed: DataFrame) -> DataFrame:
@@ -80,36 +89,36 @@ def frequency_windows(timed: DataFrame) -> DataFrame:
     Everything happens inside the row with higher-order functions: a profile has a handful
     of periods. Needs first_train, last_train, calendar, default_headway, profile_periods.
     """
-    day_type = F.create_map(*[F.lit(x) for kv in DAY_TYPES.items() for x in kv])[F.col("calendar")]
-    s = parse_hms("first_train")
-    e = parse_hms("last_train")
-    rows = timed.withColumn("_s", s).withColumn("_e", F.when(e < s, e + DAY_S).otherwise(e))
+    day_type = F.when(F.col("calendar") == "weekday", DAY_TYPES["weekday"]).otherwise(DAY_TYPES["saturday"])
+    rows = keep_computed(
+        timed, _s=parse_hms("first_train"), _last=parse_hms("last_train"), _day_type=day_type)
+    rows = keep_computed(
+        rows, _e=F.when(F.col("_last") < F.col("_s"), F.col("_last") + DAY_S).otherwise(F.col("_last")),
+        _p=F.transform(F.filter("profile_periods", lambda p: p["day_type"] == F.col("_day_type")), lambda p: F.struct(
+            parse_hms(p["start"]).alias("s"), parse_hms(p["end"]).alias("e"), p["id"].alias("id"), p["headway"].alias("headway"))))
 
     def clip(p: Column) -> Column:
-        ps, pe = parse_hms(p["start"]), parse_hms(p["end"])
-        pe = F.when(pe <= ps, pe + DAY_S).otherwise(pe)
-        moved = F.transform(F.array(F.lit(-DAY_S), F.lit(0), F.lit(DAY_S)), lambda o: F.struct(
-            F.greatest(F.col("_s"), ps + o).alias("s"), F.least(F.col("_e"), pe + o).alias("e"),
+        shifts = F.array(F.lit(-DAY_S), F.lit(0), F.lit(DAY_S))
+        roll = F.when(p["e"] <= p["s"], DAY_S).otherwise(0)
+        moved = F.transform(shifts, lambda o: F.struct(
+            F.greatest(F.col("_s"), p["s"] + o).alias("s"), F.least(F.col("_e"), p["e"] + roll + o).alias("e"),
             p["id"].alias("id"), p["headway"].alias("headway")))
         return F.filter(moved, lambda c: c["s"] < c["e"])
 
-    covers = F.flatten(F.transform(F.filter("profile_periods", lambda p: p["day_type"] == day_type), clip))
     both = F.col("_s").isNotNull() & F.col("_e").isNotNull()
-    rows = rows.withColumn("_covers", F.when(both, covers))
-    rows = rows.withColumn("_bounds", F.array_sort(F.array_distinct(F.concat(
-        F.array("_s", "_e"), F.transform("_covers", lambda c: c["s"]), F.transform("_covers", lambda c: c["e"])))))
-    rows = rows.withColumn("_w", F.when(both & (F.col("_s") < F.col("_e")), boundary_windows(
-        F.col("_s"), F.col("_e"), F.col("_covers"), F.col("_bounds"))))
-    headway = lambda w, f: F.coalesce(F.try_element_at(w["cover"], F.lit(1))["headway"][f], F.col("default_headway")[f])
+    rows = keep_computed(rows, _covers=F.when(both, F.flatten(F.transform("_p", clip))))
+    rows = keep_computed(rows, _cuts=F.when(both & (F.col("_s") < F.col("_e")), F.array_sort(F.array_distinct(F.concat(
+        F.array("_s", "_e"), F.transform("_covers", lambda c: c["s"]), F.transform("_covers", lambda c: c["e"]))))))
+    rows = keep_computed(rows, _w=F.when(F.col("_cuts").isNotNull(), boundary_windows("_cuts", "_covers")))
+    first = lambda w: F.try_element_at(w["cover"], F.lit(1))
+    headway = lambda w, f: F.coalesce(first(w)["headway"][f], F.col("default_headway")[f])
     windows = F.transform("_w", lambda w: F.struct(
         w["s"].alias("start_s"), w["e"].alias("end_s"), headway(w, "representative").alias("headway_s"),
-        headway(w, "min").alias("min_s"), headway(w, "max").alias("max_s"),
-        F.try_element_at(w["cover"], F.lit(1))["id"].alias("source_period_id")))
+        headway(w, "min").alias("min_s"), headway(w, "max").alias("max_s"), first(w)["id"].alias("source_period_id")))
     error = F.when(F.col("_s") == F.col("_e"), "first and last train must differ").when(
         F.exists("_w", lambda w: F.size(w["cover"]) > 1), "frequency periods overlap")
-    return rows.withColumn("windows", F.coalesce(windows, F.array().cast(
-        "array<struct<start_s:int,end_s:int,headway_s:int,min_s:int,max_s:int,source_period_id:string>>"))).withColumn(
-        "error", error).drop("_s", "_e", "_covers", "_bounds", "_w")
+    out = keep_computed(rows, windows=F.coalesce(windows, F.array().cast(WINDOWS)), error=error)
+    return out.drop("_s", "_last", "_day_type", "_e", "_p", "_covers", "_cuts", "_w")
 
 
 def _offset(i: Column, n: Column, length: Column) -> Column:
@@ -122,22 +131,34 @@ def departures(scheduled: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, Da
     Per window the interval count closest to the ideal whose quantised gaps all lie within
     the headway range, smaller counts first on ties. Window ends are exclusive but for the
     last window of the day; its first and last instants are the sourced trains.
+
+    Whether a count fits needs no look at every gap: rounding an even spacing leaves only
+    the two multiples of the quantum around it, how many of each follows from the last
+    rounded offset, and the gap to the unrounded end is one more test.
     """
     rows = scheduled.filter("error is null and first_train is not null and last_train is not null").select(
         *keep, F.element_at("windows", 1)["start_s"].alias("_first"), F.element_at("windows", -1)["end_s"].alias("_last"),
         F.explode("windows").alias("w"))
-    rows = rows.withColumn("_len", F.col("w.end_s") - F.col("w.start_s"))
-    ideal = F.greatest(F.lit(1), half_up(F.col("_len") / F.col("w.headway_s")))
-    low = F.greatest(F.lit(1), F.ceil(F.col("_len") / F.col("w.max_s"))).cast("int")
-    high = F.floor(F.col("_len") / F.col("w.min_s")).cast("int")
+    length = F.col("w.end_s") - F.col("w.start_s")
+    rows = keep_computed(
+        rows, _len=length, _ideal=F.greatest(F.lit(1), half_up(length / F.col("w.headway_s"))).cast("int"),
+        _low=F.greatest(F.lit(1), F.ceil(length / F.col("w.max_s"))).cast("int"), _high=F.floor(length / F.col("w.min_s")).cast("int"))
+    lo, hi, len_ = F.col("w.min_s"), F.col("w.max_s"), F.col("_len")
 
     def fits(n: Column) -> Column:
-        gap = lambda i: _offset(i + 1, n, F.col("_len")) - _offset(i, n, F.col("_len"))
-        return F.forall(F.sequence(F.lit(0), n - 1), lambda i: (gap(i) >= F.col("w.min_s")) & (gap(i) <= F.col("w.max_s")))
+        reach = _offset(n - 1, n, len_)  # last rounded offset
+        short = F.floor(len_ / (n * QUANTUM_S)) * QUANTUM_S
+        exact = len_ % (n * QUANTUM_S) == 0
+        longs = F.when(exact, 0).otherwise((reach - (n - 1) * short) / QUANTUM_S)
+        shorts = (n - 1) - longs
+        return (
+            (len_ - reach).between(lo, hi)
+            & ((shorts == 0) | ((short >= lo) & (short <= hi))) & ((longs == 0) | ((short + QUANTUM_S >= lo) & (short + QUANTUM_S <= hi)))
+        )
 
-    valid = F.filter(F.when(low <= high, F.sequence(low, high)), fits)
-    best = F.array_min(F.transform(valid, lambda n: F.struct(F.abs(n - ideal).alias("d"), n.alias("n"))))
-    rows = rows.withColumn("_n", best["n"])
+    valid = F.filter(F.when(F.col("_low") <= F.col("_high"), F.sequence("_low", "_high")), fits)
+    best = F.array_min(F.transform(valid, lambda n: F.struct(F.abs(n - F.col("_ideal")).alias("d"), n.alias("n"))))
+    rows = keep_computed(rows, _n=best["n"])
     failed = rows.filter("_n is null").select(*keep, F.col("w.start_s").alias("start_s"), F.col("w.end_s").alias("end_s"))
     last_i = F.when(F.col("w.end_s") == F.col("_last"), F.col("_n")).otherwise(F.col("_n") - 1)
     times = rows.filter("_n is not null").withColumn("_i", F.explode(F.sequence(F.lit(0), last_i)))
@@ -156,8 +177,8 @@ ARRIVAL = "struct<position:int,seconds:int,headway_s:int,min_s:int,max_s:int,sou
 
 def next_arrivals(queried: DataFrame, at: str, keep: Sequence[str], count: int = 3) -> DataFrame:
     """The next `count` estimates after `at` (service-day text) for rows with `windows`."""
-    rows = queried.filter(F.size("windows") > 0).withColumn("_q", parse_hms(at)).withColumn(
-        "_fw", F.element_at("windows", 1)).withColumn("_lw", F.element_at("windows", -1))
+    rows = keep_computed(
+        queried.filter(F.size("windows") > 0), _q=parse_hms(at), _fw=F.element_at("windows", 1), _lw=F.element_at("windows", -1))
     q, first, end = F.col("_q"), F.col("_fw"), F.col("_lw.end_s")
 
     def arrival(i, seconds, w, basis):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faultline.functions.text import entity_key
+from faultline.lineage import cut_lineage
 from faultline.operators import claims as C
 from faultline.operators import diff
 from faultline.operators import replay as R
@@ -111,7 +112,7 @@ def reconcile_fixed(t):
 
 def event_log(t):
     """An event log derived from the table: what compute_impact emits, numbered per issue."""
-    return number_events(compute_impact(event_claims(t), event_issues(t))).drop("entity_key", "ev_seq", "pos", "attr_pos")
+    return number_events(cut_lineage(compute_impact(event_claims(t), event_issues(t)))).drop("entity_key", "ev_seq", "pos", "attr_pos")
 
 
 def event_evidence(t):
@@ -122,7 +123,7 @@ def event_evidence(t):
 @query("replay")
 def replay(t):
     """Replay the derived log from its evidence and compare per issue."""
-    log = event_log(t)
+    log = cut_lineage(event_log(t))
     again = R.replay(event_issues(t), event_evidence(t), log)
     return diff.replay_summary(log, again)
 
@@ -157,8 +158,8 @@ def select_targets(t):
 
 
 @query("future_no_service", """WITH l AS (SELECT user_id, event_id // 3 AS ev, event_id % 3 AS k, event_id, ts, value FROM events),
-e AS (SELECT user_id, ev, min(ts) AS at FROM l GROUP BY 1, 2),
-f AS (SELECT user_id, ev, bool_or(k = 0) AS a, bool_or(k = 1 AND event_id % 2 = 0 AND ts > at) AS b FROM l JOIN e USING (user_id, ev) GROUP BY 1, 2)
+e AS (SELECT user_id, ev, min(ts) AS t0 FROM l GROUP BY 1, 2),
+f AS (SELECT user_id, ev, bool_or(k = 0) AS a, bool_or(k = 1 AND event_id % 2 = 0 AND ts > t0) AS b FROM l JOIN e USING (user_id, ev) GROUP BY 1, 2)
 SELECT 'u' || user_id AS issue_id, 'e' || ev AS evidence_id FROM f WHERE a AND b""")
 def future_no_service(t):
     i = F.col("event_id")
@@ -174,16 +175,16 @@ def future_no_service(t):
 
 
 @query("merge_claims", """
-SELECT l_orderkey, arg_max(l_returnflag, l_linenumber * 100000000 + l_partkey) FILTER (l_quantity > 10) AS effect,
-  arg_max(l_linestatus, l_linenumber * 100000000 + l_partkey) FILTER (l_discount > 0.02) AS scope FROM lineitem GROUP BY l_orderkey""")
+SELECT l_orderkey, arg_max(l_returnflag, CAST(l_linenumber AS BIGINT) * 1000000000000000 + l_partkey * 1000000 + l_suppkey) FILTER (l_quantity > 10) AS effect,
+  arg_max(l_linestatus, CAST(l_linenumber AS BIGINT) * 1000000000000000 + l_partkey * 1000000 + l_suppkey) FILTER (l_discount > 0.02) AS scope FROM lineitem GROUP BY l_orderkey""")
 def merge_claims(t):
-    rows = t.lineitem.select("l_orderkey", (F.col("l_linenumber").cast("long") * 100000000 + F.col("l_partkey")).alias("seq"),
+    rows = t.lineitem.select("l_orderkey", (F.col("l_linenumber").cast("long") * 10**15 + F.col("l_partkey") * 10**6 + F.col("l_suppkey")).alias("seq"),
                              F.when(F.col("l_quantity") > 10, F.col("l_returnflag")).alias("effect"), F.when(F.col("l_discount") > 0.02, F.col("l_linestatus")).alias("scope"))
     return C.merge_claims(rows, ["l_orderkey"], "seq", ["effect", "scope"])
 
 
 _SVC_SQL = """s AS (SELECT p_partkey, p_partkey // 8 AS line, TIMESTAMP '1996-01-01' AS a, CASE WHEN p_partkey % 3 = 0 THEN TIMESTAMP '2000-01-01' END AS z FROM part),
-c AS (SELECT l_suppkey, l_partkey, l_returnflag, l_shipdate, TIMESTAMP '1999-06-01' + to_days(CAST(l_suppkey % 400 AS INTEGER)) AS at FROM lineitem)"""
+c AS (SELECT l_suppkey, l_partkey, l_returnflag, l_shipdate, TIMESTAMP '1999-06-01' + to_days(CAST(l_suppkey % 400 AS INTEGER)) AS t0 FROM lineitem)"""
 
 
 def part_services(t):
@@ -205,16 +206,16 @@ def supplier_claims(t):
 
 
 @query("filter_inactive", f"""WITH {_SVC_SQL}
-SELECT l_suppkey AS supplier, count(*) AS kept FROM c JOIN s ON p_partkey = l_partkey WHERE a <= at AND (z IS NULL OR at < z) GROUP BY 1""")
+SELECT l_suppkey AS supplier, count(*) AS kept FROM c JOIN s ON p_partkey = l_partkey WHERE a <= t0 AND (z IS NULL OR t0 < z) GROUP BY 1""")
 def filter_inactive(t):
     kept = C.filter_inactive(supplier_claims(t), part_services(t))
     return kept.groupBy(F.substring("evidence_id", 2, 20).cast("long").alias("supplier")).agg(F.count(F.lit(1)).alias("kept"))
 
 
 @query("complete_siblings", f"""WITH {_SVC_SQL},
-x AS (SELECT l_suppkey, line, l_partkey, l_returnflag, at FROM c JOIN s ON p_partkey = l_partkey WHERE a <= at AND (z IS NULL OR at < z)),
-g AS (SELECT l_suppkey, line, any_value(at) AS at, min(l_returnflag) AS flag FROM x GROUP BY 1, 2 HAVING count(DISTINCT l_partkey) >= 2 AND count(DISTINCT l_returnflag) = 1)
-SELECT g.l_suppkey AS supplier, s.p_partkey AS part, flag FROM g JOIN s ON s.line = g.line AND s.a <= g.at AND (s.z IS NULL OR g.at < s.z)
+x AS (SELECT l_suppkey, line, l_partkey, l_returnflag, t0 FROM c JOIN s ON p_partkey = l_partkey WHERE a <= t0 AND (z IS NULL OR t0 < z)),
+g AS (SELECT l_suppkey, line, any_value(t0) AS t0, min(l_returnflag) AS flag FROM x GROUP BY 1, 2 HAVING count(DISTINCT l_partkey) >= 2 AND count(DISTINCT l_returnflag) = 1)
+SELECT g.l_suppkey AS supplier, s.p_partkey AS part, flag FROM g JOIN s ON s.line = g.line AND s.a <= g.t0 AND (s.z IS NULL OR g.t0 < s.z)
 WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.l_suppkey = g.l_suppkey AND x.l_partkey = s.p_partkey)""")
 def complete_siblings(t):
     out = C.complete_siblings(supplier_claims(t), part_services(t)).filter(F.col("seq") >= C.SYNTHETIC_SEQ)
@@ -223,9 +224,9 @@ def complete_siblings(t):
 
 
 @query("normalize_claims", f"""WITH {_SVC_SQL},
-x AS (SELECT l_suppkey, line, l_partkey, l_returnflag, at FROM c JOIN s ON p_partkey = l_partkey WHERE a <= at AND (z IS NULL OR at < z)),
-g AS (SELECT l_suppkey, line, any_value(at) AS at, min(l_returnflag) AS flag FROM x GROUP BY 1, 2 HAVING count(DISTINCT l_partkey) >= 2 AND count(DISTINCT l_returnflag) = 1),
-n AS (SELECT DISTINCT l_suppkey, l_partkey, l_returnflag FROM x UNION SELECT g.l_suppkey, s.p_partkey, flag FROM g JOIN s ON s.line = g.line AND s.a <= g.at AND (s.z IS NULL OR g.at < s.z))
+x AS (SELECT l_suppkey, line, l_partkey, l_returnflag, t0 FROM c JOIN s ON p_partkey = l_partkey WHERE a <= t0 AND (z IS NULL OR t0 < z)),
+g AS (SELECT l_suppkey, line, any_value(t0) AS t0, min(l_returnflag) AS flag FROM x GROUP BY 1, 2 HAVING count(DISTINCT l_partkey) >= 2 AND count(DISTINCT l_returnflag) = 1),
+n AS (SELECT DISTINCT l_suppkey, l_partkey, l_returnflag FROM x UNION SELECT g.l_suppkey, s.p_partkey, flag FROM g JOIN s ON s.line = g.line AND s.a <= g.t0 AND (s.z IS NULL OR g.t0 < s.z))
 SELECT l_suppkey AS supplier, count(*) AS claims, count(*) AS anchored FROM n GROUP BY 1""")
 def normalize_claims(t):
     """The whole normalisation: inactive services out, siblings in, anchors set, repeats out."""
