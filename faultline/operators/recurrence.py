@@ -9,8 +9,9 @@ from faultline.functions.temporal import SGT, col, dtype, from_local, parse_hms,
 from faultline.schemas import FREQUENCIES, WEEKDAYS
 
 
-def _weekday(day: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, WEEKDAYS)), F.weekday(day) + 1)
+def _index(weekday: Column) -> Column:
+    """0 for Monday, as `weekday` counts."""
+    return (F.array_position(F.array(*map(F.lit, WEEKDAYS)), weekday) - 1).cast("int")
 
 
 def _at(day: Column, seconds: Column) -> Column:
@@ -53,18 +54,21 @@ def expand_recurrence(
         F.sequence(since, F.col("_high"), F.make_ym_interval(months=F.lit(step))), lambda m: F.date_add(m, day_of))
     freq, plain = F.col("_freq"), F.col("_days").isNull()
     phase = F.date_add("_first", (F.ceil(F.datediff("_low", "_first") / 7) * 7).cast("int"))
+    sevens = lambda since: F.when(since <= F.col("_high"), F.sequence(since, F.col("_high"), F.make_dt_interval(days=F.lit(7))))
+    first_on = lambda d: F.date_add("_low", F.pmod(_index(d) - F.weekday("_low"), F.lit(7)))
+    listed = F.flatten(F.array_compact(F.transform(F.array_distinct("_days"), lambda d: sevens(first_on(d)))))
     candidates = (
-        F.when(plain & (freq == "yearly"), F.when(F.trunc("_first", "month") <= F.col("_high"), months(F.trunc("_first", "month"), 12)))
+        F.when(~plain, listed)
+        .when(plain & (freq == "yearly"), F.when(F.trunc("_first", "month") <= F.col("_high"), months(F.trunc("_first", "month"), 12)))
         .when(plain & (freq == "monthly"), months(F.trunc("_low", "month"), 1))
-        .when(plain & (freq == "weekly"), F.when(phase <= F.col("_high"), F.sequence(phase, F.col("_high"), F.make_dt_interval(days=F.lit(7)))))
-        .when(freq.isin(FREQUENCIES), F.sequence(F.col("_low"), F.col("_high")))
+        .when(plain & (freq == "weekly"), sevens(phase))
+        .when(plain & (freq == "daily"), F.sequence(F.col("_low"), F.col("_high")))
     )
     day = F.col("_day")
     begin = _at(day, F.col("_opens"))
     # a month without the day rolls over into the next one, where the day differs
     right_day = F.when(plain & freq.isin("monthly", "yearly"), F.day(day) == F.day("_first")).otherwise(F.lit(True))
-    right_weekday = plain | F.array_contains("_days", _weekday(day))
-    keep = right_day & right_weekday & (begin >= F.col("_s")) & (begin <= F.col("_e"))
+    keep = right_day & freq.isin(FREQUENCIES) & (begin >= F.col("_s")) & (begin <= F.col("_e"))
     if clip is not None:
         keep = keep & day.between(F.col("_low"), F.col("_high"))
     if excluded:
