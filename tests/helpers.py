@@ -43,7 +43,7 @@ def end_only(end):
 
 
 def claim(evidence, at, entity, seq=0, service=None, facility=None, scopes=None, signal=None, hint=None, causes=None, issue="i1"):
-    effect = ((service, None) if service else None, (facility,) if facility else None)
+    effect = (service, (facility,) if facility else None)
     return (issue, evidence, ts(at), seq, entity, effect, scopes, signal, hint, causes)
 
 
