@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from faultline import schemas as S
 from faultline.functions.temporal import OFFSET_PATTERN, SGT, parse_instant, to_local
 from faultline.functions.text import issue_id_valid, labelled, slug
+from faultline.lineage import cut_lineage
 from faultline.operators import ordered
 from faultline.operators.claims import issue_date
 from faultline.operators.impact import compute_impact, number_events
@@ -101,7 +102,8 @@ def ingest(
     by item_id. Irrelevant items and new issues without claims are dropped. Items of one issue
     apply in order of their time, so a batch equals one delivery after another.
     """
-    rows = evidence_rows(items, tz).join(decisions, "item_id").filter(F.col("kind").isin("part-of-existing-issue", "part-of-new-issue"))
+    # the batch is written out before and after its issues are known: every later table reads it
+    rows = cut_lineage(evidence_rows(items, tz)).join(decisions, "item_id").filter(F.col("kind").isin("part-of-existing-issue", "part-of-new-issue"))
     claimed = claims.select("item_id").distinct().withColumn("_claimed", F.lit(True))
     rows = rows.join(claimed, "item_id", "left").filter((F.col("kind") == "part-of-existing-issue") | F.col("_claimed"))
     keyed = claims.drop("issue_id", "evidence_id", "evidence_ts").join(rows.select("item_id", "evidence_id", "created_at"), "item_id")
@@ -111,15 +113,16 @@ def ingest(
     built = F.concat_ws("-", day, slug("title"))
     new = F.col("kind") == "part-of-new-issue"
     rows = rows.withColumn("issue_id", F.when(new, F.when(issue_id_valid(built), built)).otherwise(F.col("issue_id"))).filter("issue_id is not null")
+    rows = cut_lineage(rows)
     created = rows.filter(new).groupBy("issue_id").agg(F.min_by("issue_type", "created_at").alias("type"), F.min_by("title", "created_at").alias("title"))
     placed = ordered.rank(ordered.cut(rows, ["issue_id"], "created_at"), ["issue_id"], ["created_at", "evidence_id"], "ev_seq")
     order = placed.select("item_id", "issue_id", "evidence_id", F.col("created_at").alias("evidence_ts"), "ev_seq")
-    full = claims.drop("issue_id", "evidence_id", "evidence_ts").join(order, "item_id")
+    full = cut_lineage(claims.drop("issue_id", "evidence_id", "evidence_ts").join(order, "item_id"))
     kinds = created.select("issue_id", "type")
     if issues is not None:
         kinds = kinds.unionByName(issues.select("issue_id", "type")).dropDuplicates(["issue_id"])
     touched = impact.join(rows.select("issue_id").distinct(), "issue_id", "left_semi") if impact is not None else None
-    events = compute_impact(full, kinds, bundle_state(touched) if touched is not None else None, tz)
+    events = cut_lineage(compute_impact(full, kinds, bundle_state(touched) if touched is not None else None, tz))
     numbered = number_events(events)
     if touched is not None:
         last = touched.groupBy("issue_id").agg(F.max("seq").alias("_last"))

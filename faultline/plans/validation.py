@@ -290,7 +290,8 @@ def map_rules(t: Mapping[str, DataFrame]) -> list[DataFrame]:
     keyed = seg.filter("operational").withColumn("edge", F.concat_ws("|", "line_id", "effective_month", pair_key("from_id", "to_id")))
     codes = station_codes(t["station"])
     pairs_known = codes.select(F.concat_ws("|", "station_id", "line_id").alias("k"))
-    nodes = node.withColumn("k", F.concat_ws("|", "station_id", "line_id")).withColumn("row", F.struct("path", "station_id", "line_id"))
+    nodes = node.withColumn("k", F.concat_ws("|", "station_id", "line_id")).withColumn(
+        "row", F.struct("path", "effective_month", "station_id", "line_id"))
     windows = codes.select(F.concat_ws("|", "station_id", "line_id").alias("ck"), F.col("start_at").cast("timestamp_ntz").alias("c_start"), F.col("end_at").cast("timestamp_ntz").alias("c_end"))
     stale = Q.outside_every_window(nodes.filter("operational"), ["row"], "k", windows, "ck", in_month("c_start", "c_end", F.col("effective_month")), require_match=True)
     uses = t["use"].withColumn("k", F.concat_ws("|", "effective_month", "constraint_id"))
