@@ -174,11 +174,14 @@ def future_no_service(t):
 # --- claims over line items: one order's items are claims in line order ---------------
 
 
-@query("merge_claims", """
-SELECT l_orderkey, arg_max(l_returnflag, CAST(l_linenumber AS BIGINT) * 1000000000000000 + l_partkey * 1000000 + l_suppkey) FILTER (l_quantity > 10) AS effect,
-  arg_max(l_linestatus, CAST(l_linenumber AS BIGINT) * 1000000000000000 + l_partkey * 1000000 + l_suppkey) FILTER (l_discount > 0.02) AS scope FROM lineitem GROUP BY l_orderkey""")
+_PLACE = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus"]
+
+
+@query("merge_claims", f"""
+SELECT l_orderkey, arg_max(l_returnflag, ({', '.join(_PLACE)})) FILTER (l_quantity > 10) AS effect,
+  arg_max(l_linestatus, ({', '.join(_PLACE)})) FILTER (l_discount > 0.02) AS scope FROM lineitem GROUP BY l_orderkey""")
 def merge_claims(t):
-    rows = t.lineitem.select("l_orderkey", (F.col("l_linenumber").cast("long") * 10**15 + F.col("l_partkey") * 10**6 + F.col("l_suppkey")).alias("seq"),
+    rows = t.lineitem.select("l_orderkey", F.struct(*_PLACE).alias("seq"),
                              F.when(F.col("l_quantity") > 10, F.col("l_returnflag")).alias("effect"), F.when(F.col("l_discount") > 0.02, F.col("l_linestatus")).alias("scope"))
     return C.merge_claims(rows, ["l_orderkey"], "seq", ["effect", "scope"])
 
