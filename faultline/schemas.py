@@ -30,10 +30,6 @@ STRUCTURE_TYPES = ["elevated", "underground", "at_grade", "in_building"]
 BOARDING_STATUSES = ["alighting_only", "not_in_service"]
 CROWD_EFFECTS = ["delay", "no-service", "crowding", "skipped-stop", "unknown"]
 ARTICLE_TEXT_SOURCES = ["publisher", "archive", "metadata"]
-RIGHTS_CATEGORIES = [
-    "mrtdown-authored", "sg-open-data", "platform-post", "news-publication",
-    "crowd-report", "generic-web", "unknown-third-party",
-]
 ENTITY_COLLECTIONS = ["station", "line", "service", "operator", "town", "landmark"]
 # End of fixed values.
 

@@ -10,4 +10,4 @@ from faultline.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(4, 4)
+    return local_session(4, 2)
