@@ -15,6 +15,10 @@ from faultline.lineage import cut_lineage
 CHUNK = 2 << 20
 
 
+def utf8(text: str | None) -> bytes:
+    return b"" if text is None else text.encode("utf-8", "surrogatepass")
+
+
 def odd_multipliers(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import quality_rules, urls
+from faultline.llm import language, quality_rules, sharding, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,22 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
+@query("op3_language")
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    learnt = language.dictionaries(docs, ~held_out())
+    return language.identify(docs, learnt, ["doc_id"]).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "sure")
+
+
+@query("op4_shards")
+def op4_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard_documents(read(spark, folder, "documents"), 16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int"), F.col("slot").cast("long"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 _PATTERNS = " OR ".join(f"spot ~ '(?s).*{urls.to_regex(p).removeprefix('(?s)')}.*'" for verdict, p in urls.PATTERN_RULES if verdict == "block")
 _EXCEPTIONS = " OR ".join(f"spot ~ '(?s).*{urls.to_regex(p).removeprefix('(?s)')}.*'" for verdict, p in urls.PATTERN_RULES if verdict == "allow")
 
