@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import language, quality_rules, sharding, urls
+from faultline.llm import language, pii, quality_rules, sharding, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,15 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
+@query("op2_pii")
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    spans = pii.find(read(spark, folder, "documents"))
+    return spans.select(
+        "doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"),
+    )
+
+
 @query("op3_language")
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
