@@ -7,6 +7,7 @@ Instances that no exact kind covers, but sure patterns surround, are added.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
@@ -38,29 +39,42 @@ SUPPORT, PATTERN_SURE, INSTANCE_SURE = 3, 0.6, 0.8
 BLOCK = 256
 
 
-def found(text: Column, regex: str, present: Column) -> Column:
-    """All matches: array of (start, end, value, before, after); code points, end exclusive.
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
 
-    `before` and `after` are the ends of the text between this match and its neighbours.
-    """
-    parts, values = F.split(text, regex, -1), F.regexp_extract_all(text, F.lit(regex), F.lit(0))
 
-    def positions(p: Column, v: Column) -> Column:
-        n = F.size(v)
-        steps = F.transform(v, lambda x, i: F.length(x) + F.length(F.get(p, i)))
-        total = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
-        sums = F.transform(F.sequence(F.lit(0), (n / BLOCK).cast("int")), lambda b: total(F.slice(steps, b * BLOCK + 1, F.lit(BLOCK))))
-        starts = F.transform(F.sequence(F.lit(0), (n / BLOCK).cast("int")), lambda b: total(F.slice(sums, F.lit(1), b)))
+def total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, x: a + x)
 
-        def one(x: Column, i: Column) -> Column:
-            b = (i / BLOCK).cast("int")
-            start = F.get(starts, b) + total(F.slice(steps, b * BLOCK + 1, i - b * BLOCK)) + F.length(F.get(p, i))
-            return F.struct(start.alias("start"), (start + F.length(x)).alias("end"), x.alias("value"), F.right(F.get(p, i), F.lit(64)).alias("before"), F.left(F.get(p, i + 1), F.lit(64)).alias("after"))
 
-        return F.transform(v, one)
+def found(text: Column, regex: str, present: Column) -> Column:
+    """All matches: array of (start, end, value, before, after); code points, end exclusive.
+
+    `before` and `after` are the ends of the text between this match and its neighbours. A match starts at the
+    sum of what is before it; sums are kept per `BLOCK` matches, so many matches don't cost their square.
+    """
+    cut = F.struct(F.split(text, regex, -1).alias("p"), F.regexp_extract_all(text, F.lit(regex), F.lit(0)).alias("v"))
+    blocks = lambda c: F.sequence(F.lit(0), (F.size(c["v"]) / BLOCK).cast("int"))
+
+    def one(c: Column, steps: Column, starts: Column, x: Column, i: Column) -> Column:
+        b = (i / BLOCK).cast("int")
+        start = F.get(starts, b) + total(F.slice(steps, b * BLOCK + 1, i - b * BLOCK)) + F.length(F.get(c["p"], i))
+        around = [F.right(F.get(c["p"], i), F.lit(64)).alias("before"), F.left(F.get(c["p"], i + 1), F.lit(64)).alias("after")]
+        return F.struct(start.alias("start"), (start + F.length(x)).alias("end"), x.alias("value"), *around)
+
+    def placed(c: Column) -> Column:
+        steps = F.transform(c["v"], lambda x, i: F.length(x) + F.length(F.get(c["p"], i)))
+        return let(steps, lambda t: let(
+            F.transform(blocks(c), lambda b: total(F.slice(t, b * BLOCK + 1, F.lit(BLOCK)))),
+            lambda sums: let(
+                F.transform(blocks(c), lambda b: total(F.slice(sums, F.lit(1), b))),
+                lambda starts: F.transform(c["v"], lambda x, i: one(c, t, starts, x, i)),
+            ),
+        ))
 
     empty = F.array().cast("array<struct<start:int,end:int,value:string,before:string,after:string>>")
-    return F.when(present, positions(parts, values)).otherwise(empty)
+    return F.when(present, let(cut, placed)).otherwise(empty)
 
 
 def luhn(digits: Column) -> Column:
@@ -72,12 +86,13 @@ def holds(kind: str, m: Column) -> Column:
     """Whether a match of the kind's expression is one of the kind."""
     value = m["value"]
     digits = F.regexp_replace(value, "[^0-9]", "")
+    count = F.length(value) - F.length(F.translate(value, "0123456789", ""))
     if kind == "ip":
         return F.forall(F.split(value, r"\."), lambda p: (F.length(F.regexp_replace(p, "^0+", "")) <= 3) & (F.right(p, F.lit(3)).cast("int") <= 255))
     if kind == "card":
-        return F.length(digits).between(16, 19) & F.when(F.length(digits).between(16, 19), luhn(digits)).otherwise(False)
+        return F.when(count.between(16, 19), luhn(digits)).otherwise(False)
     if kind == "phone":
-        return F.length(digits).between(8, 15)
+        return count.between(8, 15)
     return F.lit(True)
 
 
