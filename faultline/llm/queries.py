@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import language, pii, quality_rules, sharding, urls
+from faultline.llm import language, pii, quality_rules, sentencepiece, sharding, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,15 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
+@query("op1_sentencepiece")
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece numbers of every whole text, and the checksum of what they decode to."""
+    model = sentencepiece.load()
+    coded = sentencepiece.encode(read(spark, folder, "documents").select("doc_id", "text"), model).drop("text")
+    back = sentencepiece.decode(coded, model)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.octet_length("text").cast("long").alias("decoded_bytes"), F.crc32(F.col("text").cast("binary")).alias("decoded_crc32"))
+
+
 @query("op2_pii")
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     spans = pii.find(read(spark, folder, "documents"))
