@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import decontaminate, language, pii, quality_rules, sentencepiece, sharding, urls
+from faultline.llm import decontaminate, language, ngram_join, pii, quality_rules, sentencepiece, sharding, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,6 +66,11 @@ def op4_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op5_ngram_join")
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.classes(read(spark, folder, "documents")).drop("key")
+
+
 @query("op6_decontaminate")
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
