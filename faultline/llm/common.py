@@ -72,11 +72,16 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[at[0]:at[-1]], at - at[0]
 
 
+def prefix_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A polynomial over the 64-bit values of each span, wherever the span lies."""
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _powers(len(values), 1), out=sums[1:])
+    return (sums[ends] - sums[starts]) * _powers(len(values) + 1, -1)[starts]
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes of each span; a polynomial over a random number per byte value, then mixed."""
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[data] * _powers(len(data), 1), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _powers(len(data) + 1, -1)[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hash of the bytes of each span, made of a random number per byte value."""
+    return mix(prefix_hashes(_BYTES[data], starts, ends) + (ends - starts).astype(np.uint64))
 
 
 def tokens(data: np.ndarray, at: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import decontaminate, language, ngram_join, pii, quality_rules, sentencepiece, sharding, urls
+from faultline.llm import decontaminate, language, ngram_join, pii, quality_rules, sentencepiece, sharding, span_dedup, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,6 +76,15 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+@query("op7_span_dedup")
+def op7_span_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that lose text, with the spans they lose."""
+    found = span_dedup.repeated_spans(read(spark, folder, "documents"))
+    length = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return found.select("doc_id", F.size("spans").cast("long").alias("n_spans"), length.alias("removed_chars"), spans.alias("spans"))
+
+
 _PATTERNS = " OR ".join(f"spot ~ '(?s).*{urls.to_regex(p).removeprefix('(?s)')}.*'" for verdict, p in urls.PATTERN_RULES if verdict == "block")
 _EXCEPTIONS = " OR ".join(f"spot ~ '(?s).*{urls.to_regex(p).removeprefix('(?s)')}.*'" for verdict, p in urls.PATTERN_RULES if verdict == "allow")
 
