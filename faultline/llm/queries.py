@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import decontaminate, language, ngram_join, pii, quality_rules, sentencepiece, sharding, span_dedup, urls
+from faultline.llm import decontaminate, language, ngram_join, pii, quality_model, quality_rules, sentencepiece, sharding, span_dedup, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +122,9 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
     ratios = quality_rules.log_ratios(docs, quality_rules.trusted_documents(labels))
     return quality_rules.judge(docs, ratios, carry=["doc_id"])
+
+
+@query("op10_quality_score")
+def op10_quality_score(spark: SparkSession, folder: str) -> DataFrame:
+    scores = quality_model.score(read(spark, folder, "documents"), read(spark, folder, "labels"), ~held_out(), ["doc_id"])
+    return scores.select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
