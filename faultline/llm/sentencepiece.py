@@ -34,7 +34,7 @@ MARK = "▁"
 #: Shown by the reference decoder for an unknown piece.
 UNKNOWN_SURFACE = " ⁇ "
 #: Paths of words and agreements of pieces that a task remembers.
-WORDS_KEPT, PAIRS_KEPT = 800_000, 500_000
+WORDS_KEPT, PAIRS_KEPT = 300_000, 300_000
 #: Words above this length are worked out each time.
 LONG_WORD = 64
 
