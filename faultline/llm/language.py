@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.common import need, utf8
+from faultline.llm.common import fresh, need, utf8
 
 #: Documents of a language that its dictionary is made of, at most, and characters taken from each.
 SAMPLE_DOCS, SAMPLE_CHARS = 40, 400
@@ -83,9 +83,9 @@ def identify(docs: DataFrame, learnt: list[tuple[str, bytes]], carry: list[str])
     All letters of the text are encoded. A null text, one without a letter, or any text when no language was learnt is
     `und` with score 0 and not sure. Equal texts get equal results. Columns of the added names are replaced.
     """
-    names = [c for c in carry if c not in ("lang_pred", "score", "sure")]
+    names = [c for c in carry if c.lower() not in ("lang_pred", "score", "sure")]
     schema = docs.select(*[F.col(f"`{c}`") for c in names]).schema
-    rows = docs.select(letters(F.col("text").cast("string")).alias("text"), *[F.col(f"`{c}`") for c in names])
+    rows = docs.select(letters(F.col("text").cast("string")).alias(fresh(docs, "input_text")), *[F.col(f"`{c}`") for c in names])
     shared = docs.sparkSession.sparkContext.broadcast(learnt)  # SAMPLE_DOCS * SAMPLE_CHARS characters per language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from faultline.lineage import cut_lineage
-from faultline.llm.common import TOKENS, buffers, pieces, tokens
+from faultline.llm.common import TOKENS, buffers, fresh, pieces, tokens
 
 #: Words share this many vectors (by hash) of this many numbers; what the driver gathers is one such table.
 WORDS, SIZE = 8192, 32
@@ -78,7 +78,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 def pooled(docs: DataFrame, vectors: np.ndarray, carry: list[str]) -> DataFrame:
     """The columns in `carry` and `features`, the mean of a text's word vectors; zeros for a text without words."""
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
-    rows = docs.select(F.col("text").cast("string").alias("text"), *[F.col(f"`{c}`") for c in carry])
+    rows = docs.select(F.col("text").cast("string").alias(fresh(docs, "input_text")), *[F.col(f"`{c}`") for c in carry])
     schema = StructType(rows.schema.fields[1:]).add("features", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
