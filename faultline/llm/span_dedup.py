@@ -96,7 +96,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     every = _runs(docs)
     place = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "twin", "start")
     many = every.groupBy("hash").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
-    later = every.join(many.select("hash", "first"), "hash").filter(place != F.col("first"))
+    # written once: a join of two plain shuffles is one that Spark can split where a run is very common
+    later = every.join(cut_lineage(many.select("hash", "first")), "hash").filter(place != F.col("first"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
