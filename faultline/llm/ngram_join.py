@@ -154,7 +154,8 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
     in_bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.struct(k.alias("band"), F.xxhash64(k, F.substring("sig", k * size + 1, F.lit(size))).alias("bucket")))
     banded = texts.select("key", "n", F.explode(in_bands).alias("b")).select("key", "n", "b.band", "b.bucket")
     shared = banded.groupBy("bucket").agg(F.count("*").alias("many"), F.sum("n").alias("n")).filter("many > 1")
-    shared = shared.select("bucket", F.greatest(F.ceil(F.col("many") / BLOCK_TEXTS), F.ceil(F.col("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
+    # written once: a join of two plain shuffles is one that Spark can split where a bucket is large
+    shared = cut_lineage(shared.select("bucket", F.greatest(F.ceil(F.col("many") / BLOCK_TEXTS), F.ceil(F.col("n") / BLOCK_GRAMS)).cast("int").alias("blocks")))
     put = banded.drop("n").join(shared, "bucket").withColumn("side", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     with_sig = put.join(texts.select("key", "sig"), "key")
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, "side").alias("i"), F.greatest(o, "side").alias("j")))
