@@ -72,7 +72,8 @@ class Items:
         low, high = max(shift, 0), min(shift + len(own), len(text))
         equal = text[low:high] == own[low - shift:high - shift]
         sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, -SUBSTITUTION))])
-        end = int(np.argmax(sums - np.minimum.accumulate(sums)))
+        gain = sums - np.minimum.accumulate(sums)
+        end = len(gain) - 1 - int(np.argmax(gain[::-1]))  # of equal ones the longest
         begin = int(np.argmin(sums[:end + 1]))
         same = int(equal[begin:end].sum())
         need = ENOUGH if len(own) >= ENOUGH / SHARE else math.ceil(SHARE * len(own)) if len(own) >= SPAN else len(own)
