@@ -66,9 +66,12 @@ def exit_label(c: Column | str) -> Column:
 
 
 def natural_key(c: Column | str) -> Column:
-    """K4 sort key: digit runs padded to a fixed width, case folded ('Exit 2' < 'Exit 10')."""
-    padded = F.regexp_replace(F.lower(col(c)), r"(\d+)", "000000000000000000$1")
-    return F.regexp_replace(padded, r"0*(\d{18})(?!\d)", "$1")
+    """K4 sort key: each digit run as its length without leading zeros and its digits, case folded ('Exit 2' < 'Exit 10')."""
+    def part(p: Column) -> Column:
+        digits = F.regexp_replace(p, "^0+(?=[0-9])", "")
+        return F.when(p.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits)).otherwise(p)
+
+    return F.array_join(F.transform(F.regexp_extract_all(F.lower(col(c)), F.lit("([0-9]+|[^0-9]+)"), F.lit(1)), part), "")
 
 
 def truncate(c: Column | str, limit: int) -> Column:
@@ -101,9 +104,16 @@ def pair_key(a: Column | str, b: Column | str) -> Column:
     return F.concat_ws(":", F.least(a, b), F.greatest(a, b))
 
 
+#: Instants to the microsecond and in UTC, whatever the session says; nulls written out.
+JSON_OPTIONS = {
+    "ignoreNullFields": "false", "timeZone": "UTC", "dateFormat": "yyyy-MM-dd",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def stable_json(*names: str) -> Column:
-    """Canonical text of a record: columns sorted by name, nulls written out."""
-    return F.to_json(F.struct(*sorted(names)), {"ignoreNullFields": "false"})
+    """Canonical text of a record: columns sorted by name, nulls written out, instants exact and in UTC."""
+    return F.to_json(F.struct(*sorted(names)), JSON_OPTIONS)
 
 
 def digest(*names: str) -> Column:

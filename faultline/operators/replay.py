@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.functions.temporal import SGT, micros, parse_instant
-from faultline.functions.text import entity_key
+from faultline.functions.text import JSON_OPTIONS, entity_key
 from faultline.lineage import cut_lineage
 from faultline.operators import ordered
 from faultline.operators.claims import _active, clamp_hints, normalize_for_evidence
@@ -232,7 +232,7 @@ def claims_from_log(
     """
     ev = replay_order(evidence, hot_rows=hot_rows).select(
         "issue_id", "evidence_id", "ev_seq", parse_instant("ts").alias("ts"))
-    body = F.to_json(F.struct("effect", "scopes", "causes", "status_signal"), {"ignoreNullFields": "false"})
+    body = F.to_json(F.struct("effect", "scopes", "causes", "status_signal"), JSON_OPTIONS)
     old = first_of_type(impact).withColumns({
         "status_signal": F.lit(None).cast("string"), "causes": F.when(F.size("causes") > 0, F.col("causes")),
         "effect": F.struct(F.col("effect.service").alias("service"), F.col("effect.facility").alias("facility")),

@@ -116,9 +116,10 @@ def read_issue_bundles(spark: SparkSession, root: str, strict: bool = False) ->
         note(im.filter("bad_line is not null"), "bad line", F.col("line_no"), F.col("bad_line")),
     ]
     if strict:
-        for name, rows in (("evidence.ndjson", ev), ("impact.ndjson", im)):
-            absent = issue.join(rows.select(F.col("issue_id").alias("folder_id")), "folder_id", "left_anti")
-            faults.append(note(absent, "missing or empty log", blank, F.lit(name)))
+        for name in ("evidence.ndjson", "impact.ndjson"):  # scans skip empty files, the file index that Spark keeps anyway has them
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name).load(f"{root}/issue")
+            there = spark.createDataFrame([(path.split("/")[-2],) for path in files.inputFiles()], "folder_id string")
+            faults.append(note(issue.join(there, "folder_id", "left_anti"), "missing log", blank, F.lit(name)))
     errors = faults[0]
     for f in faults[1:]:
         errors = errors.unionByName(f)

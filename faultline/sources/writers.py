@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from faultline.functions.text import issue_id_valid
 from faultline.lineage import cut_lineage
 from faultline.operators.diff import fingerprint, fingerprint_bundle
+from faultline.operators.quality import raise_on_errors
 from faultline.operators.rights import redact
 
 SAFE_ID = r"^[A-Za-z0-9][A-Za-z0-9_-]*$"
@@ -94,22 +95,33 @@ def read_batches(spark: SparkSession, target: str, table: str) -> DataFrame:
 
 def export_public(
     entities: Mapping[str, DataFrame], issue: DataFrame, evidence: DataFrame, impact: DataFrame, rules: DataFrame, out: str,
-    hidden_paths: Sequence[str] = (),
+    hidden_paths: Sequence[str] = (), root: str = "", check: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None,
 ) -> DataFrame:
-    """Redact, fingerprint and publish; returns the manifest.
+    """Redact, validate, fingerprint and publish; returns the manifest.
 
-    Records under a hidden path prefix are left out where a table carries `path`.
+    Records below a hidden path are left out where a table carries `path`: its first segments below `root` are a
+    hidden path's. Evidence and events of hidden issues are left out too. `check` makes error rows of the tables;
+    nothing is published if there are any. `redactions` has the number of redacted texts per issue.
     """
-    def visible(df):
-        if "path" not in df.columns:
-            return df
+    def hidden(df):
+        below = F.regexp_replace("path", "^/+", "") if not root else F.regexp_replace(F.replace("path", F.lit(root.rstrip("/") + "/"), F.lit("")), "^/+", "")
+        test = F.lit(False)
         for prefix in hidden_paths:
-            df = df.filter(~F.contains("path", F.lit(prefix)))
-        return df.drop("path")
+            test = test | F.startswith(F.concat(below, F.lit("/")), F.lit(prefix.strip("/") + "/"))
+        return F.coalesce(test, F.lit(False))
+
+    def visible(df):
+        return df.filter(~hidden(df)).drop("path") if "path" in df.columns else df
 
     public = redact(evidence, rules)
+    if "path" in issue.columns and hidden_paths:
+        gone = issue.filter(hidden(issue)).select("issue_id")
+        public, impact = public.join(gone, "issue_id", "left_anti"), impact.join(gone, "issue_id", "left_anti")
     tables = {**{k: visible(v) for k, v in entities.items()}, "issue": visible(issue), "impact": impact,
               "evidence": public.drop("redacted")}
+    if check is not None:
+        raise_on_errors(check(tables))
+    public.groupBy("issue_id").agg(F.count_if("redacted").alias("redacted")).write.mode("overwrite").parquet(f"{out}/redactions")
     for name, df in tables.items():
         parts = ["year", "month"] if {"year", "month"} <= set(df.columns) else []
         df.write.partitionBy(*parts).mode("overwrite").parquet(f"{out}/{name}")

@@ -90,6 +90,8 @@ def test_text_functions(spark):
     assert one(X.truncate(F.lit("abcdefgh"), 6)) == "abc..." and one(X.truncate(F.lit("abc"), 6)) == "abc"
     assert one(X.issue_id_valid(F.lit("2024-02-30-x"))) is False and one(X.issue_path(F.lit("2024-02-03-x"))) == "issue/2024/02/2024-02-03-x"
     labels = spark.createDataFrame([("Exit 10",), ("exit 2",), ("Exit 2A",), ("Exit B",)], "l string")
+    long = spark.createDataFrame([(f"Exit {n}",) for n in (10**24 + 1, 2, 10**24, 10**18, 9)], "l string")
+    assert [r.l for r in long.orderBy(X.natural_key("l")).collect()] == [f"Exit {n}" for n in (2, 9, 10**18, 10**24, 10**24 + 1)]
     assert [r.l for r in labels.orderBy(X.natural_key("l")).collect()] == ["exit 2", "Exit 2A", "Exit 10", "Exit B"]
 
 
@@ -107,3 +109,18 @@ def test_usage_cost(spark):
     got = {r.g: r for r in V.usage_cost(usage, pricing, ["g"]).collect()}
     assert got["g"].cost_usd == pytest.approx(0.6 * 2.5 + 0.4 * 0.25 + 0.1 * 15) and got["g"].models_without_pricing == []
     assert got["h"].cost_usd is None and got["h"].models_without_pricing == ["q"]
+
+
+def test_digests_are_exact_and_zone_independent(spark, tmp_path):
+    rows = [f"select {n} as n, timestamp'2024-01-01 08:00:00.00000{n}' as t, named_struct('x', timestamp'2024-01-01 08:00:00', 'd', date'2024-01-01') as r" for n in (1, 2)]
+    path = str(tmp_path / "t")
+    spark.sql(" union all ".join(rows)).write.parquet(path)
+    digests = lambda: [r[0] for r in spark.read.parquet(path).orderBy("n").select(X.digest("t", "r")).collect()]
+    first, zone = digests(), spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Singapore")
+        assert digests() == first and len(set(first)) == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    from faultline.operators.diff import dedup_semantic
+    assert dedup_semantic(spark.read.parquet(path), ["t", "r"], "n").count() == 2

@@ -46,7 +46,7 @@ def test_entities_and_bundles(spark, root):
     e = b["impact"].first()
     assert (e.issue_id, e.seq, e.entity.service_id, local(e.periods[0].start_at), e.year) == ("2024-01-05-x", 1, "A", "2024-01-05 08:00", "2024")
     faults = {(r.rule, r.location) for r in b["errors"].collect()}
-    assert faults == {("folder id", ""), ("bad line", "4"), ("missing or empty log", "")}
+    assert faults == {("folder id", ""), ("bad line", "4"), ("missing log", "")}
     assert [r.issue_id for r in readers.list_bundles(b["issue"]).collect()] == ["2024-01-05-x", "2024-02-01-z"]
     assert readers.lookup(towns, ["t1"]).count() == 1 and readers.lookup(towns, towns.select("id").filter("id = 't1'")).count() == 1
 
@@ -102,6 +102,32 @@ def test_public_export(spark, root, tmp_path):
     assert [(r.id, r.status) for r in changed(first, second).collect()] == [("2024-01-05-x", "changed")]
 
 
+def test_hidden_issues_leave_every_table(spark, tmp_path):
+    rules = small_table(spark, [("r", "r", ["a.com"], None, None, None, None, "x", "c", "o", "p", "t", True)], RULE_COLUMNS)
+    issue = spark.createDataFrame([("i1", "source/i1"), ("i2", "resource/i2"), ("i3", "open/source/i3")], "issue_id string, path string")
+    logs = [(i, n, "report.public", "t", "https://a.com/") for i in ("i1", "i2", "i3") for n in (1, 2)]
+    evidence = spark.createDataFrame(logs, "issue_id string, line_no long, type string, text string, source_url string").withColumn("evidence_id", F.concat("issue_id", "line_no"))
+    impact = evidence.select("issue_id", F.col("line_no").alias("seq"))
+    out = str(tmp_path / "pub")
+    none = lambda tables: spark.createDataFrame([], "rule string, path string, location string, message string")
+    writers.export_public({}, issue, evidence, impact, rules, out, ["source"], check=none)
+    for name in ("issue", "evidence", "impact"):
+        assert {r.issue_id for r in spark.read.parquet(f"{out}/{name}").collect()} == {"i2", "i3"}
+    assert {(r.issue_id, r.redacted) for r in spark.read.parquet(f"{out}/redactions").collect()} == {("i2", 0), ("i3", 0)}
+    bad = lambda tables: spark.createDataFrame([("r", "p", "", "wrong")], "rule string, path string, location string, message string")
+    with pytest.raises(ValueError, match="wrong"):
+        writers.export_public({}, issue, evidence, impact, rules, out + "2", check=bad)
+    assert not writers.exists(spark, out + "2")
+
+
+def test_empty_logs_are_present(spark, tmp_path):
+    base = f"{tmp_path}/issue/2024/01/2024-01-05-x"
+    put(f"{base}/issue.json", {"id": "2024-01-05-x", "type": "infra", "title": {"en-SG": "A"}, "titleMeta": {"source": "m"}})
+    put(f"{base}/evidence.ndjson", "")
+    put(f"{base}/impact.ndjson", "\n")
+    assert readers.read_issue_bundles(spark, str(tmp_path), strict=True)["errors"].count() == 0
+
+
 def test_feature_import(spark):
     rows = [("Point", [103.8, 1.3], n, e, i, c, "20240102030405") for n, e, i, c in [
         ("ns1", "Exit 10", 1, "0" * 16), ("Beta MRT Station", "exit 2", 2, "0" * 16), ("Nowhere", "Exit A", 3, "0" * 16), ("Beta LRT STATION", "Exit ", 4, "0" * 16), ("NS1", "A", 1, "0" * 16)]]
