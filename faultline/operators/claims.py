@@ -14,7 +14,17 @@ from faultline.operators.diff import dedup_semantic
 CLAIM_FIELDS = ["entity", "effect", "scopes", "status_signal", "time_hints", "causes"]
 TEMPLATE_FIELDS = [c for c in CLAIM_FIELDS if c != "entity"]
 EVIDENCE_KEY = ["issue_id", "evidence_id"]
-SYNTHETIC_SEQ = 1 << 40  # completed claims sort after the given ones
+#: Order of claims where some are added: given ones first, then copies; by the (source) claim's number, then by place.
+SEQ = "struct<origin:int,seq:bigint,place:bigint>"
+GIVEN, COPIED = 0, 1
+
+
+def ordered_seq(df: DataFrame, place: Column | int = 0, origin: int = GIVEN) -> Column:
+    """`seq` of a table as an order of three columns; one that is so already stays."""
+    if df.schema["seq"].dataType.simpleString() == SEQ:
+        return F.col("seq")
+    place = place if isinstance(place, Column) else F.lit(place)
+    return F.struct(F.lit(origin).alias("origin"), F.col("seq").cast("long").alias("seq"), place.cast("long").alias("place"))
 
 
 def last_non_null(value: Column, seq: str) -> Column:
@@ -61,8 +71,10 @@ def complete_siblings(claims: DataFrame, services: DataFrame) -> DataFrame:
     """When two or more active services of a line carry one and the same whole-service
     claim, its other active services get a copy.
 
-    Services are counted by two nested aggregations, so no evidence is gathered in one row.
+    Services are counted by two nested aggregations, so no evidence is gathered in one row. `seq` comes back as
+    `SEQ`: copies follow all given claims, in order of the claim they copy and of the service.
     """
+    claims = claims.withColumn("seq", ordered_seq(claims))
     whole = F.col("scopes").isNull() | F.forall("scopes", lambda s: s["type"] == "service.whole")
     eligible = claims.filter((F.col("entity.type") == "service") & F.col("effect.service").isNotNull() & whole)
     dim = services.select(F.col("service_id").alias("_sid"), "line_id", "revisions")
@@ -89,7 +101,7 @@ def complete_siblings(claims: DataFrame, services: DataFrame) -> DataFrame:
         {"type": F.lit("service"), "service_id": F.col("_sid")}.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
         for f in kinds.fields
     ])
-    seq = F.lit(SYNTHETIC_SEQ) + F.col("_seq") * (1 << 20) + F.col("_pos")
+    seq = F.struct(F.lit(COPIED).alias("origin"), F.col("_seq.seq").alias("seq"), F.col("_pos").cast("long").alias("place"))
     made = missing.select(*[
         F.col(c) if c in EVIDENCE_KEY else entity.alias(c) if c == "entity" else seq.alias(c) if c == "seq"
         else F.col(f"_t.{c}").alias(c) for c in claims.columns
@@ -116,7 +128,7 @@ def dedup_claims(claims: DataFrame) -> DataFrame:
 
 
 def normalize_for_evidence(claims: DataFrame, services: DataFrame | None = None) -> DataFrame:
-    """C4: C1, C2, J4, C3, C1 and D5 in this order; without services C2 and J4 are skipped."""
+    """C4: C1, C2, J4, C3, C1 and D5 in this order; without services C2 and J4 are skipped and `seq` keeps its type."""
     out = normalize_claims(claims)
     if services is not None:
         out = dedup_claims(complete_siblings(filter_inactive(out, services), services))

@@ -13,7 +13,7 @@ from faultline.functions.temporal import SGT, micros, parse_instant
 from faultline.functions.text import JSON_OPTIONS, entity_key
 from faultline.lineage import cut_lineage
 from faultline.operators import ordered
-from faultline.operators.claims import _active, clamp_hints, normalize_for_evidence
+from faultline.operators.claims import COPIED, SEQ, _active, clamp_hints, normalize_for_evidence, ordered_seq
 from faultline.operators.fold import ordered_fold
 from faultline.operators.impact import FOLD_PERIOD, compute_impact, from_fold_period, hint_columns, reconcile, to_fold_period
 from faultline.operators.state import bundle_state
@@ -173,7 +173,7 @@ def _replay_step(state: dict, rows: list[dict]):
         if not r["active"]:
             continue
         hints = [hint_for_period(p, opened) for p in (r["periods"] or [])] or [None]
-        claims += [{**base, "hint": h, "row": r, "seq": r["seq"] * 65536 + i} for i, h in enumerate(hints)]
+        claims += [{**base, "hint": h, "row": r, "seq": {**r["seq"], "place": i}} for i, h in enumerate(hints)]
     claims += _copies_for_siblings(claims)
     out, seen = [], set()
     for c in claims:
@@ -214,7 +214,7 @@ def _copies_for_siblings(claims: list[dict]) -> list[dict]:
         return []
     first = whole[0]
     return [
-        {**first, "entity": {**first["entity"], "service_id": s}, "entity_key": f"service:{s}", "seq": (1 << 61) + first["row"]["seq"] * 1024 + i}
+        {**first, "entity": {**first["entity"], "service_id": s}, "entity_key": f"service:{s}", "seq": {**first["row"]["seq"], "origin": COPIED, "place": i}}
         for i, s in enumerate(first["row"]["siblings"]) if s not in present
     ]
 
@@ -237,7 +237,7 @@ def claims_from_log(
         "status_signal": F.lit(None).cast("string"), "causes": F.when(F.size("causes") > 0, F.col("causes")),
         "effect": F.struct(F.col("effect.service").alias("service"), F.col("effect.facility").alias("facility")),
     })
-    base = lambda df: [F.col(c) for c in ("issue_id", "evidence_id", "entity_key", "seq")] + [
+    base = lambda df: [F.col(c) for c in ("issue_id", "evidence_id", "entity_key")] + [ordered_seq(df).alias("seq"),
         F.to_json("entity", {"ignoreNullFields": "false"}).alias("entity"), F.col("entity.service_id").alias("_sid"), body.alias("body"),
         ((F.col("entity.type") == "service") & F.col("effect.service").isNotNull()).alias("anchors"),
         (F.col("scopes").isNull() | F.forall("scopes", lambda s: s["type"] == "service.whole")).alias("_whole")]
@@ -270,7 +270,7 @@ def claims_from_log(
         F.timestamp_diff("SECOND", F.col("ts").cast("timestamp_ntz"), local).cast("int").alias("offset_s"),
     )
     out = T._parse_datatype_string(
-        f"ev_seq bigint, evidence_id string, ts_us bigint, seq bigint, entity string, body string, hint {FOLD_PERIOD}")
+        f"ev_seq bigint, evidence_id string, ts_us bigint, seq {SEQ}, entity string, body string, hint {FOLD_PERIOD}")
     folded = ordered_fold(rows, ["issue_id", "unit"], ["ev_seq", "seq"], _replay_step, {}, out, None, hot_rows)
     parsed = F.from_json("body", f"effect {CLAIM_EFFECT}, scopes array<{SCOPE}>, causes array<string>, status_signal string")
     return folded.withColumn("_b", parsed).select(
@@ -320,7 +320,7 @@ def reconstruct_claims(impact: DataFrame, state: DataFrame) -> DataFrame:
     )
     return rows.select(
         "issue_id", "evidence_id", "entity", "effect", "scopes", F.lit(None).cast("string").alias("status_signal"),
-        hint.alias("time_hints"), "causes", (F.col("seq") * 65536 + F.coalesce("_i", F.lit(0))).alias("seq"))
+        hint.alias("time_hints"), "causes", ordered_seq(rows, F.coalesce("_i", F.lit(0))).alias("seq"))
 
 
 __all__ = [

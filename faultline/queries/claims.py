@@ -203,7 +203,8 @@ def supplier_claims(t):
     at = sgt(F.to_timestamp_ntz(F.lit("1999-06-01 00:00:00")) + F.make_dt_interval(days=(F.col("l_suppkey") % 400).cast("int")))
     return t.lineitem.select(
         F.lit("all").alias("issue_id"), F.concat(F.lit("s"), "l_suppkey").alias("evidence_id"), at.alias("evidence_ts"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), service(F.concat(F.lit("p"), "l_partkey")).alias("entity"),
+        F.struct(F.lit(C.GIVEN).alias("origin"), F.col("l_orderkey").alias("seq"), F.col("l_linenumber").cast("long").alias("place")).alias("seq"),
+        service(F.concat(F.lit("p"), "l_partkey")).alias("entity"),
         F.struct(F.struct(F.col("l_returnflag").alias("kind"), _null("string").alias("duration")).alias("service"), _null("struct<kind:string>").alias("facility")).cast(CLAIM_EFFECT).alias("effect"),
         _null(f"array<{SCOPE}>").alias("scopes"), _null("string").alias("status_signal"), _null(PERIOD).alias("time_hints"), _null("array<string>").alias("causes"))
 
@@ -221,7 +222,7 @@ g AS (SELECT l_suppkey, line, any_value(t0) AS t0, min(l_returnflag) AS flag FRO
 SELECT g.l_suppkey AS supplier, s.p_partkey AS part, flag FROM g JOIN s ON s.line = g.line AND s.a <= g.t0 AND (s.z IS NULL OR g.t0 < s.z)
 WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.l_suppkey = g.l_suppkey AND x.l_partkey = s.p_partkey)""")
 def complete_siblings(t):
-    out = C.complete_siblings(supplier_claims(t), part_services(t)).filter(F.col("seq") >= C.SYNTHETIC_SEQ)
+    out = C.complete_siblings(supplier_claims(t), part_services(t)).filter(F.col("seq.origin") == C.COPIED)
     return out.select(F.substring("evidence_id", 2, 20).cast("long").alias("supplier"), F.substring("entity.service_id", 2, 20).cast("long").alias("part"),
                       F.col("effect.service.kind").alias("flag"))
 
