@@ -16,6 +16,7 @@ import codecs
 import heapq
 import re
 import struct
+import sys
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -34,7 +35,7 @@ MARK = "▁"
 #: Shown by the reference decoder for an unknown piece.
 UNKNOWN_SURFACE = " ⁇ "
 #: Paths of words and agreements of pieces that a task remembers.
-WORDS_KEPT, PAIRS_KEPT = 300_000, 300_000
+WORDS_KEPT, PAIRS_KEPT = 120_000, 200_000
 #: Words above this length are worked out each time.
 LONG_WORD = 64
 
@@ -117,8 +118,8 @@ class Transducer:
             state[""] = i
         self.cut = self._cutter([text for text, _ in usable])
         self.words: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.edges: dict[tuple[int, bool], list[tuple[str, float, float]] | None] = {}
+        self.pairs: dict[int, bool] = {}
+        self.edges: dict[int, tuple[tuple[str, float, float], ...] | None] = {}
         self.controls = {i for i, (_, _, kind) in enumerate(model.pieces) if kind == CONTROL}
         self.written = [self._write(text, kind) for text, _, kind in model.pieces]
         self.sizes = np.array([len(x) for x in self.written], np.int64)
@@ -183,12 +184,12 @@ class Transducer:
         last = [self.model.pieces[i][0] if i >= 0 else "" for i in self.merged(piece, stop=len(piece))] if len(piece) > 1 else []
         return (last[0], last[1]) if len(last) == 2 and piece in self.ids else None
 
-    def edge(self, piece: int, right: bool) -> list[tuple[str, float, float]] | None:
+    def edge(self, piece: int, right: bool) -> tuple[tuple[str, float, float], ...] | None:
         """Parts that stood at one end of a piece while it was merged, the whole first: (part, when it came, when it went).
 
         Merges are dated by their piece's cost, since the best score is merged first. None if merging never yields the piece.
         """
-        key = (piece, right)
+        key = piece * 2 + right
         if key not in self.edges:
             text, out, gone = self.model.pieces[piece][0], [], float("inf")
             while text:
@@ -197,9 +198,9 @@ class Transducer:
                     out = None
                     break
                 came = -self.score[self.ids[text]] if parts else 0.0
-                out.append((text, came, gone))
+                out.append((sys.intern(text), came, gone))
                 text, gone = (parts[1] if right else parts[0]) if parts else "", came
-            self.edges[key] = out
+            self.edges[key] = out if out is None else tuple(out)
         return self.edges[key]
 
     def agree(self, a: int, b: int) -> bool:
@@ -208,11 +209,12 @@ class Transducer:
         It may unless two parts that met at the border at some time would have been merged before either went
         into a larger part of its own piece. Later merges are undone first.
         """
-        found = self.pairs.get((a, b))
+        key = (a << 20) + b
+        found = self.pairs.get(key)
         if found is None:
             if len(self.pairs) >= PAIRS_KEPT:
                 self.pairs.clear()
-            found = self.pairs[a, b] = self._agree(a, b)
+            found = self.pairs[key] = self._agree(a, b)
         return found
 
     def _agree(self, a: int, b: int) -> bool:
@@ -259,7 +261,7 @@ class Transducer:
                 while arcs:
                     end, piece = arcs.pop()
                     if piece >= 0:
-                        fits = pairs.get((last, piece))
+                        fits = pairs.get((last << 20) + piece)
                         if fits is None:
                             fits = agree(last, piece)
                         if not fits:
