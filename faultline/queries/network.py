@@ -78,6 +78,49 @@ def topology_stations(t):
     return topo["code_only"].withColumn("side", F.lit("code_only")).unionByName(topo["path_only"].withColumn("side", F.lit("path_only")))
 
 
+# parts as services of one to three revisions, each with a short path
+_REVISIONS_SQL = """rv AS (SELECT p_partkey AS k, i AS rev, TIMESTAMP '1995-01-01' + to_days(CAST(200 * i + p_partkey % 300 AS INTEGER)) AS a,
+  CASE WHEN (p_partkey + i) % 3 > 0 THEN TIMESTAMP '1995-01-01' + to_days(CAST(200 * i + p_partkey % 300 + 400 AS INTEGER)) END AS z
+  FROM part, range(3) r(i) WHERE i <= p_partkey % 3),
+live AS (SELECT * FROM rv WHERE a <= TIMESTAMP '1996-06-01' AND (z IS NULL OR TIMESTAMP '1996-06-01' < z))"""
+
+
+def part_documents(t):
+    """Parts as service documents."""
+    start = lambda i: _ntz("1995-01-01 00:00:00") + F.make_dt_interval(days=(i * 200 + F.col("p_partkey") % 300).cast("int"))
+    hours = F.struct(F.lit("05:30").alias("start"), F.lit("23:30").alias("end"))
+    revision = lambda i: F.struct(
+        F.concat(F.lit("r"), i).alias("id"), start(i).alias("startAt"), F.when((F.col("p_partkey") + i) % 3 > 0, start(i) + F.expr("interval 400 days")).alias("endAt"),
+        F.struct(F.transform(F.sequence(F.lit(0), i), lambda n: F.struct(F.concat(F.lit("p"), F.col("p_partkey") + n).alias("stationId"))).alias("stations")).alias("path"),
+        F.struct(hours.alias("weekdays"), hours.alias("weekends")).alias("operatingHours"))
+    return t.part.select(F.concat(F.lit("p"), "p_partkey").alias("id"), F.col("p_brand").alias("lineId"),
+                         F.transform(F.sequence(F.lit(0), (F.col("p_partkey") % 3).cast("int")), revision).alias("revisions"))
+
+
+@query("active_revision", f"WITH {_REVISIONS_SQL} SELECT 'p' || k AS service_id, max(rev) AS rev_pos, count(*) AS active FROM live GROUP BY k")
+def active_revision(t):
+    at = _ntz("1996-06-01 00:00:00")
+    last, many = N.active_revision(part_documents(t), at)
+    return last.join(many, "service_id", "left").select("service_id", F.col("rev_pos").cast("long"), F.coalesce("active", F.lit(1)).cast("long").alias("active"))
+
+
+@query("services_at", f"""WITH {_REVISIONS_SQL}, l AS (SELECT k, max(rev) AS rev FROM live GROUP BY k)
+SELECT 'p' || k AS service_id, p_brand AS line_id, rev + 1 AS stops, array_to_string(list_transform(range(rev + 1), lambda n: 'p' || (k + n)), '→') AS path,
+  '05:30-23:30' AS weekdays, '05:30-23:30' AS weekends FROM l JOIN part ON p_partkey = k""")
+def services_at(t):
+    return N.services_at(part_documents(t), _ntz("1996-06-01 00:00:00")).withColumn("stops", F.col("stops").cast("long"))
+
+
+@query("stations_at", """
+SELECT 's' || s_suppkey AS station_id, s_name AS name, CASE WHEN s_suppkey % 4 = 0 THEN 'A' || s_suppkey ELSE 'A' || s_suppkey || ', B' || s_suppkey END AS codes,
+  CASE WHEN s_suppkey % 4 = 0 OR s_nationkey = 0 THEN 'L0' ELSE 'L0, L' || s_nationkey END AS lines FROM supplier""")
+def stations_at(t):
+    code = lambda tag, line, end: F.struct(F.concat(F.lit(tag), "s_suppkey").alias("code"), line.alias("lineId"), _ntz("1990-01-01 00:00:00").alias("startedAt"), end.alias("endedAt"))
+    codes = F.array(code("A", F.lit("L0"), F.lit(None).cast("timestamp_ntz")), code("B", F.concat(F.lit("L"), "s_nationkey"), F.when(F.col("s_suppkey") % 4 == 0, _ntz("1996-06-01 00:00:00"))))
+    stations = t.supplier.select(F.concat(F.lit("s"), "s_suppkey").alias("id"), F.struct(F.col("s_name").alias("en-SG")).alias("name"), codes.alias("stationCodes"))
+    return N.stations_at(stations, _ntz("1996-06-01 00:00:00"))
+
+
 @query("topology_in_month", f"""WITH {_STOPS_SQL}, v AS (SELECT * FROM s WHERE start_at < TIMESTAMP '1998-03-01' AND (end_at IS NULL OR TIMESTAMP '1998-02-01' < end_at)),
 n AS ({_PAIRS_SQL.format('v')})
 SELECT line_id, least(station_id, nxt) || ':' || greatest(station_id, nxt) AS edge, count(*) AS sources FROM n WHERE nxt IS NOT NULL GROUP BY 1, 2""")

@@ -101,18 +101,22 @@ def validation_summary(t):
 _B32 = "0123456789ABCDEFGHJKMNPQRSTVWXYZ"
 
 
+def audited_ids(t, early):
+    ms = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000) - early
+    digit = lambda i: F.substring(F.lit(_B32), (F.floor(ms / F.lit(32 ** (9 - i))) % 32 + 1).cast("int"), F.lit(1))
+    broken = F.col("event_id") % 5 == 4
+    prefix = F.when(F.col("event_id") % 5 == 0, "ie_").otherwise("ev_")
+    tail = F.when(broken, "IIIIIIIIIIIIIIII").otherwise("ABCDEFGHJKMNPQRS")
+    return t.events.select("event_id", "ts", F.concat(prefix, *[digit(i) for i in range(10)], tail).alias("id"))
+
+
 @query("id_audit", """
 SELECT event_id, CASE WHEN event_id % 5 = 4 THEN 0 ELSE 1 END AS id_valid,
   CASE event_id % 5 WHEN 4 THEN NULL WHEN 0 THEN 'impact-event' ELSE 'evidence' END AS id_kind,
   CASE WHEN event_id % 5 <> 4 THEN epoch_us(ts) // 1000 END AS id_millis, CASE WHEN event_id % 5 <> 4 THEN 0 END AS id_drift_ms FROM events""")
 def id_audit(t):
     """Ids built from the event times, every fifth broken, audited back to those times."""
-    ms = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000)
-    digit = lambda i: F.substring(F.lit(_B32), (F.floor(ms / F.lit(32 ** (9 - i))) % 32 + 1).cast("int"), F.lit(1))
-    broken = F.col("event_id") % 5 == 4
-    prefix = F.when(F.col("event_id") % 5 == 0, "ie_").otherwise("ev_")
-    tail = F.when(broken, "IIIIIIIIIIIIIIII").otherwise("ABCDEFGHJKMNPQRS")
-    rows = t.events.select("event_id", "ts", F.concat(prefix, *[digit(i) for i in range(10)], tail).alias("id"))
+    rows = audited_ids(t, F.lit(0))
     out = Q.id_audit(rows, "id", F.unix_micros(F.col("ts").cast("timestamp")))
     return out.select("event_id", F.col("id_valid").cast("int").alias("id_valid"), "id_kind", "id_millis", "id_drift_ms")
 
@@ -121,10 +125,9 @@ def id_audit(t):
 SELECT CASE event_id % 5 WHEN 4 THEN NULL WHEN 0 THEN 'impact-event' ELSE 'evidence' END AS id_kind, count(*) AS ids,
   max(CASE WHEN event_id % 5 <> 4 THEN event_id % 7 END) AS max_drift_ms FROM events GROUP BY 1""")
 def id_summary(t):
-    kind = F.col("event_id") % 5
-    audited = t.events.select(F.when(kind == 0, "impact-event").when(kind < 4, "evidence").alias("id_kind"),
-                              F.when(kind < 4, -(F.col("event_id") % 7)).alias("id_drift_ms"))
-    return Q.id_audit_summary(audited)
+    """Ids whose times are up to six milliseconds before the events'."""
+    rows = audited_ids(t, F.col("event_id") % 7)
+    return Q.id_audit_summary(Q.id_audit(rows, "id", F.unix_micros(F.col("ts").cast("timestamp"))))
 
 
 # --- differences ------------------------------------------------------------------
@@ -289,3 +292,22 @@ def check_contract(t):
     items = t.events.select("event_id", F.to_json(body).alias("raw")).withColumn("c", F.from_json("raw", INGEST_CONTENT)).select("event_id", "raw", "c.*")
     return I.check_contract(items).select("event_id", F.array_join("breaches", ",").alias("breaches"))
 
+
+
+@query("input_diff", f"""WITH {_OLD_SQL}, {_NEW_SQL}
+SELECT coalesce(a.p_partkey, b.p_partkey) AS id, CASE WHEN a.p_partkey IS NULL THEN 'added' WHEN b.p_partkey IS NULL THEN 'removed' ELSE 'shared' END AS status,
+  CASE WHEN a.p_partkey IS NULL OR b.p_partkey IS NULL THEN NULL ELSE CAST(a.p_name <> b.p_name OR a.p_type <> b.p_type AS INTEGER) END AS constraint_changed
+FROM a FULL JOIN b ON a.p_partkey = b.p_partkey""")
+def input_diff(t):
+    """Parts as constraints; their size is only their place, so it does not count."""
+    cols = [F.col("p_partkey").alias("id"), "p_name", "p_type", F.col("p_retailprice").alias("pos")]
+    return diff.input_diff(t.part.select(*cols), altered(t).select(*cols)).withColumn("constraint_changed", F.col("constraint_changed").cast("int"))
+
+
+@query("distinct_times", """SELECT user_id, min(event_id) AS event_id, ts FROM (
+  SELECT user_id, event_id, date_trunc('minute', ts) + to_microseconds(event_id % 3) AS ts FROM events) GROUP BY user_id, ts""".replace("ts FROM (", "strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM (").replace("GROUP BY user_id, ts", "GROUP BY user_id, (ts)"))
+def distinct_times(t):
+    """Rows that differ by a microsecond stay apart."""
+    at = F.date_trunc("minute", "ts").cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("event_id") % 3).cast("decimal(18,6)") / 1000000)
+    rows = t.events.select("user_id", "event_id", at.alias("ts"))
+    return diff.dedup_semantic(rows, ["user_id", "ts"], "event_id").select("user_id", "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from faultline.operators import ordered
 from faultline.operators import state as S
-from faultline.operators.replay import replay_order
+from faultline.operators.replay import events_by_evidence, replay_order
 from faultline.queries.registry import query, sql_text
 from faultline.streaming.state import read_state, streaming_state, write_state
 
@@ -49,10 +49,16 @@ a AS (SELECT issue_id, 'service:' || service AS entity_key,
 SELECT issue_id, entity_key, effect, causes, 'e' || effect_event AS effect_evidence_id,
   'e' || causes_event AS causes_evidence_id FROM a""")
 def bundle_state(t):
+    return S.bundle_state(impact_log(t)).select(
+        "issue_id", "entity_key", F.col("effect.kind").alias("effect"), F.array_join("causes", ",").alias("causes"), "effect_evidence_id", "causes_evidence_id")
+
+
+def impact_log(t):
+    """Events as setters on services, one issue per user."""
     k, v = F.col("event_id") % 4, F.floor("value").cast("long")
     null = lambda c: F.lit(None).cast(c)
     # k = 2 is a facility setter on a service: it sets nothing; k = 3 sets scopes
-    impact = t.events.select(
+    return t.events.select(
         F.concat(F.lit("u"), "user_id").alias("issue_id"), F.col("event_id").alias("seq"), F.concat(F.lit("i"), "event_id").alias("event_id"),
         F.when(k == 0, "service_effects.set").when(k == 1, "causes.set").when(k == 2, "facility_effects.set").otherwise("service_scopes.set").alias("type"),
         F.struct(F.lit("service").alias("type"), F.concat(F.lit("svc-"), F.col("event_id") % 3).alias("service_id"), null("string").alias("station_id"),
@@ -60,8 +66,22 @@ def bundle_state(t):
         F.concat(F.lit("e"), "event_id").alias("evidence_id"), null(f"array<{S.PERIOD}>").alias("periods"), null(f"array<{S.SCOPE}>").alias("service_scopes"),
         F.struct(F.when(v % 2 == 0, "delay").otherwise("no-service").alias("kind"), null("string").alias("duration")).alias("effect"),
         F.array(F.concat(F.lit("c"), v)).alias("causes"))
-    return S.bundle_state(impact).select(
-        "issue_id", "entity_key", F.col("effect.kind").alias("effect"), F.array_join("causes", ",").alias("causes"), "effect_evidence_id", "causes_evidence_id")
+
+
+_LIVE_SETTERS_SQL = """
+WITH e AS (SELECT 'u' || user_id AS issue_id, 'service:svc-' || (event_id % 3) AS entity_key, event_id,
+  CASE event_id % 4 WHEN 0 THEN 'effect' WHEN 1 THEN 'causes' WHEN 3 THEN 'scopes' END AS attribute FROM events)
+SELECT issue_id, entity_key, attribute, {} FROM e WHERE attribute IS NOT NULL GROUP BY 1, 2, 3"""
+
+
+@query("bundle_provenance", _LIVE_SETTERS_SQL.format("'e' || max(event_id) AS evidence_id, 'i' || max(event_id) AS event_id"))
+def bundle_provenance(t):
+    return S.state_provenance(impact_log(t))
+
+
+@query("bundle_live_events", _LIVE_SETTERS_SQL.format("max(event_id) AS seq, 'i' || max(event_id) AS event_id"))
+def bundle_live_events(t):
+    return S.bundle_live_events(impact_log(t))
 
 
 @query("emit_changes", """
@@ -114,9 +134,8 @@ SELECT o.o_orderkey AS issue_id, l.l_linenumber AS seq, l.l_partkey AS part,
 FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey""")
 def evidence_with_events(t):
     """Orders as evidence, line items as its events, each with its place."""
-    rows = ordered.cut(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), ["l_orderkey"], "l_linenumber")
-    placed = ordered.uncut(ordered.rank(rows, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "event_pos"))
-    ev = t.orders.select(F.col("o_orderkey").alias("issue_id"), "o_orderdate")
-    joined = ev.join(placed, ev["issue_id"] == placed["l_orderkey"], "left")
-    return joined.select("issue_id", F.col("l_linenumber").alias("seq"), F.col("l_partkey").alias("part"), "event_pos",
-                         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+    place = F.struct("l_linenumber", "l_partkey", "l_suppkey")
+    events = t.lineitem.select(F.col("l_orderkey").alias("issue_id"), F.lit("all").alias("evidence_id"), place.alias("seq"), F.col("l_partkey").alias("event_id"), F.lit("item").alias("type"))
+    evidence = t.orders.select(F.col("o_orderkey").alias("issue_id"), F.lit("all").alias("evidence_id"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+    joined = events_by_evidence(evidence, events, None)
+    return joined.select("issue_id", F.col("seq.l_linenumber").alias("seq"), F.col("event_id").alias("part"), "event_pos", "ts")
