@@ -76,6 +76,9 @@ def content_text() -> Column:
     )
 
 
+DECISIONS = ("part-of-existing-issue", "part-of-new-issue", "irrelevant-content")
+
+
 def evidence_rows(items: DataFrame, tz: str = SGT) -> DataFrame:
     """Evidence columns per item: id from its content hash, local timestamp text, type, text, URL."""
     at = parse_instant("createdAt")
@@ -100,10 +103,13 @@ def ingest(
     items: `read_ingest` plus item_id; decisions(item_id, kind, issue_id, issue_type, title) with
     kind part-of-existing-issue, part-of-new-issue or irrelevant-content; claims: claim columns keyed
     by item_id. Irrelevant items and new issues without claims are dropped. Items of one issue
-    apply in order of their time, so a batch equals one delivery after another.
+    apply in order of their time, so a batch equals one delivery after another. Items without a known
+    decision, existing issues without an id and new ones whose id would be invalid are `rejected`, with a reason.
     """
     # the batch is written out before and after its issues are known: every later table reads it
-    rows = cut_lineage(evidence_rows(items, tz)).join(decisions, "item_id").filter(F.col("kind").isin("part-of-existing-issue", "part-of-new-issue"))
+    decided = cut_lineage(evidence_rows(items, tz)).join(decisions, "item_id", "left")
+    undecided = decided.filter(~F.coalesce(F.col("kind").isin(*DECISIONS), F.lit(False))).select("item_id", F.lit("no known decision").alias("reason"))
+    rows = decided.filter(F.col("kind").isin("part-of-existing-issue", "part-of-new-issue"))
     claimed = claims.select("item_id").distinct().withColumn("_claimed", F.lit(True))
     rows = rows.join(claimed, "item_id", "left").filter((F.col("kind") == "part-of-existing-issue") | F.col("_claimed"))
     keyed = claims.drop("issue_id", "evidence_id", "evidence_ts").join(rows.select("item_id", "evidence_id", "created_at"), "item_id")
@@ -112,8 +118,10 @@ def ingest(
     day = F.date_format(to_local(F.coalesce("issue_at", "created_at"), "timestamp", tz), "yyyy-MM-dd")
     built = F.concat_ws("-", day, slug("title"))
     new = F.col("kind") == "part-of-new-issue"
-    rows = rows.withColumn("issue_id", F.when(new, F.when(issue_id_valid(built), built)).otherwise(F.col("issue_id"))).filter("issue_id is not null")
+    rows = rows.withColumn("issue_id", F.when(new, F.when(issue_id_valid(built), built)).otherwise(F.col("issue_id")))
     rows = cut_lineage(rows)
+    nameless = rows.filter("issue_id is null").select("item_id", F.when(new, "invalid issue id").otherwise("no issue id").alias("reason"))
+    rows = rows.filter("issue_id is not null")
     created = rows.filter(new).groupBy("issue_id").agg(F.min_by("issue_type", "created_at").alias("type"), F.min_by("title", "created_at").alias("title"))
     placed = ordered.rank(ordered.cut(rows, ["issue_id"], "created_at"), ["issue_id"], ["created_at", "evidence_id"], "ev_seq")
     order = placed.select("item_id", "issue_id", "evidence_id", F.col("created_at").alias("evidence_ts"), "ev_seq")
@@ -128,7 +136,7 @@ def ingest(
         last = touched.groupBy("issue_id").agg(F.max("seq").alias("_last"))
         numbered = numbered.join(last, "issue_id", "left").withColumn("seq", F.col("seq") + F.coalesce("_last", F.lit(0))).drop("_last")
     evidence = rows.select("issue_id", "evidence_id", "ts", "type", "text", "source_url")
-    return {"issue": created, "evidence": evidence, "impact": numbered}
+    return {"issue": created, "evidence": evidence, "impact": numbered, "rejected": undecided.unionByName(nameless)}
 
 
 def write_ingest(result: dict[str, DataFrame], target: str, batch_id: str | int) -> None:

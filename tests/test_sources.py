@@ -186,6 +186,17 @@ def test_ingest_batch(spark):
     ev = out["evidence"].orderBy("ts").collect()
     assert [r.ts for r in ev] == ["2024-01-01T08:00:00.000+08:00", "2024-01-01T09:00:00.000+08:00"]
     assert [(r.seq, r.type) for r in out["impact"].orderBy("seq").collect()] == [(1, "service_effects.set"), (2, "periods.set"), (3, "service_effects.set")]
+    assert out["rejected"].count() == 0
+
+
+def test_ingest_rejects_what_it_cannot_place(spark):
+    raw = [(str(i), {**TWEET, "url": f"https://t.com/{i}"}) for i in range(1, 5)]
+    items = spark.createDataFrame([(i, json.dumps(c)) for i, c in raw], "item_id string, raw string").withColumn("c", F.from_json("raw", S.INGEST_CONTENT)).select("item_id", "raw", "c.*")
+    decisions = spark.createDataFrame([("1", "part-of-new-issue", None, "disruption", "!!"), ("2", "part-of-existing-issue", None, None, None), ("3", "unsure", None, None, None)],
+                                      "item_id string, kind string, issue_id string, issue_type string, title string")
+    claims = spark.createDataFrame([("1", *claim("", "2024-01-01 08:00", svc("A"), service=("delay", None)))], "item_id string, " + S.CLAIM_COLUMNS)
+    got = {r.item_id: r.reason for r in I.ingest(items, decisions, claims)["rejected"].collect()}
+    assert got == {"1": "invalid issue id", "2": "no issue id", "3": "no known decision", "4": "no known decision"}
 
 
 def test_evidence_text(spark):
