@@ -155,11 +155,13 @@ def train(x: np.ndarray, y: np.ndarray) -> Network:
 def fit(features: DataFrame, labels: DataFrame, usable: Column) -> Network:
     """The network, from rows of (doc_id, features) where `usable`, that have a label.
 
-    A bounded sample: the `SAMPLE` labelled documents of least hash. Several labels of a document are averaged.
+    A bounded sample: the `SAMPLE` labelled documents of least hash. Several labels of a document are averaged; of
+    several texts with one doc_id the one of least features counts.
     """
     known = labels.filter("quality is not null and doc_id is not null").filter(usable).groupBy("doc_id").agg(F.avg("quality").alias("target"))
     known = known.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(SAMPLE)
-    rows = features.dropDuplicates(["doc_id"]).join(F.broadcast(known), "doc_id").select("order", "doc_id", "target", "features").toArrow().sort_by([("order", "ascending"), ("doc_id", "ascending")])
+    rows = features.join(F.broadcast(known), "doc_id").groupBy("order", "doc_id", "target").agg(F.min("features").alias("features"))  # SAMPLE rows
+    rows = rows.toArrow().sort_by([("order", "ascending"), ("doc_id", "ascending")])
     width = 2 * SIZE
     x = np.frombuffer(b"".join(v.as_py() for v in rows.column("features")), np.float32).reshape(-1, width).astype(np.float64)
     return train(x, np.round(rows.column("target").to_numpy()))
