@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from faultline.schemas import WEEKDAYS
 
 SGT = "Asia/Singapore"
+# Fixed value: offset at the end of an ISO date-time.
 OFFSET_PATTERN = r"(?i)(Z|[+-]\d{2}:\d{2})$"
 
 

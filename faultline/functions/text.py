@@ -28,6 +28,7 @@ def slug(c: Column | str) -> Column:
     return F.when(hyphened != "", hyphened)
 
 
+# Fixed value: form of an issue id.
 ISSUE_ID_PATTERN = r"^(\d{4})-(\d{2})-(\d{2})-[a-z0-9]+(?:-[a-z0-9]+)*$"
 
 
@@ -60,8 +61,12 @@ def station_name_key(c: Column | str) -> Column:
     return F.lower(F.trim(F.regexp_replace(col(c), r"(?i)\s+(?:MRT|LRT) STATION$", "")))
 
 
+# Fixed value: the word before an exit's label.
+EXIT_WORD = r"(?i)^Exit\s+"
+
+
 def exit_label(c: Column | str) -> Column:
-    label = F.trim(F.regexp_replace(col(c), r"(?i)^Exit\s+", ""))
+    label = F.trim(F.regexp_replace(col(c), EXIT_WORD, ""))
     return F.when(label != "", label)
 
 
@@ -141,9 +146,13 @@ def url_path(c: Column | str) -> Column:
     return F.when(url_ok(c), F.when(path == "", F.lit("/")).otherwise(path))
 
 
+# Fixed value: path of a web archive's copy.
+ARCHIVE_PATH = r"^/web/[^/]+/(.+)$"
+
+
 def archived_url(c: Column | str) -> Column:
     """Address a web-archive copy was made of, plain or percent-encoded."""
     c = col(c)
-    tail = F.regexp_extract(url_path(c), r"^/web/[^/]+/(.+)$", 1)
+    tail = F.regexp_extract(url_path(c), ARCHIVE_PATH, 1)
     inner = F.when(url_ok(tail), tail).otherwise(F.try_url_decode(F.replace(tail, F.lit("+"), F.lit("%2B"))))
     return F.when((url_host(c) == "web.archive.org") & (tail != "") & url_ok(inner), inner)

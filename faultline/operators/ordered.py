@@ -22,7 +22,7 @@ from faultline.lineage import cut_lineage
 
 HOT_ROWS = 2_000_000  # a key with more rows than this is cut
 RANGES = 1024  # cuts per hot key
-MAX_HOT = 500  # hot keys cut; any further key holds at most 1/500 of the rows
+BROADCAST_KEYS = 2_000  # borders of so many hot keys (16 MB) are broadcast, those of more are joined by shuffle
 
 CHUNK, HOT = "_chunk", "_hot"
 
@@ -42,20 +42,15 @@ def _number(df: DataFrame, name: str) -> Column:
 
 
 def find_cuts(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int | None = HOT_ROWS) -> DataFrame | None:
-    """Range borders of the hot keys (at most MAX_HOT x RANGES numbers), or None without hot keys."""
+    """Range borders of the hot keys (`RANGES` numbers each), or None without hot keys."""
     if hot_rows is None:
         return None
     renamed = [F.col(k).alias(k + "_h") for k in keys]
-    hot = (
-        df.groupBy(*renamed).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(MAX_HOT)
-    )
-    found = hot.collect()  # at most MAX_HOT keys
-    if not found:
+    hot = df.groupBy(*renamed).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    if hot.isEmpty():
         return None
-    hot = df.sparkSession.createDataFrame(found, hot.schema)
     rows = df.select(*keys, _number(df, order).alias("_o"))
-    rows = rows.join(F.broadcast(hot), _same(rows, hot, keys, "_h"))
+    rows = rows.join(hot, _same(rows, hot, keys, "_h"))
     points = [i / RANGES for i in range(1, RANGES)]
     return cut_lineage(rows.groupBy(*renamed).agg(F.array_distinct(F.percentile_approx("_o", points)).alias("_cuts")))
 
@@ -64,7 +59,8 @@ def apply_cuts(df: DataFrame, keys: Sequence[str], order: str, cuts: DataFrame |
     """Add `_hot` and `_chunk`; rows that tie on `order` always share a chunk."""
     if cuts is None:
         return df.withColumn(HOT, F.lit(False)).withColumn(CHUNK, F.lit(0))
-    out = df.join(F.broadcast(cuts), _same(df, cuts, keys, "_h"), "left")
+    few = cuts.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    out = df.join(F.broadcast(cuts) if few else cuts, _same(df, cuts, keys, "_h"), "left")
     at = _number(df, order)
     return out.select(
         *df.columns, F.col("_cuts").isNotNull().alias(HOT),

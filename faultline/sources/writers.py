@@ -26,6 +26,12 @@ def exists(spark: SparkSession, target: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def holds_rows(spark: SparkSession, target: str) -> bool:
+    """Whether a table has been written there, beside notes about it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/bucket=*")
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path))
+
+
 def _sample(df: DataFrame, key: str, n: int = 5) -> list:
     return [r[0] for r in df.select(key).limit(n).collect()]
 
@@ -34,14 +40,20 @@ def write_entities(df: DataFrame, target: str, mode: str = "create", key: str =
     """Create-only append, or upsert that rewrites only the id buckets it touches.
 
     The table is partitioned by a hash of the id, so an upsert of a few ids does not rewrite
-    the rest, and a failed write leaves the old buckets in place.
+    the rest, and a failed write leaves the old buckets in place. The number of buckets is kept with
+    the table; `buckets` only counts for a new one.
     """
     spark = df.sparkSession
+    noted = f"{target}/_buckets"
+    if exists(spark, noted):
+        buckets = spark.read.parquet(noted).first()[0]
+    elif not exists(spark, target):
+        spark.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(noted)
     bad = df.filter(~F.coalesce(F.col(key).rlike(SAFE_ID), F.lit(False)))
     if not bad.isEmpty():
         raise ValueError(f"unsafe ids: {_sample(bad, key)}")
     rows = df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-    there = exists(spark, target)
+    there = holds_rows(spark, target)
     old = spark.read.parquet(target) if there else None
     if mode == "create":
         repeated = df.groupBy(key).count().filter("count > 1")

@@ -89,6 +89,15 @@ def test_batches_are_visible_by_marker_and_idempotent(spark, tmp_path):
     assert writers.read_batches(spark, target, "evidence").count() == 2
 
 
+def test_bucket_count_stays_with_the_table(spark, tmp_path):
+    target = str(tmp_path / "town")
+    df = lambda *rows: spark.createDataFrame(list(rows), "id string, v int")
+    writers.write_entities(df(*[(f"a{i}", 1) for i in range(20)]), target, buckets=4)
+    writers.write_entities(df(("a3", 2), ("b", 2)), target, "upsert", buckets=7)
+    rows = {r.id: (r.v, r.bucket) for r in spark.read.parquet(target).collect()}
+    assert len(rows) == 21 and rows["a3"][0] == 2 and {b for _, b in rows.values()} <= set(range(4))
+
+
 def test_public_export(spark, root, tmp_path):
     b = readers.read_issue_bundles(spark, root)
     towns = readers.read_entities(spark, root, "town").filter("_corrupt_record is null").drop("_corrupt_record")
