@@ -64,17 +64,18 @@ def least_matches(n: int, threshold: float, tolerance: float) -> int:
 
 
 class Group:
-    """Texts of one bucket, or of two blocks of it; `sides` tells which block."""
+    """Texts of one bucket's block, or of two of its blocks, those of the first ahead."""
 
-    def __init__(self, band: int, sigs: np.ndarray, sides: np.ndarray, least: list[int]):
-        self.band, self.sigs, self.sides, self.least = band, sigs, sides, least
-        self.cut = int(np.searchsorted(sides, sides[-1])) if len(sides) and sides[0] != sides[-1] else 0
+    def __init__(self, rows: pa.Table, least: list[int]):
+        self.band, self.sigs, self.least = rows.column("band")[0].as_py(), _sigs(rows), least
+        i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+        self.cut = None if i == j else int(np.searchsorted(rows.column("side").to_numpy(), j))
 
     def pairs(self) -> Iterator[tuple[int, np.ndarray]]:
         """Each text with those after it (or of the other block) that this band is the first to pair and that survive pruning."""
         n = len(self.sigs)
-        for a in range(self.cut or n - 1):
-            others = np.arange(self.cut or a + 1, n)
+        for a in range(n - 1 if self.cut is None else self.cut):
+            others = np.arange(a + 1 if self.cut is None else self.cut, n)
             if self.band:
                 equal = self.sigs[others, :self.band * ROWS] == self.sigs[a, :self.band * ROWS]
                 others = others[~equal.reshape(len(others), self.band, ROWS).all(2).any(1)]
@@ -167,7 +168,7 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
             if own.num_rows < 2:
                 continue
             part = np.zeros(own.num_rows, bool)
-            for a, others in Group(own.column("band")[0].as_py(), _sigs(own), own.column("side").to_numpy(), least).pairs():
+            for a, others in Group(own, least).pairs():
                 part[a] = part[others] = True
             if part.any():
                 yield from own.filter(pa.array(part)).combine_chunks().to_batches()
@@ -185,7 +186,7 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
             ids = np.unique(np.concatenate(found), return_inverse=True)[1]
             mark = np.zeros(int(ids.max(initial=-1)) + 1, bool)
             links, root = np.zeros(len(keys), np.int64), np.arange(len(keys))
-            for a, others in Group(own.column("band")[0].as_py(), _sigs(own), own.column("side").to_numpy(), least).pairs():
+            for a, others in Group(own, least).pairs():
                 mark[ids[begin[a]:begin[a + 1]]] = True
                 n = sizes[others]
                 at = np.repeat(begin[others] - (np.cumsum(n) - n), n) + np.arange(n.sum())

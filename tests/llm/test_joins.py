@@ -78,6 +78,16 @@ def test_no_pair_is_emitted_and_empty_is_empty(spark):
     assert ngram_join.classes(empty(spark)).count() == 0 and ngram_join.keep_one(empty(spark)).count() == 0
 
 
+def test_blocks_that_hold_nothing_count_no_link_twice(spark, monkeypatch):
+    """Long texts make blocks of few rows each, so that most blocks of a bucket are empty."""
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 20)
+    rng = random.Random(21)
+    rows = list(enumerate(near_copies(rng, 10, 3, 60)))
+    want = brute_classes(rows)
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.classes(documents(spark, rows)).collect()}
+    assert got == {rows[n][0]: want[n] for n in range(len(rows))}
+
+
 def test_pruning_follows_the_posterior():
     rng = np.random.default_rng(1)
     for n in (32, 128):
