@@ -35,9 +35,7 @@ def held_out() -> Column:
 @query("op1_sentencepiece")
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Piece numbers of every whole text, and the checksum of what they decode to."""
-    model = sentencepiece.load()
-    coded = sentencepiece.encode(read(spark, folder, "documents").select("doc_id", "text"), model).drop("text")
-    back = sentencepiece.decode(coded, model)
+    back = sentencepiece.encode(read(spark, folder, "documents").select("doc_id", "text"), sentencepiece.load(), back="text")
     return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.octet_length("text").cast("long").alias("decoded_bytes"), F.crc32(F.col("text").cast("binary")).alias("decoded_crc32"))
 
 

@@ -381,12 +381,14 @@ def load(path: str = MODEL) -> bytes:
         return file.read()
 
 
-def _mapped(docs: DataFrame, column: str, name: str, kind: str, fn, model: bytes) -> DataFrame:
-    """`docs` with a column `name` of what `fn` of the machines makes of arrays of `column`."""
-    names = [c for c in docs.columns if c.lower() != name.lower()]
+def _mapped(docs: DataFrame, column: str, added: dict[str, str], fn: Callable[[Transducer, pa.Array], list[pa.Array]], model: bytes) -> DataFrame:
+    """`docs` with columns (name: type) of what `fn` of the machines makes of arrays of `column`."""
+    taken = {name.lower() for name in added}
+    names = [c for c in docs.columns if c.lower() not in taken]
     rows = docs.select(F.col(f"`{column}`").alias(fresh(docs, "source")), *[F.col(f"`{c}`") for c in names])
-    schema = StructType([*rows.schema.fields[1:], *StructType.fromDDL(f"made {kind}").fields])
-    schema.fields[-1].name = schema.names[-1] = name
+    schema = StructType(rows.schema.fields[1:])
+    for name, kind in added.items():
+        schema = schema.add(name, StructType.fromDDL(f"made {kind}").fields[0].dataType)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -394,15 +396,22 @@ def _mapped(docs: DataFrame, column: str, name: str, kind: str, fn, model: bytes
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], fn(machine, part.column(0))], [*names, name])
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *fn(machine, part.column(0))], [*names, *added])
 
     return rows.mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, model: bytes, text: str = "text", to: str = "ids") -> DataFrame:
-    """`docs` with an array of piece numbers; empty for a null or empty text. A column of that name is replaced."""
-    rows = docs.withColumn(text, F.col(f"`{text}`").cast("string"))
-    return _mapped(rows, text, to, "array<int>", lambda m, texts: pa.array([m.encode(x.as_py()) for x in texts], pa.list_(pa.int32())), model)
+def encode(docs: DataFrame, model: bytes, text: str = "text", to: str = "ids", back: str | None = None) -> DataFrame:
+    """`docs` with an array of piece numbers; empty for a null or empty text. A column of that name is replaced.
+
+    With `back` a column of that name holds what they decode to, made in the same pass.
+    """
+    def both(machine: Transducer, texts: pa.Array) -> list[pa.Array]:
+        ids = pa.array([machine.encode(x.as_py()) for x in texts], pa.list_(pa.int32()))
+        return [ids] if back is None else [ids, pa.array(machine.decode_all(ids), pa.string())]
+
+    added = {to: "array<int>"} if back is None else {to: "array<int>", back: "string"}
+    return _mapped(docs.withColumn(text, F.col(f"`{text}`").cast("string")), text, added, both, model)
 
 
 def decode(docs: DataFrame, model: bytes, ids: str = "ids", to: str = "text") -> DataFrame:
@@ -410,4 +419,4 @@ def decode(docs: DataFrame, model: bytes, ids: str = "ids", to: str = "text") ->
 
     Decoding undoes encoding, but that a mark written in the text itself comes back as a space.
     """
-    return _mapped(docs, ids, to, "string", lambda m, lists: pa.array(m.decode_all(lists), pa.string()), model)
+    return _mapped(docs, ids, {to: "string"}, lambda machine, lists: [pa.array(machine.decode_all(lists), pa.string())], model)
