@@ -44,8 +44,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """With the piece numbers of the text, and whether they decode to it."""
-    model = sentencepiece.load()
-    back = sentencepiece.decode(sentencepiece.encode(docs, model), model, to="decoded")
+    back = sentencepiece.encode(docs, sentencepiece.load(), back="decoded")
     return back.withColumn("n_pieces", F.size("ids").cast("long")).withColumn("round_trip", F.col("decoded") == F.coalesce("text", F.lit(""))).drop("decoded")
 
 
