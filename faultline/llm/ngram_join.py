@@ -254,13 +254,13 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     Of a class the row of least doc_id stays (nulls last), among equals that of least text key; of rows equal in both, one.
     """
-    key, same = fresh(docs, "text_key"), fresh(docs, "same_rows")
+    key, same, kept_key, kept_id = (fresh(docs, name) for name in ("text_key", "same_rows", "kept_key", "kept_id"))
     members, texts = link(docs, threshold)
     order = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "key")
     own = members.groupBy("key", "doc_id").agg(F.count("*").alias("same")).join(texts.select("key", "root"), "key", "left")
     best = own.groupBy(F.coalesce("root", "key").alias("root")).agg(F.min(F.struct(order.alias("order"), "same")).alias("best"))
-    best = best.select(F.col("best.order.key").alias(key), F.col("best.order.doc_id").alias("__id"), F.col("best.same").alias(same))
+    best = best.select(F.col("best.order.key").alias(kept_key), F.col("best.order.doc_id").alias(kept_id), F.col("best.same").alias(same))
     rows = docs.withColumn(key, text_key("text"))
-    kept = rows.join(best, (rows[key] == best[key]) & rows["doc_id"].eqNullSafe(best["__id"])).drop(best[key]).drop("__id")
+    kept = rows.join(best, (F.col(key) == F.col(kept_key)) & F.col("doc_id").eqNullSafe(F.col(kept_id)))
     whole = kept.filter(F.col(same) == 1).unionByName(kept.filter(F.col(same) > 1).dropDuplicates([key]))
     return whole.select(*[F.col(f"`{c}`") for c in docs.columns])

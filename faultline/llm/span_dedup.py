@@ -128,9 +128,8 @@ def without(text: Column, spans: Column) -> Column:
 
 def remove(docs: DataFrame) -> DataFrame:
     """The rows and columns of `docs`, their texts without repeated, non-first runs."""
-    twin, spans = fresh(docs, "twin"), fresh(docs, "spans")
-    found = cut_lineage(repeated_spans(docs)).select(F.col("doc_id").alias("__id"), F.col("twin").alias("__twin"), F.col("spans").alias(spans))
-    rows = docs.withColumn(twin, _twin())
-    joined = rows.join(found, rows["doc_id"].eqNullSafe(found["__id"]) & (rows[twin] == found["__twin"]), "left")
+    twin, spans, own_id, own_twin = (fresh(docs, name) for name in ("twin", "spans", "own_id", "own_twin"))
+    found = cut_lineage(repeated_spans(docs)).select(F.col("doc_id").alias(own_id), F.col("twin").alias(own_twin), F.col("spans").alias(spans))
+    joined = docs.withColumn(twin, _twin()).join(found, F.col("doc_id").eqNullSafe(F.col(own_id)) & F.col(twin).eqNullSafe(F.col(own_twin)), "left")
     text = F.when(F.col(spans).isNotNull(), without(F.col("text"), F.col(spans))).otherwise(F.col("text"))
     return joined.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faultline.llm.common import fresh
 from faultline.session import small_table
 
 #: Host and path rules: (verdict, host, path). The longest that fits decides.
@@ -78,10 +79,11 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFra
     found = tokens.join(index, "token").filter(F.expr("spot rlike regex"))
     best = lambda kind: F.max(F.when(F.col("kind") == kind, F.struct("priority", "rule", "verdict")))
     judged = found.groupBy("url").agg(best("host").alias("by_host"), best("pattern").alias("by_pattern"))
-    judged = judged.select(F.col("url").alias("__url"), F.col("by_host.rule").alias("__rule"), F.coalesce("by_host.verdict", "by_pattern.verdict").alias("__verdict"))
+    own, rule, verdict = (fresh(pages, name) for name in ("own_url", "own_rule", "own_verdict"))
+    judged = judged.select(F.col("url").alias(own), F.col("by_host.rule").alias(rule), F.coalesce("by_host.verdict", "by_pattern.verdict").alias(verdict))
     return (
         pages.withColumn("host", host).withColumn("path", path)
-        .join(judged, address == F.col("__url"), "left")
-        .withColumn("rule", F.col("__rule")).withColumn("verdict", F.coalesce("__verdict", F.lit("allow")))
-        .drop("__url", "__rule", "__verdict")
+        .join(judged, address == F.col(own), "left")
+        .withColumn("rule", F.col(rule)).withColumn("verdict", F.coalesce(verdict, F.lit("allow")))
+        .drop(own, rule, verdict)
     )
