@@ -94,6 +94,22 @@ def test_ratio_equals_a_loop_and_rejects_junk(spark):
     assert (quality_rules.log_ratios(docs, quality_rules.trusted_documents(labels.filter("false"))) == 0).all()
 
 
+@pytest.mark.parametrize("n", [40, 300])
+def test_good_text_without_a_label_stays_at_any_size(spark, n):
+    rng = random.Random(9)
+    spoken = lambda: sample(rng.choice(sorted(LANGUAGES)), rng, 50) + " " + " ".join(f"{rng.choice('bdfgklm')}{rng.choice('aeiou')}{rng.randrange(10**5)}" for _ in range(10))
+    rows = [(i, spoken()) for i in range(2 * n)] + [(2 * n + i, " ".join(rng.choice(["#", "buy", "click", "%%", "now"]) + str(rng.randrange(10**4)) for _ in range(60))) for i in range(n // 4)]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(n)], "doc_id long, quality int, toxic int")
+    ratios = quality_rules.log_ratios(docs, quality_rules.trusted_documents(labels))
+    got = {r["doc_id"]: (r["log_ratio"], r["kept"]) for r in quality_rules.judge(docs, ratios, carry=["doc_id"]).collect()}
+    share = lambda ids: np.mean([got[i][1] for i in ids])
+    assert share(range(n)) >= 0.98 and share(range(n, 2 * n)) >= 0.98 and share(range(2 * n, len(rows))) == 0
+    # labelled and unlabelled texts score alike
+    assert abs(np.mean([got[i][0] for i in range(n)]) - np.mean([got[i][0] for i in range(n, 2 * n)])) < 0.2 * abs(ratios.threshold)
+    assert {r["doc_id"] for r in quality_rules.filter_quality(docs, labels).collect()} == {i for i, v in got.items() if v[1]}
+
+
 def test_classifier_learns_and_is_calibrated(spark):
     rng = random.Random(7)
     rows = [(i, prose(rng, 40) if i % 3 else " ".join(x + "***" for x in prose(rng, 40).split())) for i in range(300)]
