@@ -17,6 +17,8 @@ from faultline.llm.common import fresh
 LARGE_SHARE = 1 / 64
 #: A group above this share of a shard is cut, into pieces of about `CUT_TO` of a shard.
 CUT_FROM, CUT_TO = 0.9, 0.25
+#: A lighter group above this part of a shard's part of a bucket, in any measure, is placed before the small ones.
+MEDIUM_PART = 1 / 4
 #: Groups that one task packs.
 PACK_ROWS = 20_000
 #: Rows whose places in a shard one task counts.
@@ -41,7 +43,16 @@ def pack(vectors: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _pack_buckets(room: np.ndarray):
-    """Packs each bucket of a task's rows; a bucket's rows are together and in a fixed order."""
+    """Packs each bucket of a task's rows; a bucket's rows are together and in a fixed order.
+
+    Each bucket sees the shards in an order of its own and with up to one mean item more room each, so that last items
+    do not favour the same shards in all buckets.
+    """
+
+    def pack_one(vectors: np.ndarray, bucket: int) -> np.ndarray:
+        rng = np.random.default_rng(bucket)
+        order = rng.permutation(len(room)).astype(np.int32)
+        return order[pack(vectors, room[order] + rng.random((len(room), 1)) / len(vectors))[0]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -59,21 +70,30 @@ def _pack_buckets(room: np.ndarray):
         bucket = rows.column("bucket").to_numpy()
         edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else []
         vectors = np.stack([rows.column(c).to_numpy() for c in ("bytes", "tokens", "rows")], 1).astype(np.float64)
-        shard = np.concatenate([pack(vectors[a:b], room)[0] for a, b in zip(edges[:-1], edges[1:])])
-        yield from rows.select(["key"]).append_column("shard", pa.array(shard)).to_batches()
+        shard = np.concatenate([pack_one(vectors[a:b], int(bucket[a])) for a, b in zip(edges[:-1], edges[1:])])
+        yield from rows.select(["key", "bytes", "tokens", "rows"]).append_column("shard", pa.array(shard)).to_batches()
 
     return run
 
 
+def _dealt(groups: DataFrame, buckets: int, room: np.ndarray) -> DataFrame:
+    """The groups and their shards, packed bucket by bucket."""
+    rows = groups.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
+    dealt = rows.repartition(min(buckets, 20_000), "bucket").sortWithinPartitions("bucket", "key")
+    return dealt.mapInArrow(_pack_buckets(room), "key binary, bytes long, tokens long, rows long, shard int")
+
+
 def shard_documents(docs: DataFrame, shards: int = 16, keep_together: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, size, text_crc32, tokens, shard, slot.
 
     `size` is the UTF-8 length plus 1 (a null text has length 0 and the checksum of an empty one). Rows of equal
     text form a group and share a shard. Only a group above `CUT_FROM` of a shard is cut, by a hash of doc_id
     (equal ids of one text stay together). Groups above `LARGE_SHARE` of a shard, of which there can be no more
-    than shards / LARGE_SHARE per measure, are placed first; the driver sees their sums. All others are dealt to buckets of about
-    `PACK_ROWS` rows by hash, and each bucket is packed on its own into what the large ones left, so no task and
-    no driver ever holds all groups, and shards differ by the last small items of the buckets. Slots count from 0
+    than shards / LARGE_SHARE per measure, are placed first; the driver sees their sums. Small groups are dealt to buckets of about
+    `PACK_ROWS` rows by hash. Those that would be much of a bucket (`MEDIUM_PART`) are packed before, `PACK_ROWS` groups to a
+    task, into what the large ones left; then each bucket of small ones is packed on its own into what the measured sums
+    of the shards leave. So no task and no driver ever holds all groups, and shards differ by the last small items of the
+    buckets, or of the medium ones where small groups are too few to even them out. Slots count from 0
     without gaps in each shard, in an order of hashes. Same rows, same result, whatever the partitioning. An empty
     table gives an empty result.
     """
@@ -110,9 +130,16 @@ def shard_documents(docs: DataFrame, shards: int = 16, keep_together: str = "tex
     placed = docs.sparkSession.createDataFrame(heavy.select(["key", "piece"]).append_column("shard", pa.array(chosen, pa.int32())), "key binary, piece int, shard int")
 
     buckets = math.ceil(whole["rows"] / PACK_ROWS)
-    light = groups.filter(of_shard <= LARGE_SHARE).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
-    dealt = light.repartition(min(buckets, 20_000), "bucket").sortWithinPartitions("bucket", "key")
-    packed = dealt.mapInArrow(_pack_buckets(room), "key binary, shard int")
+    medium = (of_shard <= LARGE_SHARE) & (of_shard * buckets > F.lit(MEDIUM_PART))
+    n_medium = groups.filter(medium).count()
+    packed = None
+    if n_medium:  # no more than 3 * shards / MEDIUM_PART for each bucket of rows
+        packed = cut_lineage(_dealt(groups.filter(medium), math.ceil(n_medium / PACK_ROWS), room))
+        for row in packed.groupBy("shard").agg(*measures).collect():
+            filled[row["shard"]] += [row[c] for c in names]
+        room = (total / shards - filled) / np.maximum(total - filled.sum(0), 1)
+    small = _dealt(groups.filter((of_shard <= LARGE_SHARE) & ~medium), buckets, room)
+    packed = (small if packed is None else small.unionByName(packed)).select("key", "shard")
     columns = ["doc_id", F.col("bytes").alias("size"), "text_crc32", "tokens", "shard", "key"]
     with_shard = marked.filter("piece is not null").join(F.broadcast(placed), ["key", "piece"]).select(*columns)
     with_shard = with_shard.unionByName(marked.filter("piece is null").join(packed, "key").select(*columns))

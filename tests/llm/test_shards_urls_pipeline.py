@@ -50,6 +50,19 @@ def test_shards(spark, monkeypatch, pack_rows):
     assert sharding.shard_documents(empty(spark), 16).count() == 0
 
 
+@pytest.mark.parametrize("singles", [38, 2])
+def test_shards_are_even_where_groups_are_much_of_a_bucket(spark, monkeypatch, singles):
+    monkeypatch.setattr(sharding, "PACK_ROWS", 50)
+    rng = random.Random(21)
+    copies = [t for g in range(400) for t in [f"group {g:05} of copies"] * rng.randrange(4, 15)]
+    texts = copies + [f"single {i:05} no copy" for i in range(400 * singles)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sharding.shard_documents(rows, 8).select("shard", "size", "text_crc32").collect()
+    sums = np.bincount([r["shard"] for r in got], [r["size"] for r in got], 8)
+    assert len(got) == len(texts) and sums.max() <= 1.03 * sums.mean() and sums.min() >= 0.97 * sums.mean()
+    assert len({(r["shard"], r["text_crc32"]) for r in got}) == len(set(texts))
+
+
 def judged(url):
     """What a page gets, by trying every rule."""
     if url is None or "://" not in url:
