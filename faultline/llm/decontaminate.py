@@ -17,12 +17,14 @@ from faultline.llm.common import PLAIN, buffers, fresh, mix, odd_multipliers, pi
 #: Word positions that count. Together the masks meet any 12 words with two substitutions, 10 with one, 20 with four.
 MASKS = ((0, 3, 5, 6, 8, 9), (0, 2, 3, 5, 6, 7), (0, 1, 4, 5, 6, 7), (0, 1, 2, 4, 8, 9))
 SPAN = 10
+#: With these, items of 10 and 11 words are met whatever two of their words are substituted.
+SHORT_MASKS = ((0, 1, 2, 3, 4, 6), (0, 1, 3, 5, 7, 8))
 #: Shorter items are no evidence; items below `SPAN` words must occur word for word.
 LEAST_WORDS = 5
 #: An overlap counts with this many equal words, or this share of a shorter item's; and with this share of equal words.
 ENOUGH, SHARE = 13, 0.8
-#: Cost of a substitution against a match when the ends of an overlap are sought.
-SUBSTITUTION = 2
+#: Cost of a substitution against a match: segments whose sum is not negative are exactly those of `SHARE`.
+SUBSTITUTION = 4
 #: Words of test items a task holds at once; more items are met in as many passes.
 BLOCK_WORDS = 2_000_000
 
@@ -47,14 +49,15 @@ class Items:
         _, _, hashes, first = tokens(*buffers(texts), PLAIN)
         self.names = [name for name, _ in items]
         self.words = [hashes[a:b] for a, b in zip(first[:-1], first[1:])]
-        masks = list(enumerate(MASKS))
+        near = any(SPAN <= len(w) < SPAN + 2 for w in self.words)
+        masks = list(enumerate(MASKS + SHORT_MASKS if near else MASKS))
         short = sorted({len(w) for w in self.words if LEAST_WORDS <= len(w) < SPAN})
         self.masks = masks + [(len(masks) + n, tuple(range(n))) for n in short]
         keys, item, start = [], [], []
         for i, words in enumerate(self.words):
             for number, mask in self.masks:
                 whole = number >= len(masks)
-                if whole != (len(words) < SPAN) or whole and len(mask) != len(words):
+                if whole != (len(words) < SPAN) or whole and len(mask) != len(words) or mask in SHORT_MASKS and len(words) >= SPAN + 2:
                     continue
                 own = seed_keys(words, mask, number)
                 keys.append(own)
@@ -67,15 +70,18 @@ class Items:
         self.present[self.keys >> np.uint64(64 - _FILTER_BITS)] = True
 
     def overlap(self, item: int, text: np.ndarray, shift: int) -> tuple[int, int, int] | None:
-        """Best overlap of an item laid on a text, its word 0 at `shift`: (first text word, end, equal words)."""
+        """Of all overlaps of an item laid on a text with `SHARE` of equal words the one with most of them, word 0 at `shift`: (first text word, end, equal words)."""
         own = self.words[item]
         low, high = max(shift, 0), min(shift + len(own), len(text))
         equal = text[low:high] == own[low - shift:high - shift]
+        hits = np.concatenate([[0], np.cumsum(equal)])
         sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, -SUBSTITUTION))])
-        gain = sums - np.minimum.accumulate(sums)
-        end = len(gain) - 1 - int(np.argmax(gain[::-1]))  # of equal ones the longest
-        begin = int(np.argmin(sums[:end + 1]))
-        same = int(equal[begin:end].sum())
+        # the first start from which the sum up to each end is not negative: the most equal words for that end
+        starts = np.searchsorted(-np.minimum.accumulate(sums), -sums)
+        end = int(np.argmax(hits - hits[starts]))
+        begin = int(starts[end])
+        begin += int(np.argmax(equal[begin:end])) if end > begin else 0
+        same = int(hits[end] - hits[begin])
         need = ENOUGH if len(own) >= ENOUGH / SHARE else math.ceil(SHARE * len(own)) if len(own) >= SPAN else len(own)
         return (low + begin, low + end, same) if same >= need and same >= SHARE * (end - begin) else None
 

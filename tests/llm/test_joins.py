@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +131,27 @@ def test_leaks_are_found_with_substitutions(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, _ in rows if i not in {d for d, _ in want})
 
 
+def test_more_leaked_text_never_hides_a_hit():
+    item = [f"word{i}" for i in range(76)]
+    for runs in ((20, 8, 20, 8, 20), (13, 6, 13, 6, 13), (13,), (20, 9, 20)):
+        text, at = [], 0
+        for k, n in enumerate(runs):
+            text += item[at:at + n] if k % 2 == 0 else ["changed"] * n
+            at += n
+        index = decontaminate.Items([(0, " ".join(item))])
+        (_, _, low, high, same), = index.find(pa.array([" ".join(text)]))
+        brute = max(sum(a == b for a, b in zip(text[i:j], item[i:j])) for i in range(len(text)) for j in range(i + 1, len(text) + 1) if sum(a == b for a, b in zip(text[i:j], item[i:j])) >= 0.8 * (j - i))
+        assert same == brute and same >= 0.8 * (high - low)
+
+
+@pytest.mark.parametrize("n", [10, 11, 12])
+def test_any_two_substitutions_are_met(n):
+    item = [f"word{i}" for i in range(n)]
+    index = decontaminate.Items([(0, " ".join(item))])
+    texts = [" ".join("x" if k in (i, j) else w for k, w in enumerate(item)) for i in range(n) for j in range(i)]
+    assert len({h[0] for h in index.find(pa.array(texts))}) == len(texts)
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     rng = random.Random(14)
     items = [(i, prose(rng, 20)) for i in range(12)]
