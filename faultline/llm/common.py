@@ -190,17 +190,17 @@ def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
 
     Each round links every node's larger neighbours to its least neighbour, then its smaller ones likewise;
     rounds grow with the logarithm of a component's size. All groupings are minima, combined before they
-    are shuffled, so a node with very many neighbours is no burden for one task.
+    are shuffled, and are written before they meet the links, so that Spark can split a node with very many neighbours.
     """
     both = lambda e: e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     links = cut_lineage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     known = None
     for _ in range(rounds):
         around = both(links)
-        least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = cut_lineage(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = around.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = cut_lineage(large.filter("a <> b").distinct())
+        low = cut_lineage(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         small = small.unionByName(low.select("a", F.col("m").alias("b")))
         links = cut_lineage(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
