@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.lineage import cut_lineage
+from faultline.lineage import discard, written
 
 #: Bytes of text that are hashed at once.
 CHUNK = 2 << 20
@@ -193,17 +193,27 @@ def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     are shuffled, and are written before they meet the links, so that Spark can split a node with very many neighbours.
     """
     both = lambda e: e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = cut_lineage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    spark, old, own = edges.sparkSession, [], []
+
+    def keep(df: DataFrame) -> DataFrame:
+        out, path = written(df)
+        own.append(path)
+        return out
+
+    links = keep(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     known = None
     for _ in range(rounds):
+        old, own = own, []
         around = both(links)
-        least = cut_lineage(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+        least = keep(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = around.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = cut_lineage(large.filter("a <> b").distinct())
-        low = cut_lineage(large.groupBy("a").agg(F.min("b").alias("m")))
+        large = keep(large.filter("a <> b").distinct())
+        low = keep(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         small = small.unionByName(low.select("a", F.col("m").alias("b")))
-        links = cut_lineage(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        passed, own = own, []
+        links = keep(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        discard(spark, old + passed)
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == known:
             break

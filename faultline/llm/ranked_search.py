@@ -240,7 +240,10 @@ def search(docs: DataFrame, items: DataFrame, item_id: str = "item_id", top: int
     whole = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     out = None
     for part in passes(wanted):
-        found = _one_pass(whole, Items(part.collect()), top, of_item, of_doc)
+        held = part.collect()
+        if not held:
+            continue
+        found = _one_pass(whole, Items(held), top, of_item, of_doc)
         out = found if out is None else cut_lineage(out.unionByName(found))
     if out is None:
         out = spark.createDataFrame([], f"item {of_item.simpleString()}, rank int, doc_id {of_doc.simpleString()}, score long")
