@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from faultline.lineage import ensure_checkpoint_dir
 from faultline.llm import decontaminate, ngram_join, pii, quality_rules, sentencepiece
+from faultline.llm.common import small_batches
 
 #: Log-likelihood ratios and MinHash have no SQL form.
 ORACLE_SQL = None
@@ -20,6 +21,7 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality rules reject."""
+    small_batches(spark)
     return quality_rules.filter_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -30,6 +32,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that overlap a benchmark item."""
+    small_batches(spark)
     return decontaminate.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -44,6 +47,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """With the piece numbers of the text, and whether they decode to it."""
+    small_batches(spark)
     back = sentencepiece.encode(docs, sentencepiece.load(), back="decoded")
     return back.withColumn("n_pieces", F.size("ids").cast("long")).withColumn("round_trip", F.col("decoded") == F.coalesce("text", F.lit(""))).drop("decoded")
 

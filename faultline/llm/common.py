@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.lineage import discard, written
@@ -185,6 +185,16 @@ def pieces(batch: pa.RecordBatch, column: int, limit: int = CHUNK) -> Iterator[p
         start = stop
 
 
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Let Spark hand tasks Arrow batches of at most `most` bytes, unless the session names a limit other than the usual one.
+
+    The usual limit, 64 MB, is held several times over by each task, in the executor and in its Python process.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) in ("67108864", "67108864b", "64m", "64MB"):
+        spark.conf.set(name, str(most))
+
+
 def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     """Connected components of (a, b) edges: (node, root), root the least node; only nodes with an edge.
 

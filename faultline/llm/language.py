@@ -30,13 +30,15 @@ def letters(c: Column) -> Column:
 def dictionaries(docs: DataFrame, usable: Column) -> list[tuple[str, bytes]]:
     """(language, raw dictionary content), learnt from rows where `usable`; the most common language first.
 
-    A bounded sample: of each language the `SAMPLE_DOCS` texts of least hash, `SAMPLE_CHARS` characters of each,
-    so the driver gets that much per language. Every task keeps only its own least before the shuffle. How common
-    a language is, is counted over all usable rows.
+    A bounded sample: of each language the `SAMPLE_DOCS` distinct texts of least hash that hold a letter, of each the first
+    `SAMPLE_CHARS` characters of what `letters` makes of the whole text, so the driver gets that much per language. Copies count once.
+    How common a language is, is counted over all usable rows.
     """
     rows = docs.filter(usable).select(F.col("lang").cast("string"), F.col("text").cast("string").alias("text")).filter("lang is not null and text is not null")
-    some = rows.select("lang", F.xxhash64("text").alias("h"), letters(F.substring("text", 1, SAMPLE_CHARS)).alias("part")).filter("part is not null")
-    some = some.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "part"))).filter(f"n <= {SAMPLE_DOCS}")
+    hashed = rows.filter(F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
+    least = hashed.select("lang", "h").distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(f"n <= {SAMPLE_DOCS}")
+    some = hashed.join(F.broadcast(least), ["lang", "h"])  # SAMPLE_DOCS rows a language
+    some = some.groupBy("lang", "n").agg(F.min(F.substring(letters(F.col("text")), 1, SAMPLE_CHARS)).alias("part"))
     learnt: dict[str, list] = {}
     for row in some.select("lang", "n", "part").toLocalIterator():
         learnt.setdefault(row["lang"], []).append((row["n"], row["part"]))

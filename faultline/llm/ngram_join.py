@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.lineage import cut_lineage
-from faultline.llm.common import WORDS, buffers, components, fresh, odd_multipliers, pieces, text_key, tokens, windows
+from faultline.llm.common import WORDS, buffers, components, fresh, odd_multipliers, pieces, small_batches, text_key, tokens, windows
 
 #: Words of an n-gram, and the similarity from which two texts are linked.
 WIDTH, THRESHOLD = 5, 0.8
@@ -121,6 +121,7 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
     A pair is examined in the first band that it shares, so it is counted once, and no row is made per pair: blocks of a
     bucket meet in one task, which gives each of their texts its number of links and a root.
     """
+    small_batches(docs.sparkSession)
     least = [least_matches((k + 1) * STEP, threshold, tolerance) for k in range(HASHES // STEP)]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

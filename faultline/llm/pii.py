@@ -27,13 +27,15 @@ REGEX = {
 }
 #: What a text must hold for a kind to be searched for.
 HINT = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-#: A token with a digit near its start, of six characters or more: what may turn out to be an identifier.
-MENTION = r"(?<![A-Za-z0-9_])(?=[A-Za-z_./:#-]{0,24}[0-9])[A-Za-z0-9_]++(?:[-./:#@][A-Za-z0-9_]++)*+"
+#: A token with a digit, of any length: what may turn out to be an identifier.
+MENTION = r"(?<![A-Za-z0-9_])(?=[A-Za-z_./:#@-]*+[0-9])[A-Za-z0-9_]++(?:[-./:#@][A-Za-z0-9_]++)*+"
 #: Name of added spans.
 ADDED = "id"
 
 ROUNDS = 3
-#: Seeds a pattern must have met, how sure a pattern must be to count, and how sure an instance must be to be added.
+#: Characters of the text on either side from which a context is read, white space counted once.
+CONTEXT = 256
+#: Support a pattern must have met (a seed is 1, a sure instance its sureness), how sure a pattern must be to count, and how sure an instance must be to be added.
 SUPPORT, PATTERN_SURE, INSTANCE_SURE = 3, 0.6, 0.8
 #: Array elements summed at once when match positions are worked out.
 BLOCK = 256
@@ -60,7 +62,8 @@ def found(text: Column, regex: str, present: Column) -> Column:
     def one(c: Column, steps: Column, starts: Column, x: Column, i: Column) -> Column:
         b = (i / BLOCK).cast("int")
         start = F.get(starts, b) + total(F.slice(steps, b * BLOCK + 1, i - b * BLOCK)) + F.length(F.get(c["p"], i))
-        around = [F.right(F.get(c["p"], i), F.lit(64)).alias("before"), F.left(F.get(c["p"], i + 1), F.lit(64)).alias("after")]
+        gap = lambda k: F.regexp_replace(F.get(c["p"], k), r"\s+", " ")
+        around = [F.right(gap(i), F.lit(CONTEXT)).alias("before"), F.left(gap(i + 1), F.lit(CONTEXT)).alias("after")]
         return F.struct(start.alias("start"), (start + F.length(x)).alias("end"), x.alias("value"), *around)
 
     def placed(c: Column) -> Column:
@@ -114,22 +117,23 @@ def scan(docs: DataFrame) -> DataFrame:
     for kind in KINDS:
         present = F.col("text").contains("@") if kind == "email" else F.col("text").rlike(HINT[kind])
         kinds.append(F.filter(found(F.col("text"), REGEX[kind], present), partial(holds, kind)).alias(kind))
-    long = F.filter(found(F.col("text"), MENTION, F.col("text").rlike("[0-9]")), lambda m: F.length(m["value"]) >= 6)
-    return cut_lineage(rows.select("doc_id", "key", *kinds, long.alias("mentions")))
+    mentions = found(F.col("text"), MENTION, F.col("text").rlike("[0-9]"))
+    return cut_lineage(rows.select("doc_id", "key", *kinds, mentions.alias("mentions")))
 
 
 def score_instances(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(instance, sure) of the instances to add, from edges (pattern, instance, seed).
 
-    A seed is sure (1) throughout. A pattern's sureness is the mean of its distinct instances', times s / (s + 1) for s seeds
-    met, and counts only from `SUPPORT` seeds and `PATTERN_SURE` on; another instance's is 1 - product(1 - pattern's).
+    A seed is sure (1) throughout. A pattern's sureness is the mean of its distinct instances', times s / (s + 1) for its support
+    s, the sum over its seeds and its instances of `INSTANCE_SURE` or more; it counts only from `SUPPORT` and `PATTERN_SURE` on. Another
+    instance's is 1 - product(1 - pattern's). So instances found in one round make new patterns in the next.
     """
     edges = cut_lineage(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
     sure = None
     for _ in range(rounds):
         own = F.col("seed").cast("double")
         known = edges.withColumn("own", own) if sure is None else edges.join(sure, "instance", "left").withColumn("own", F.coalesce(F.when(F.col("seed"), F.lit(1.0)).otherwise(F.col("sure")), F.lit(0.0))).drop("sure")
-        patterns = known.groupBy("pattern").agg(F.avg("own").alias("mean"), F.sum(F.col("seed").cast("int")).alias("s"))
+        patterns = known.groupBy("pattern").agg(F.avg("own").alias("mean"), F.sum(F.when(F.col("seed") | (F.col("own") >= INSTANCE_SURE), F.col("own")).otherwise(0.0)).alias("s"))
         patterns = patterns.filter(F.col("s") >= SUPPORT).select("pattern", (F.col("mean") * F.col("s") / (F.col("s") + 1)).alias("p")).filter(F.col("p") >= PATTERN_SURE)
         raised = edges.filter(~F.col("seed")).join(patterns, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log(1 - F.least("p", F.lit(0.999)))))).alias("sure"))
         sure = cut_lineage(raised)

@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.lineage import cut_lineage
-from faultline.llm.common import WORDS, buffers, components, fresh, odd_multipliers, pieces, text_key, tokens, windows
+from faultline.lineage import cut_lineage, discard, written
+from faultline.llm.common import WORDS, buffers, components, fresh, odd_multipliers, pieces, small_batches, text_key, tokens, windows
 
 #: Words of a shingle, and the similarity from which documents are linked, in hundredths.
 WIDTH, PERCENT = 5, 85
@@ -94,9 +95,21 @@ def estimate(greater: np.ndarray, less: np.ndarray, n: np.ndarray, m: np.ndarray
     return (low + high) / 2
 
 
+@lru_cache
+def least_equal(percent: int) -> int:
+    """Equal registers that a pair of the similarity has but once in a thousand million times; each is equal at least as likely as the similarity says."""
+    below, share = 0.0, percent / 100
+    for k in range(REGISTERS + 1):
+        below += math.comb(REGISTERS, k) * share**k * (1 - share) ** (REGISTERS - k)
+        if below > 1e-9:
+            return k
+    return REGISTERS
+
+
 def may_reach(own: np.ndarray, others: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     """Whether pairs of sets may have the similarity, by their sizes and by the joint likelihood of their registers."""
     out = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+    out &= np.count_nonzero(own == others, axis=1) >= least_equal(percent)  # spares most pairs the likelihood
     at = np.flatnonzero(out)
     own = own[at] if own.ndim == 2 else own
     greater, less = (own > others[at]).sum(1), (own < others[at]).sum(1)
@@ -152,14 +165,22 @@ def sketch(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(sign, f"doc_id {kind}, key binary, n long, sketch binary")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, shingles) of the texts whose key is wanted, as bytes of ascending hashes; each text once."""
+def _texts(docs: DataFrame, wanted: DataFrame) -> tuple[DataFrame, str]:
+    """(key, text) of the texts whose key is wanted, each once, and the path of the table that holds them."""
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
             yield batch.filter(pa.array(_new(batch.column(0).to_pylist(), seen)))
 
+    text = lower(F.col("text"))
+    rows = docs.select(text_key(text).alias("key"), text.alias("text")).mapInArrow(once, "key binary, text string")
+    return written(rows.join(wanted, "key", "left_semi").dropDuplicates(["key"]))
+
+
+def _sets(held: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, shingles) of the texts whose key is wanted, as bytes of ascending hashes."""
+
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, 1):
@@ -167,9 +188,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 sets = [hashes[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(sets, pa.binary())], ["key", "shingles"])
 
-    text = lower(F.col("text"))
-    rows = docs.select(text_key(text).alias("key"), text.alias("text")).mapInArrow(once, "key binary, text string")
-    return rows.join(wanted, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(gather, "key binary, shingles binary")
+    return held.join(wanted, "key", "left_semi").mapInArrow(gather, "key binary, shingles binary")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[pa.Table]:
@@ -197,7 +216,7 @@ def _registers(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(x.as_py() for x in column), ">u2").astype(np.uint16).reshape(len(column), REGISTERS)
 
 
-def follow(banded: DataFrame, texts: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def follow(banded: DataFrame, texts: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     """(a, b) links of texts to the leader of a bucket, its text of least key: one pair a text and bucket, equal pairs once."""
     pairs = cut_lineage(banded.filter("key <> leader").select("leader", "key").distinct())
     ahead = texts.select(F.col("key").alias("leader"), F.col("n").alias("m"), F.col("sketch").alias("other"))
@@ -217,18 +236,18 @@ def follow(banded: DataFrame, texts: DataFrame, docs: DataFrame, percent: int) -
     put = likely.join(parts, "leader").select("leader", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), "key")
     own = parts.select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("leader").alias("key"))
     rows = cut_lineage(put.unionByName(own))
-    together = rows.join(_sets(docs, rows.select("key").distinct()), "key").select("leader", "part", (F.col("key") == F.col("leader")).alias("ahead"), "key", "shingles")
+    together = rows.join(_sets(held, rows.select("key").distinct()), "key").select("leader", "part", (F.col("key") == F.col("leader")).alias("ahead"), "key", "shingles")
     together = together.repartition("leader", "part").sortWithinPartitions("leader", "part", F.desc("ahead"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, mine = None, np.zeros(0, np.uint64)
         for batch in batches:
             found = []
-            for leader, ahead, key, held in zip(*[batch.column(c) for c in ("leader", "ahead", "key", "shingles")]):
-                leader, held = leader.as_py(), np.frombuffer(held.as_buffer(), np.uint64)
+            for leader, ahead, key, shingles in zip(*[batch.column(c) for c in ("leader", "ahead", "key", "shingles")]):
+                leader, own = leader.as_py(), np.frombuffer(shingles.as_buffer(), np.uint64)
                 if ahead.as_py():
-                    name, mine = leader, held
-                elif name == leader and linked(mine, held, percent):
+                    name, mine = leader, own
+                elif name == leader and linked(mine, own, percent):
                     found.append((key.as_py(), leader))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
 
@@ -244,7 +263,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return both > 0 and 100 * both >= percent * (n - both)
 
 
-def across(banded: DataFrame, texts: DataFrame, roots: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def across(banded: DataFrame, texts: DataFrame, roots: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     """(a, b) links between texts of a bucket that no chain of links connects yet.
 
     Buckets whose texts are all connected are done. Of the others, blocks meet in one task; a pair is met in the first band that it
@@ -271,22 +290,22 @@ def across(banded: DataFrame, texts: DataFrame, roots: DataFrame, docs: DataFram
 
     kinds = "bucket long, i int, j int, band int, side int, key binary, root binary, n long, sketch binary"
     likely = cut_lineage(deal(met).mapInArrow(prune, kinds))
-    sets = _sets(docs, likely.select("key").distinct())
+    shingled = _sets(held, likely.select("key").distinct())
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own in _groups(batches, ("bucket", "i", "j")):
             keys = own.column("key").to_pylist()
-            held = [np.frombuffer(x.as_buffer(), np.uint64) for x in own.column("shingles")]
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in own.column("shingles")]
             top = np.unique(np.array(own.column("root").to_pylist(), object), return_inverse=True)[1]
             found = []
             for a, others in _pairs(own, percent):
                 for b in others.tolist():
-                    if top[a] != top[b] and linked(held[a], held[b], percent):
+                    if top[a] != top[b] and linked(sets[a], sets[b], percent):
                         top[top == top[b]] = top[a]
                         found.append((keys[a], keys[b]))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
 
-    whole = likely.join(sets, "key").select("bucket", "i", "j", "band", "side", "key", "root", "n", "sketch", "shingles")
+    whole = likely.join(shingled, "key").select("bucket", "i", "j", "band", "side", "key", "root", "n", "sketch", "shingles")
     return cut_lineage(deal(whole).mapInArrow(verify, "a binary, b binary"))
 
 
@@ -316,15 +335,18 @@ def connect(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFra
     All texts of a bucket are first compared with its least one; only texts that are then still apart are compared with each other, so a
     group of n copies costs n comparisons, and no link that would join two components is left out.
     """
+    small_batches(docs.sparkSession)
     lean = cut_lineage(sketch(docs))
     texts = cut_lineage(lean.filter("sketch is not null").select("key", "n", "sketch").dropDuplicates(["key"]))
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.struct(k.alias("band"), F.xxhash64(k, F.substring("sketch", k * (2 * ROWS) + 1, F.lit(2 * ROWS))).alias("bucket")))
     banded = texts.select("key", "n", F.explode(bands).alias("b")).select("key", "n", "b.band", "b.bucket")
     shared = cut_lineage(banded.groupBy("bucket").agg(F.min("key").alias("leader"), F.count("*").alias("many")).filter("many > 1").drop("many"))
     banded = cut_lineage(banded.join(shared, "bucket"))
-    links = follow(banded, texts, docs, percent)
+    held, path = _texts(docs, banded.select("key").distinct())
+    links = follow(banded, texts, held, percent)
     roots = components(links).withColumnRenamed("node", "key")
-    more = across(banded, texts, roots, docs, percent)
+    more = across(banded, texts, roots, held, percent)
+    discard(docs.sparkSession, [path])
     if not more.isEmpty():
         roots = components(links.unionByName(more)).withColumnRenamed("node", "key")
     sizes = lean.filter("n is not null").groupBy("key").agg(F.max("n").alias("n"))

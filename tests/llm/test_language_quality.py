@@ -29,6 +29,16 @@ def spoken(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string")
 
 
+def test_copies_and_late_letters_in_the_sample(spark):
+    rng = random.Random(9)
+    texts = [sample("en", rng) for _ in range(5)] + ["1 " * 3000 + sample("en", rng)]
+    rows = [(i, t) for i, t in enumerate([*texts, *[texts[0]] * 200])]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows] + [(999, "7 " * 900 + "la casa del rey", "es")], "doc_id long, text string, lang string")
+    learnt = dict(language.dictionaries(docs, F.lit(True)))
+    assert sorted(x.strip() for x in learnt["en"].decode().split("\n")) == sorted(t.lstrip("1 ")[:400].strip() for t in texts)
+    assert learnt["es"].decode().strip() == "la casa del rey"
+
+
 def test_language_by_compression(spark, spoken):
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     learnt = language.dictionaries(spoken, ~held)

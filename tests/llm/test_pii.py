@@ -52,6 +52,14 @@ def test_contexts_find_identifiers_no_kind_covers(spark):
     assert all(not got[i] for i in [*range(12), 13, 14])
 
 
+def test_contexts_grow_and_have_no_limits_of_length(spark):
+    first = [f"please write to my address {x} if lost" for x in [f"user{i}@mail{i}.example.org" for i in range(30)] + [f"agent-{i}41" for i in range(6)]]
+    second = [f"hand this over to {x} before noon" for x in [f"agent-{i}41" for i in range(6)] + ["porter-777"]]
+    far = ["please write to my address" + " " * 70 + "agent-00412 if lost", "please write to my address " + "a" * 30 + "-00412 if lost", "please write to my address x7 if lost"]
+    got = {r["doc_id"]: r["added"] for r in pii.find(documents(spark, list(enumerate(first + second + far)))).select("doc_id", "added").collect()}
+    assert all(len(got[i]) == 1 for i in range(30, 36 + len(second) + len(far)))
+
+
 def test_scores_follow_the_rule(spark):
     edges = [("p", f"s{i}", True) for i in range(4)] + [("p", "x", False), ("q", "x", False), ("q", "y", False)]
     got = {r[0]: r[1] for r in pii.score_instances(spark.createDataFrame(edges, "pattern string, instance string, seed boolean"), 4).collect()}
