@@ -124,32 +124,51 @@ def fingerprint(df: DataFrame, key: str, cols: Sequence[str], collection: str) -
     return df.select(F.lit(collection).alias("collection"), F.col(key).cast("string").alias("id"), digest(*cols).alias("sha256"))
 
 
+#: Words of a row's hash that are summed, and what they are summed by.
+LANES, LANE = 4, 2**64
+
+
+def _lanes(text: Column) -> list[Column]:
+    """The words of a row's hash as numbers."""
+    h = F.sha2(text, 256)
+    return [F.conv(F.substring(h, 16 * i + 1, 16), 16, 10).cast("decimal(20,0)").alias(f"_w{i}") for i in range(LANES)]
+
+
+def multiset_digest(rows: DataFrame, by: Sequence[str], text: Column) -> DataFrame:
+    """(by, n, sha256) of each group's rows in any order, repeated rows counted.
+
+    Every word of the rows' hashes is summed modulo 2^64: a group of any number of rows combines before the shuffle in constant
+    space, and unlike an exclusive-or a row that stands there twice does not vanish.
+    """
+    sums = rows.select(*by, *_lanes(text)).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"_w{i}").alias(f"_w{i}") for i in range(LANES)])
+    words = [F.coalesce(F.pmod(F.col(f"_w{i}"), F.lit(str(LANE)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), F.lit("0")) for i in range(LANES)]
+    return sums.select(*by, "n", F.sha2(F.concat_ws("|", F.col("n").cast("string"), *words), 256).alias("sha256"))
+
+
 def fingerprint_bundle(
     issue: DataFrame, evidence: DataFrame, impact: DataFrame,
     issue_cols: Sequence[str], evidence_cols: Sequence[str], impact_cols: Sequence[str],
 ) -> DataFrame:
-    """M1: one digest per bundle over its issue, evidence and events in file order.
+    """M1: one digest per bundle over its issue, evidence and events, each row with its place in its file."""
+    def placed(df, cols, tag, place):
+        return df.select("issue_id", F.concat_ws("|", F.lit(tag), place.cast("string"), stable_json(*cols)).alias("_text"))
 
-    Each row is hashed together with its place; the bundle keeps the exclusive-or of those
-    hashes in four words, so a bundle with any number of rows combines before the shuffle
-    in constant space.
-    """
-    def placed(df, cols, tag, seq):
-        h = F.sha2(F.concat_ws("|", F.lit(tag), F.col(seq).cast("string"), stable_json(*cols)), 256)
-        rows = df.select("issue_id", h.alias("_h"))
-        return rows.select("issue_id", *[
-            F.conv(F.substring("_h", 16 * i + 1, 16), 16, -10).cast("long").alias(f"_w{i}") for i in range(4)
-        ])
-
-    rows = placed(issue.withColumn("_z", F.lit(0)), issue_cols, "issue", "_z").unionByName(
-        placed(evidence, evidence_cols, "evidence", "line_no")).unionByName(placed(impact, impact_cols, "impact", "seq"))
-    rolled = rows.groupBy("issue_id").agg(
-        *[F.bit_xor(f"_w{i}").alias(f"_w{i}") for i in range(4)], F.count(F.lit(1)).alias("_n")
-    )
-    return rolled.select(
-        F.lit("issues").alias("collection"), F.col("issue_id").alias("id"),
-        F.sha2(F.concat_ws("|", "_n", *[f"_w{i}" for i in range(4)]), 256).alias("sha256"),
-    )
+    rows = placed(issue, issue_cols, "issue", F.lit(0)).unionByName(
+        placed(evidence, evidence_cols, "evidence", F.col("line_no"))).unionByName(placed(impact, impact_cols, "impact", F.col("seq")))
+    made = multiset_digest(rows, ["issue_id"], F.col("_text"))
+    return made.select(F.lit("issues").alias("collection"), F.col("issue_id").alias("id"), "sha256")
+
+
+def fingerprint_table(df: DataFrame, cols: Sequence[str], collection: str, name: str) -> DataFrame:
+    """M1: one digest of a whole table, its rows in any order; an empty table has one as well."""
+    made = multiset_digest(df, [], stable_json(*cols))
+    return made.select(F.lit(collection).alias("collection"), F.lit(name).alias("id"), "sha256")
+
+
+def fingerprint_rights(registry: DataFrame, licence: str) -> DataFrame:
+    """M1: digests of the data licence's text (empty where there is none) and of the source registry."""
+    text = registry.sparkSession.range(1).select(F.lit("rights").alias("collection"), F.lit("licence_data").alias("id"), F.sha2(F.lit(licence), 256).alias("sha256"))
+    return text.unionByName(fingerprint_table(registry, registry.columns, "rights", "source_registry"))
 
 
 def changed(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from faultline.functions.temporal import in_month, valid_at
 from faultline.functions.text import pair_key
 from faultline.lineage import cut_lineage
+from faultline.operators.graph import contract
 from faultline.operators import ordered
 
 
@@ -258,16 +259,16 @@ def orient_trunks(trunks: DataFrame, reference_stops: DataFrame, line: str = "li
 
 
 def components(near: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Connected components by smallest id: labels hop to neighbours until none changes."""
-    near = cut_lineage(near)  # read by every round
-    labels = cut_lineage(near.select(*keys, "node").distinct().withColumn("component", F.col("node")))
-    while True:
-        offered = near.join(labels, [*keys, "node"]).select(*keys, F.col("neighbour").alias("node"), "component")
-        nxt = cut_lineage(labels.unionByName(offered).groupBy(*keys, "node").agg(F.min("component").alias("component")))
-        moved = nxt.join(labels.withColumnRenamed("component", "_old"), [*keys, "node"]).filter("component <> _old")
-        labels = nxt
-        if moved.isEmpty():
-            return labels
+    """Connected components by smallest id, in rounds that grow with the logarithm of their size.
+
+    near(keys, node, neighbour); a node without a neighbour is a component of its own.
+    """
+    near = cut_lineage(near)
+    name = lambda c: F.struct(*keys, F.col(c).alias("id"))
+    roots = contract(near.filter("neighbour is not null").select(name("node").alias("a"), name("neighbour").alias("b")))
+    roots = roots.select(*[F.col(f"node.{k}").alias(k) for k in keys], F.col("node.id").alias("node"), F.col("root.id").alias("component"))
+    nodes = near.select(*keys, "node").distinct()
+    return nodes.join(roots, [*keys, "node"], "left").select(*keys, "node", F.coalesce("component", "node").alias("component"))
 
 
 def _depth_first(pdf: pd.DataFrame) -> pd.DataFrame:

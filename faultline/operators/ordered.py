@@ -35,10 +35,20 @@ def _same(left: DataFrame, right: DataFrame, names: Sequence[str], suffix: str)
 
 
 def _number(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType.typeName()
+    """A number that never falls where the order column rises; rows of equal number share a range.
+
+    Text counts by its first six bytes, a struct by its first field.
+    """
+    kind = df.schema[name].dataType
+    at = F.col(name)
+    while kind.typeName() == "struct":
+        at, kind = at[kind.fields[0].name], kind.fields[0].dataType
+    if kind.typeName() == "string":
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(at, "utf-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    kind = kind.typeName()
     if kind in ("timestamp", "timestamp_ntz", "date"):
-        return F.unix_micros(F.col(name).cast("timestamp"))
-    return F.col(name).cast("double")
+        return F.unix_micros(at.cast("timestamp"))
+    return at.cast("double")
 
 
 def find_cuts(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int | None = HOT_ROWS) -> DataFrame | None:

@@ -9,9 +9,9 @@ from faultline.operators import platforms as P
 from faultline.queries.registry import query, sql_text
 from faultline.session import small_table
 
-# a stop's place is its line number, then its part, so equal places are equal stations
+# a stop's place is its line number, then its part, in digits of fixed length, so equal places are equal stations
 _STOPS_SQL = """s AS (SELECT l_orderkey AS service_id, 'L' || (l_orderkey % 40) AS line_id, 'p' || l_partkey AS station_id,
-  CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey AS pos, o_orderdate AS start_at,
+  lpad(CAST(l_linenumber AS VARCHAR), 10, '0') || lpad(CAST(l_partkey AS VARCHAR), 19, '0') AS pos, o_orderdate AS start_at,
   CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate + to_days(CAST(300 + o_orderkey % 90 AS INTEGER)) END AS end_at
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey)"""
 _PAIRS_SQL = "SELECT *, lead(station_id) OVER (PARTITION BY service_id ORDER BY pos) AS nxt FROM {}"
@@ -22,7 +22,7 @@ def path_stops(t):
     items = t.lineitem.join(t.orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
     return items.select(
         F.col("l_orderkey").alias("service_id"), F.concat(F.lit("L"), F.col("l_orderkey") % 40).alias("line_id"), F.lit(0).alias("rev_pos"),
-        F.concat(F.lit("p"), "l_partkey").alias("station_id"), (F.col("l_linenumber").cast("long") * 1000000000 + F.col("l_partkey")).alias("pos"),
+        F.concat(F.lit("p"), "l_partkey").alias("station_id"), F.concat(F.lpad(F.col("l_linenumber").cast("string"), 10, "0"), F.lpad(F.col("l_partkey").cast("string"), 19, "0")).alias("pos"),
         F.col("o_orderdate").alias("start_at"), end.alias("end_at"))
 
 

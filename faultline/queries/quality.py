@@ -200,6 +200,21 @@ def fingerprint_changes(t):
     return diff.changed(diff.fingerprint(t.part, "p_partkey", cols, "parts"), diff.fingerprint(altered(t), "p_partkey", cols, "parts")).select("id", "status")
 
 
+@query("bundle_changes", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 7 = 0 THEN 'removed' ELSE 'changed' END AS status
+FROM orders WHERE o_orderkey % 7 = 0 OR (o_orderkey % 5 = 0 AND o_orderkey IN (SELECT l_orderkey FROM lineitem))""")
+def bundle_changes(t):
+    """Orders as bundles: some lose a side, some hold each line twice and then another line twice."""
+    issue = t.orders.select(F.col("o_orderkey").alias("issue_id"), "o_orderstatus", "o_orderdate")
+    line = t.lineitem.select(F.col("l_orderkey").alias("issue_id"), F.col("l_linenumber").alias("line_no"), "l_partkey", "l_shipdate")
+    event = t.orders.select(F.col("o_orderkey").alias("issue_id"), F.lit(1).alias("seq"), "o_orderpriority")
+    twice = line.unionByName(line.filter("issue_id % 5 = 0"))
+    other = twice.withColumn("l_partkey", F.when(F.col("issue_id") % 5 == 0, F.col("l_partkey") + 1).otherwise(F.col("l_partkey")))
+    made = lambda i, l, e: diff.fingerprint_bundle(i, l, e, i.columns[1:], l.columns[1:], e.columns[1:])
+    stay = lambda df: df.filter("issue_id % 7 <> 0")
+    return diff.changed(made(issue, twice, event), made(stay(issue), stay(other), stay(event))).select(F.col("id").cast("string").alias("id"), "status")
+
+
 @query("dedup_semantic", """
 SELECT l_orderkey, l_linestatus, l_returnflag, CAST(min(l_linenumber) AS BIGINT) AS first_line FROM lineitem GROUP BY 1, 2, 3""")
 def dedup_semantic(t):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.text import issue_id_valid
 from faultline.lineage import cut_lineage
-from faultline.operators.diff import fingerprint, fingerprint_bundle
+from faultline.operators.diff import fingerprint, fingerprint_bundle, fingerprint_rights
 from faultline.operators.quality import raise_on_errors
 from faultline.operators.rights import redact
 
@@ -107,13 +107,14 @@ def read_batches(spark: SparkSession, target: str, table: str) -> DataFrame:
 
 def export_public(
     entities: Mapping[str, DataFrame], issue: DataFrame, evidence: DataFrame, impact: DataFrame, rules: DataFrame, out: str,
-    hidden_paths: Sequence[str] = (), root: str = "", check: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None,
+    hidden_paths: Sequence[str] = (), root: str = "", check: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None, licence: str = "",
 ) -> DataFrame:
     """Redact, validate, fingerprint and publish; returns the manifest.
 
     Records below a hidden path are left out where a table carries `path`: its first segments below `root` are a
     hidden path's. Evidence and events of hidden issues are left out too. `check` makes error rows of the tables;
-    nothing is published if there are any. `redactions` has the number of redacted texts per issue.
+    nothing is published if there are any. `redactions` has the number of redacted texts per issue. The manifest also
+    has the digests of the rules and of the licence's text.
     """
     def hidden(df):
         below = F.regexp_replace("path", "^/+", "") if not root else F.regexp_replace(F.replace("path", F.lit(root.rstrip("/") + "/"), F.lit("")), "^/+", "")
@@ -143,5 +144,6 @@ def export_public(
     for name in entities:
         df = tables[name]
         manifest = manifest.unionByName(fingerprint(df, "id", df.columns, name))
+    manifest = manifest.unionByName(fingerprint_rights(rules, licence))
     manifest.write.mode("overwrite").parquet(f"{out}/manifest")
     return manifest.sparkSession.read.parquet(f"{out}/manifest")

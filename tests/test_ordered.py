@@ -48,3 +48,16 @@ def test_rows_tied_on_order_share_a_chunk(spark):
 
 def test_hot_detection_reads_no_result_rows(log):
     assert O.find_cuts(log, ["k"], "o", 10_000) is None
+
+
+def test_text_and_struct_orders(spark):
+    rng = random.Random(3)
+    names = ["", "a", "b\u00e9", "abcdefg", "abcdefh", "Z", None]
+    rows = [("h", rng.choice(names), rng.randrange(1000), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, t string, n long, i long").withColumn("s", F.struct("n", "i"))
+    for order in (["t", "i"], ["s"]):
+        cut = O.cut(df, ["k"], order[0], 20)
+        got = sorted((r["i"], r["x"]) for r in O.rank(cut, ["k"], order, "x").collect())
+        want = df.withColumn("x", F.row_number().over(W.partitionBy("k").orderBy(*order)))
+        assert got == sorted((r["i"], r["x"]) for r in want.collect())
+        assert cut.select(O.CHUNK).distinct().count() > 2
