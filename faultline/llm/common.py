@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.lineage import discard, written
+from faultline.operators.graph import contract as components  # noqa: F401
 
 #: Bytes of text that are hashed at once.
 CHUNK = 2 << 20
@@ -193,42 +193,3 @@ def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(name) in ("67108864", "67108864b", "64m", "64MB"):
         spark.conf.set(name, str(most))
-
-
-def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
-    """Connected components of (a, b) edges: (node, root), root the least node; only nodes with an edge.
-
-    Each round links every node's larger neighbours to its least neighbour, then its smaller ones likewise;
-    rounds grow with the logarithm of a component's size. All groupings are minima, combined before they
-    are shuffled, and are written before they meet the links, so that Spark can split a node with very many neighbours.
-    """
-    both = lambda e: e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    spark, old, own = edges.sparkSession, [], []
-
-    def keep(df: DataFrame) -> DataFrame:
-        out, path = written(df)
-        own.append(path)
-        return out
-
-    links = keep(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    known = None
-    for _ in range(rounds):
-        old, own = own, []
-        around = both(links)
-        least = keep(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
-        large = around.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = keep(large.filter("a <> b").distinct())
-        low = keep(large.groupBy("a").agg(F.min("b").alias("m")))
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        small = small.unionByName(low.select("a", F.col("m").alias("b")))
-        passed, own = own, []
-        links = keep(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-        discard(spark, old + passed)
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == known:
-            break
-        known = state
-    else:
-        raise RuntimeError("components did not settle")
-    roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return roots.unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
