@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -125,25 +127,17 @@ def _offset(i: Column, n: Column, length: Column) -> Column:
     return F.when(i == n, length).otherwise(half_up(length * i / n, QUANTUM_S)).cast("int")
 
 
-def departures(scheduled: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(departures, windows no interval count satisfies).
-
-    Per window the interval count closest to the ideal whose quantised gaps all lie within
-    the headway range, smaller counts first on ties. Window ends are exclusive but for the
-    last window of the day; its first and last instants are the sourced trains.
+def interval_counts(classes: DataFrame) -> DataFrame:
+    """The classes (_len, _hw, _lo, _hi: seconds) with `_n`, the valid count closest to the ideal, or null.
 
     Whether a count fits needs no look at every gap: rounding an even spacing leaves only
     the two multiples of the quantum around it, how many of each follows from the last
     rounded offset, and the gap to the unrounded end is one more test.
     """
-    rows = scheduled.filter("error is null and first_train is not null and last_train is not null").select(
-        *keep, F.element_at("windows", 1)["start_s"].alias("_first"), F.element_at("windows", -1)["end_s"].alias("_last"),
-        F.explode("windows").alias("w"))
-    length = F.col("w.end_s") - F.col("w.start_s")
+    len_, lo, hi = F.col("_len"), F.col("_lo"), F.col("_hi")
     rows = keep_computed(
-        rows, _len=length, _ideal=F.greatest(F.lit(1), half_up(length / F.col("w.headway_s"))).cast("int"),
-        _low=F.greatest(F.lit(1), F.ceil(length / F.col("w.max_s"))).cast("int"), _high=F.floor(length / F.col("w.min_s")).cast("int"))
-    lo, hi, len_ = F.col("w.min_s"), F.col("w.max_s"), F.col("_len")
+        classes, _ideal=F.greatest(F.lit(1), half_up(len_ / F.col("_hw"))).cast("int"),
+        _low=F.greatest(F.lit(1), F.ceil(len_ / hi)).cast("int"), _high=F.floor(len_ / lo).cast("int"))
 
     def fits(n: Column) -> Column:
         reach = _offset(n - 1, n, len_)  # last rounded offset
@@ -158,7 +152,27 @@ def departures(scheduled: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, Da
 
     valid = F.filter(F.when(F.col("_low") <= F.col("_high"), F.sequence("_low", "_high")), fits)
     best = F.array_min(F.transform(valid, lambda n: F.struct(F.abs(n - F.col("_ideal")).alias("d"), n.alias("n"))))
-    rows = keep_computed(rows, _n=best["n"])
+    return keep_computed(rows, _n=best["n"]).drop("_ideal", "_low", "_high")
+
+
+def departures(scheduled: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(departures, windows no interval count satisfies).
+
+    Per window the interval count closest to the ideal whose quantised gaps all lie within
+    the headway range, smaller counts first on ties. Window ends are exclusive but for the
+    last window of the day; its first and last instants are the sourced trains.
+
+    Windows of equal length and headways have equal counts, so each such class is solved once and joined back; classes are few
+    (lengths below two days, headways of the profiles), which Spark sees when it has made them distinct.
+    """
+    rows = scheduled.filter("error is null and first_train is not null and last_train is not null").select(
+        *keep, F.element_at("windows", 1)["start_s"].alias("_first"), F.element_at("windows", -1)["end_s"].alias("_last"),
+        F.explode("windows").alias("w"))
+    shape = {"_len": F.col("w.end_s") - F.col("w.start_s"), "_hw": F.col("w.headway_s"), "_lo": F.col("w.min_s"), "_hi": F.col("w.max_s")}
+    rows = rows.select("*", *[c.alias(n) for n, c in shape.items()])
+    solved = interval_counts(rows.select(*shape).distinct())
+    same = [F.col(n).eqNullSafe(F.col(f"{n}_k")) for n in shape]
+    rows = rows.join(solved.select(*[F.col(n).alias(f"{n}_k") for n in shape], "_n"), reduce(and_, same))
     failed = rows.filter("_n is null").select(*keep, F.col("w.start_s").alias("start_s"), F.col("w.end_s").alias("end_s"))
     last_i = F.when(F.col("w.end_s") == F.col("_last"), F.col("_n")).otherwise(F.col("_n") - 1)
     times = rows.filter("_n is not null").withColumn("_i", F.explode(F.sequence(F.lit(0), last_i)))
