@@ -71,26 +71,71 @@ l AS (SELECT *, lag(value) OVER (PARTITION BY issue_id, entity_key, type ORDER B
 SELECT issue_id, entity_key, 'e' || i AS evidence_id, type, value FROM l WHERE before IS NULL OR before <> value"""
 
 
+def impact_value():
+    first = F.col("service_scopes")[0]
+    return (F.when(F.col("type") == "causes.set", F.col("causes")[0])
+            .when(F.col("type") == "service_scopes.set", F.concat(first["type"], F.coalesce(first["station_id"], F.lit(""))))
+            .otherwise(F.concat("effect.kind", F.coalesce("effect.duration", F.lit("")))))
+
+
 @query("impact_attributes", _IMPACT_SQL)
 def impact_attributes(t):
     """Effect, scope and cause events; periods, a fold, are in compute_impact."""
     events = compute_impact(event_claims(t), event_issues(t)).filter("type <> 'periods.set'")
-    first = F.col("service_scopes")[0]
-    value = (F.when(F.col("type") == "causes.set", F.col("causes")[0])
-             .when(F.col("type") == "service_scopes.set", F.concat(first["type"], F.coalesce(first["station_id"], F.lit(""))))
-             .otherwise(F.concat("effect.kind", F.coalesce("effect.duration", F.lit("")))))
-    return events.select("issue_id", "entity_key", "evidence_id", "type", value.alias("value"))
-
-
-@query("compute_impact")
+    return events.select("issue_id", "entity_key", "evidence_id", "type", impact_value().alias("value"))
+
+
+# One step of the recursion is one hint: `p` holds the periods of an entity after its first `n` hints.
+_PERIODS_CTE = """h AS (
+  SELECT user_id, event_type, event_id AS i, CASE WHEN event_id % 50 = 49 THEN 'recurring' WHEN event_id % 4 = 0 THEN 'fixed' WHEN event_id % 4 = 1 THEN 'start-only' ELSE 'end-only' END AS kind,
+    ts AS s, CASE WHEN event_id % 50 = 49 THEN ts + INTERVAL 20 DAY WHEN event_id % 8 = 4 THEN NULL ELSE ts + to_minutes(CAST(floor(value) AS BIGINT)) END AS e,
+    row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS n
+  FROM events WHERE event_id % 50 = 49 OR event_id % 4 < 3),
+f AS (
+  SELECT user_id, event_type, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS i, false AS moved,
+    CAST([] AS STRUCT(kind VARCHAR, s TIMESTAMP, e TIMESTAMP, ws VARCHAR, we VARCHAR)[]) AS p FROM h WHERE n = 1
+  UNION ALL
+  SELECT user_id, event_type, n, i, q IS DISTINCT FROM p, q FROM (
+    SELECT h.user_id, h.event_type, h.n, h.i, f.p, CASE h.kind
+      WHEN 'recurring' THEN [{'kind': 'recurring', 's': h.s, 'e': h.e, 'ws': '22:00:00', 'we': '23:30:00'}]
+      WHEN 'start-only' THEN CASE WHEN len(f.p) = 0 THEN [{'kind': 'fixed', 's': h.s, 'e': CAST(NULL AS TIMESTAMP), 'ws': CAST(NULL AS VARCHAR), 'we': CAST(NULL AS VARCHAR)}]
+        ELSE list_transform(f.p, lambda x: {'kind': x.kind, 's': CASE WHEN x.kind = 'fixed' THEN least(x.s, h.s) ELSE h.s END, 'e': x.e,
+          'ws': CASE WHEN x.kind = 'recurring' AND x.s <> h.s THEN strftime(h.s, '%H:%M:%S') ELSE x.ws END, 'we': x.we}) END
+      WHEN 'end-only' THEN list_transform(f.p, lambda x: {'kind': x.kind, 's': x.s, 'e': CASE WHEN x.kind = 'fixed' THEN coalesce(x.e, h.e) ELSE h.e END, 'ws': x.ws,
+          'we': CASE WHEN x.kind = 'recurring' THEN strftime(h.e, '%H:%M:%S') END})
+      ELSE list_reduce(
+        list_transform(list_sort(list_transform(list_append(list_filter(f.p, lambda x: x.kind = 'fixed'), {'kind': 'fixed', 's': h.s, 'e': h.e, 'ws': CAST(NULL AS VARCHAR), 'we': CAST(NULL AS VARCHAR)}),
+          lambda x, k: {'s': x.s, 'k': k, 'x': x})), lambda y: [y.x]),
+        lambda done, y: CASE WHEN done[-1].e IS NULL OR done[-1].e >= y[1].s THEN list_append(done[:-2], {'kind': 'fixed', 's': done[-1].s,
+            'e': CASE WHEN done[-1].e IS NOT NULL AND y[1].e IS NOT NULL THEN greatest(done[-1].e, y[1].e) END, 'ws': CAST(NULL AS VARCHAR), 'we': CAST(NULL AS VARCHAR)})
+          ELSE list_concat(done, y) END) || list_filter(f.p, lambda x: x.kind = 'recurring') END AS q
+    FROM f JOIN h ON h.user_id = f.user_id AND h.event_type = f.event_type AND h.n = f.n + 1))"""
+
+
+@query("compute_impact", f"""WITH RECURSIVE {_PERIODS_CTE},
+z AS ({_IMPACT_SQL}),
+v AS (SELECT issue_id, entity_key, evidence_id, type, value FROM z
+  UNION ALL SELECT 'u' || user_id, 'service:' || event_type, 'e' || i, 'periods.set', list_aggregate(list_transform(p, lambda x:
+    concat_ws(' ', x.kind, {sql_text('x.s')}, coalesce({sql_text('x.e')}, 'open'), x.ws, x.we)), 'string_agg', ', ') FROM f WHERE moved)
+SELECT *, CASE type WHEN 'service_effects.set' THEN 0 WHEN 'periods.set' THEN 1 WHEN 'service_scopes.set' THEN 2 ELSE 3 END AS attr_pos,
+  'ie_' || upper(substr(sha256(concat_ws('|', issue_id, evidence_id, entity_key, type)), 1, 26)) AS event_id FROM v""")
 def impact(t):
+    """All events with their values; a list of periods as one text."""
     events = compute_impact(event_claims(t), event_issues(t))
-    return events.select("issue_id", "entity_key", "evidence_id", "type", F.to_json("periods").alias("periods"))
+    listed = F.array_join(F.transform("periods", lambda p: F.concat_ws(
+        " ", p["kind"], sgt_text(p["start_at"]), F.coalesce(sgt_text(p["end_at"]), F.lit("open")), p["window_start"], p["window_end"])), ", ")
+    return events.select("issue_id", "entity_key", "evidence_id", "type", F.when(F.col("type") == "periods.set", listed).otherwise(impact_value()).alias("value"), "attr_pos", "event_id")
 
 
-@query("reconcile_periods")
+@query("reconcile_periods", f"""WITH RECURSIVE {_PERIODS_CTE},
+x AS (SELECT user_id, event_type, i, unnest(p) AS x, generate_subscripts(p, 1) - 1 AS place FROM f WHERE moved)
+SELECT 'u' || user_id AS issue_id, 'service:' || event_type AS entity_key, i AS ev_seq, place, x.kind AS kind, {sql_text('x.s')} AS start_at, {sql_text('x.e')} AS end_at,
+  CASE WHEN x.kind = 'recurring' THEN 'daily' END AS frequency, x.ws AS window_start, x.we AS window_end, CASE WHEN x.kind = 'recurring' THEN 'Asia/Singapore' END AS time_zone FROM x""")
 def periods(t):
-    return reconcile_periods(event_claims(t)).select("issue_id", "entity_key", "ev_seq", F.size("periods").alias("periods"))
+    """Every period after every evidence that changed them, one row each."""
+    rows = reconcile_periods(event_claims(t)).select("issue_id", "entity_key", "ev_seq", F.posexplode("periods").alias("place", "p"))
+    return rows.select("issue_id", "entity_key", "ev_seq", F.col("place").cast("long").alias("place"), "p.kind", sgt_text("p.start_at").alias("start_at"),
+                       sgt_text("p.end_at").alias("end_at"), "p.frequency", "p.window_start", "p.window_end", "p.time_zone")
 
 
 @query("reconcile_fixed", f"""

@@ -12,7 +12,7 @@ FOLDER = entry.SMOKE_DIR
 NAMES = [
     "current_state", "bundle_state", "emit_changes", "as_of_join", "merge_intervals", "split_service_hours", "expand_recurrence", "resolve_periods",
     "resolve_rules", "text_flags", "fuzzy_search", "containment_check", "unique_check", "table_diff", "fingerprint_changes", "preserve_ids", "merge_claims",
-    "impact_attributes", "edges", "path_features", "departures", "next_arrivals", "usage_cost", "regression_eval",
+    "impact_attributes", "compute_impact", "reconcile_periods", "edges", "path_features", "departures", "next_arrivals", "usage_cost", "regression_eval",
 ]
 
 
