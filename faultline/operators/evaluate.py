@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
+from faultline.functions.temporal import SGT, to_local
 from faultline.operators.quality import unique_check
 
 # USD per million tokens (input, cached input, output).
@@ -124,20 +125,27 @@ def format_scope(s: Column) -> Column:
     )
 
 
-def format_period(p: Column) -> Column:
-    text = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ssXXX")
+def offset_text(c: Column, tz: str = SGT) -> Column:
+    """Offset of `tz` from UTC at an instant, as +hh:mm, whatever the session's time zone."""
+    off = F.timestamp_diff("MINUTE", to_local(c, "timestamp", "UTC"), to_local(c, "timestamp", tz)).cast("int")
+    return F.format_string("%s%02d:%02d", F.when(off < 0, "-").otherwise("+"), F.floor(F.abs(off) / 60).cast("int"), F.abs(off) % 60)
+
+
+def format_period(p: Column, tz: str = SGT) -> Column:
+    text = lambda c: F.when(c.isNotNull(), F.concat(F.date_format(to_local(c, "timestamp", tz), "yyyy-MM-dd'T'HH:mm:ss"), offset_text(c, tz)))
     fixed = F.concat(F.lit("fixed: "), text(p["start_at"]), F.lit(" → "), F.coalesce(text(p["end_at"]), F.lit("ongoing")))
-    recurring = F.concat(F.lit("recurring "), p["frequency"], F.lit(": "), text(p["start_at"]), F.lit("–"), text(p["end_at"]),
-                         F.lit(" "), p["window_start"], F.lit("–"), p["window_end"])
+    window = F.when(p["window_start"].isNotNull(), F.concat(F.lit(" "), p["window_start"], F.lit("–"), p["window_end"]))
+    recurring = F.concat(F.lit("recurring "), p["frequency"], F.lit(": "), text(p["start_at"]), F.lit("–"), F.coalesce(text(p["end_at"]), F.lit("ongoing")),
+                         F.coalesce(window, F.lit("")))
     return F.when(p["kind"] == "fixed", fixed).otherwise(recurring)
 
 
-def state_report(state: DataFrame) -> DataFrame:
-    """Q5: readable columns per (issue, entity) of `bundle_state`."""
+def state_report(state: DataFrame, tz: str = SGT) -> DataFrame:
+    """Q5: readable columns per (issue, entity) of `bundle_state`, instants with the offset of `tz`."""
     evidence = F.array_distinct(F.array_compact(F.array(*[f"{a}_evidence_id" for a in ("effect", "scopes", "periods", "causes")])))
     return state.select(
         "issue_id", "entity_key", F.col("entity.type").alias("entity_type"), F.coalesce("effect.kind", F.lit("null")).alias("effect"),
         F.array_join(F.transform("scopes", format_scope), "; ").alias("scopes"),
-        F.array_join(F.transform("periods", lambda p, i: F.concat(F.lit("["), i.cast("string"), F.lit("] "), format_period(p))), "; ").alias("periods"),
+        F.array_join(F.transform("periods", lambda p, i: F.concat(F.lit("["), i.cast("string"), F.lit("] "), format_period(p, tz))), "; ").alias("periods"),
         F.array_join("causes", ", ").alias("causes"), F.array_join(evidence, ", ").alias("evidence_ids"),
     )

@@ -99,7 +99,12 @@ def search_documents(t):
     return t.documents.select("doc_id", F.round(search.text_score("text", _PHRASE) * 1e6).cast("long").alias("score_ppm"))
 
 
-@query("search_issues", None)
+_NAME_SCORE = f"""CASE WHEN contains(lower(x), '{_PHRASE}') THEN 0.0 ELSE CAST(levenshtein(lower(x), '{_PHRASE}') AS DOUBLE) / greatest(length(x), {len(_PHRASE)}) END"""
+
+
+@query("search_issues", "WITH n AS (SELECT source, unnest([source, 'Feed ' || source, lang]) AS x FROM documents), p AS (SELECT source, " + _NAME_SCORE + """ AS s FROM n
+UNION ALL SELECT source, coalesce(1.0 - (""" + " + ".join(f"CAST(contains(lower(text), '{g}') AS INTEGER)" for g in search.trigrams(_PHRASE)) + f""") / {float(len(search.trigrams(_PHRASE)))}, 1.0) FROM documents)
+SELECT source AS issue_id, CAST(round(min(s) * 1e6) AS BIGINT) AS score_ppm FROM p GROUP BY source HAVING min(s) <= 0.8""")
 def search_issues(t):
     """Best score per source over its id, title and the texts of its documents."""
     null = lambda c: F.lit(None).cast(c)
@@ -280,18 +285,57 @@ def regression_eval(t):
     return V.evaluate(cases, outcomes, assertions, candidates).select("id", "assertion", "message")
 
 
-@query("stop_texts", None)
+_LOCAL = "strftime({}, '%Y-%m-%dT%H:%M:%S') || '+08:00'"
+
+
+@query("stop_texts", f"""WITH s AS (SELECT *, o_orderdate AS a, o_orderdate + INTERVAL 3 DAY AS z FROM orders)
+SELECT 'o' || o_orderkey AS issue_id, 'service:' || o_custkey AS entity_key, 'service' AS entity_type, CASE WHEN o_orderkey % 5 = 0 THEN 'null' ELSE 'delay' END AS effect,
+  CASE o_orderkey % 3 WHEN 0 THEN 'service.whole' WHEN 1 THEN 'service.point (' || o_orderstatus || '); service.whole' ELSE 'service.segment (' || o_orderstatus || ' → ' || o_orderpriority || ')' END AS scopes,
+  CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN '[0] fixed: ' || {_LOCAL.format('a')} || ' → ongoing'
+    WHEN 2 THEN '[0] fixed: ' || {_LOCAL.format('a')} || ' → ' || {_LOCAL.format('z')} || '; [1] recurring daily: ' || {_LOCAL.format('a')} || '–' || {_LOCAL.format('z')} || ' 22:00:00–23:30:00'
+    ELSE '[0] recurring daily: ' || {_LOCAL.format('a')} || '–ongoing' END AS periods,
+  o_orderpriority AS causes, CASE WHEN o_orderkey % 2 = 0 THEN 'x' || o_orderkey ELSE 'x' || o_orderkey || ', y' || o_orderkey END AS evidence_ids FROM s""")
 def stop_texts(t):
-    """State report over the orders: formatted scopes and periods (rows only; wording is Spark's own)."""
+    """State report over the orders: every form of scope and period, open and closed, and evidence named more than once."""
     null = lambda c: F.lit(None).cast(c)
+    key, end = F.col("o_orderkey"), sgt(F.col("o_orderdate") + F.expr("interval 3 days"))
+    scope = lambda kind, station=null("string"), a=null("string"), z=null("string"): F.struct(
+        F.lit(kind).alias("type"), a.alias("from_station_id"), z.alias("to_station_id"), station.alias("station_id"))
+    period = lambda kind, end, window=False: F.struct(
+        F.lit(kind).alias("kind"), sgt("o_orderdate").alias("start_at"), end.alias("end_at"), (F.lit("daily") if kind == "recurring" else null("string")).alias("frequency"),
+        null("array<string>").alias("days_of_week"), *[(F.lit(w) if window else null("string")).alias(f"window_{n}") for n, w in (("start", "22:00:00"), ("end", "23:30:00"))])
+    one, two = F.concat(F.lit("x"), key), F.when(key % 2 == 0, F.concat(F.lit("x"), key)).otherwise(F.concat(F.lit("y"), key))
     state = t.orders.select(
         F.concat(F.lit("o"), "o_orderkey").alias("issue_id"), F.concat(F.lit("service:"), "o_custkey").alias("entity_key"),
-        F.struct(F.lit("service").alias("type")).alias("entity"), F.struct(F.lit("delay").alias("kind"), null("string").alias("duration")).alias("effect"),
-        F.array(F.struct(F.lit("service.point").alias("type"), null("string").alias("from_station_id"), null("string").alias("to_station_id"), F.col("o_orderstatus").alias("station_id"))).alias("scopes"),
-        F.array(F.struct(F.lit("fixed").alias("kind"), sgt("o_orderdate").alias("start_at"), null("timestamp").alias("end_at"), null("string").alias("frequency"),
-                         null("array<string>").alias("days_of_week"), null("string").alias("window_start"), null("string").alias("window_end"))).alias("periods"),
-        F.array(F.col("o_orderpriority")).alias("causes"), *[F.concat(F.lit(a), "o_orderkey").alias(f"{a}_evidence_id") for a in ("effect", "scopes", "periods", "causes")])
+        F.struct(F.lit("service").alias("type")).alias("entity"),
+        F.struct(F.when(key % 5 != 0, F.lit("delay")).alias("kind"), null("string").alias("duration")).alias("effect"),
+        F.when(key % 3 == 0, F.array(scope("service.whole"))).when(key % 3 == 1, F.array(scope("service.point", F.col("o_orderstatus")), scope("service.whole")))
+        .otherwise(F.array(scope("service.segment", a=F.col("o_orderstatus"), z=F.col("o_orderpriority")))).alias("scopes"),
+        F.when(key % 4 == 1, F.array(period("fixed", null("timestamp")))).when(key % 4 == 2, F.array(period("fixed", end), period("recurring", end, True)))
+        .when(key % 4 == 3, F.array(period("recurring", null("timestamp")))).otherwise(F.array().cast("array<struct<kind:string,start_at:timestamp,end_at:timestamp,frequency:string,days_of_week:array<string>,window_start:string,window_end:string>>")).alias("periods"),
+        F.array(F.col("o_orderpriority")).alias("causes"),
+        one.alias("effect_evidence_id"), two.alias("scopes_evidence_id"), one.alias("periods_evidence_id"), null("string").alias("causes_evidence_id"))
     return V.state_report(state)
 
 
+def order_cases(t):
+    """Orders as regression cases labelled by priority and, every third, by `slow`; their customer stands for the id."""
+    labels = F.array_compact(F.array(F.col("o_orderpriority"), F.when(F.col("o_orderkey") % 3 == 0, "slow")))
+    return t.orders.select(F.concat(F.lit("c"), "o_custkey").alias("id"), F.concat(F.lit("cases/"), "o_orderkey").alias("path"), labels.alias("labels"),
+                           F.lower("o_orderstatus").alias("role"), F.lit("create").alias("observed_kind"), F.when(F.col("o_orderkey") % 2 == 0, "create").otherwise("update").alias("expected_kind"))
+
+
+@query("filter_cases", """SELECT 'cases/' || o_orderkey AS path, 'c' || o_custkey || ' [' || lower(o_orderstatus) || '] create -> ' || CASE WHEN o_orderkey % 2 = 0 THEN 'create' ELSE 'update' END
+  || ' (' || o_orderpriority || ', slow)' AS summary FROM orders WHERE o_orderkey % 3 = 0""")
+def filter_cases(t):
+    return V.filter_cases(order_cases(t), label="slow").select("path", "summary")
+
+
+@query("duplicate_cases", """SELECT 'c' || o_custkey AS id, count(*) AS cases FROM orders GROUP BY 1 HAVING count(*) > 1""")
+def duplicate_cases(t):
+    """Ids that several cases have; a case after the first is a finding."""
+    found = V.duplicate_cases(order_cases(t))
+    return found.groupBy("id").agg((F.count(F.lit(1)) + 1).alias("cases"))
+
+
 __all__ = ["hits", "incident_tables", "page_evidence", "rules", "sgt_text", "windows"]
