@@ -10,7 +10,7 @@ from faultline.functions.temporal import SGT, micros, to_local
 from faultline.functions.text import entity_key
 from faultline.operators import ordered
 from faultline.operators.claims import clamp_hints, last_non_null
-from faultline.operators.fold import ordered_fold
+from faultline.operators.fold import Summary, ordered_fold
 from faultline.schemas import EFFECT, PERIOD, SCOPE
 
 # Inside the fold instants are microseconds and dates are text, so states survive JSON.
@@ -105,6 +105,76 @@ def _period_step(state, rows):
     return periods, ([{"ev_seq": rows[0]["ev_seq"], "periods": periods}] if touched else [])
 
 
+# --- a range of hints as one function of the periods before it -------------------------
+#
+# `reset` holds the periods after a recurring hint, which replaces whatever was there, and the hints
+# after it; nothing before it matters. Without one, `steps` are of two forms. A union is a run of
+# fixed hints: their merged spans do what they would do one by one. A move is a run of start-only
+# and end-only hints: fixed periods take the least start and, where open, the first end; recurring
+# ones the last start and end; no periods become `opened`.
+
+
+def _add_move(move: dict | None, hint: dict, start_hms: str | None, end_hms: str | None) -> dict:
+    m = move or {"least": None, "start": None, "start_hms": None, "one_start": True, "closing": None, "end": None, "end_hms": None, "ended": False, "opened": []}
+    m = {**m, "opened": reconcile(m["opened"], hint, start_hms, end_hms)}
+    if hint["kind"] == "start-only":
+        at = hint["start_at"]
+        return {**m, "least": at if m["least"] is None else min(m["least"], at), "start": at, "start_hms": start_hms,
+                "one_start": m["one_start"] and m["start"] in (None, at)}
+    return {**m, "closing": hint["end_at"] if m["closing"] is None else m["closing"], "end": hint["end_at"], "end_hms": end_hms, "ended": True}
+
+
+def _move(periods: list[dict], m: dict) -> list[dict]:
+    if not periods:
+        return m["opened"]
+    out = []
+    for p in periods:
+        if p["kind"] == "fixed":
+            start = p["start_at"] if m["least"] is None else min(p["start_at"], m["least"])
+            out.append({**p, "start_at": start, "end_at": m["closing"] if p["end_at"] is None else p["end_at"]})
+            continue
+        if m["start"] is not None and not (m["one_start"] and p["start_at"] == m["start"]):
+            p = _retime(p, "start", m["start"], m["start_hms"])
+        out.append(_retime(p, "end", m["end"], m["end_hms"]) if m["ended"] else p)
+    return out
+
+
+def add_hints(summary: dict, rows: list[dict]) -> dict:
+    """`summary` followed by the hints of `rows`."""
+    reset, steps = summary["reset"], list(summary["steps"])
+    for r in rows:
+        hint, given = r["hint"], (r["start_hms"], r["end_hms"])
+        kind, start, end = hint["kind"], hint["start_at"], hint["end_at"]
+        if kind == "recurring" or reset is not None:
+            reset, steps = reconcile(reset or [], hint, *given), []
+        elif kind == "fixed":
+            backwards = end is not None and end < start  # such a span is not merged with others beforehand
+            if steps and steps[-1]["step"] == "union" and not (backwards or steps[-1]["alone"]):
+                steps[-1] = {**steps[-1], "spans": _absorb(steps[-1]["spans"], start, end)}
+            else:
+                steps.append({"step": "union", "alone": backwards, "spans": [_fixed(start, end)]})
+        elif kind in ("start-only", "end-only"):
+            last = steps.pop()["move"] if steps and steps[-1]["step"] == "move" else None
+            steps.append({"step": "move", "move": _add_move(last, hint, *given)})
+    return {"reset": reset, "steps": steps}
+
+
+def apply_hints(periods: list[dict], summary: dict) -> list[dict]:
+    """Periods after the hints of `summary`."""
+    if summary["reset"] is not None:
+        return summary["reset"]
+    for s in summary["steps"]:
+        if s["step"] == "move":
+            periods = _move(periods, s["move"])
+        else:
+            for span in s["spans"]:
+                periods = _absorb(periods, span["start_at"], span["end_at"])
+    return periods
+
+
+HINT_RANGE = Summary({"reset": None, "steps": []}, add_hints, apply_hints)
+
+
 def hint_columns(tz: str = SGT) -> list[Column]:
     hms = lambda c: F.date_format(to_local(c, "timestamp", tz), "HH:mm:ss")
     return [
@@ -119,8 +189,9 @@ def reconcile_periods(
 ) -> DataFrame:
     """C6 over whole logs: (issue_id, entity_key, ev_seq, periods) where an evidence changed them.
 
-    claims need ev_seq, the evidence's place in its issue. Consecutive repeats of a hint
-    change nothing and cost one list comparison.
+    claims need ev_seq, the evidence's place in its issue; those without one have no place and are
+    left out. Consecutive repeats of a hint change nothing and cost one list comparison. An entity
+    that is cut into ranges takes three passes: a range's hints are summarised as one function.
     """
     hints = clamp_hints(claims).filter("time_hints is not null").select(
         "issue_id", entity_key("entity").alias("entity_key"), "ev_seq", "seq", *hint_columns(tz))
@@ -130,7 +201,7 @@ def reconcile_periods(
             *ENTITY_KEY, F.to_json(F.transform("periods", to_fold_period), {"ignoreNullFields": "false"}).alias("_state"))
         initial = initial.join(hints.select(*ENTITY_KEY).distinct(), ENTITY_KEY, "left_semi")
     out = T._parse_datatype_string(f"ev_seq bigint, periods array<{FOLD_PERIOD}>")
-    folded = ordered_fold(hints, ENTITY_KEY, ["ev_seq", "seq"], _period_step, [], out, initial, hot_rows, cuts)
+    folded = ordered_fold(hints, ENTITY_KEY, ["ev_seq", "seq"], _period_step, [], out, initial, hot_rows, cuts, HINT_RANGE)
     return folded.withColumn("periods", F.transform("periods", from_fold_period))
 
 
@@ -141,12 +212,14 @@ def compute_impact(
     """Change events of every evidence against the state the earlier ones left.
 
     claims: claim columns plus ev_seq; issues(issue_id, type); state as `bundle_state`.
+    Claims without ev_seq have no place in the log and emit nothing.
     A service without period or hint emits nothing, except causes on issues that are no
     disruption (C7). That gate is the place of the first hint that opens a period - an
     aggregate - because periods never become empty again; effect, scopes and causes are then
     plain change detection and only periods are folded.
     Output: event columns with (ev_seq, pos, attr_pos) as the order of emission.
     """
+    claims = claims.filter("ev_seq is not null")
     keyed = claims.withColumn("entity_key", entity_key("entity"))
     cuts = ordered.find_cuts(keyed, ENTITY_KEY, "ev_seq", hot_rows)  # once, for windows and fold
     hot_rows = None

@@ -4,9 +4,10 @@ import pytest
 
 from faultline import schemas as S
 from faultline.operators import claims as C
+from faultline.operators import fold
 from faultline.operators import replay as R
 from faultline.operators.diff import preserve_ids, replay_summary
-from faultline.operators.impact import compute_impact, number_events, reconcile, reconcile_periods
+from faultline.operators.impact import HINT_RANGE, add_hints, apply_hints, compute_impact, number_events, reconcile, reconcile_periods
 from faultline.operators.state import bundle_state
 from tests.helpers import claim, claims, end_only, event, fac, fixed, impact, local, recurring, start_only, svc, ts
 
@@ -75,6 +76,55 @@ def test_reconcile_rules():
     assert reconcile([rec], hint("end-only", None, 80), None, "10:00:00") == [{**rec, "end_at": 80, "window_end": "10:00:00"}]
 
 
+def as_period(kind, start, end):
+    return {"kind": kind, "start_at": start, "end_at": end, "frequency": None, "days_of_week": None, "window_start": "22" if kind == "recurring" else None,
+            "window_end": "23" if kind == "recurring" else None, "time_zone": None, "excluded_dates": None}
+
+
+def random_hint_rows(rng, n, recurring_share):
+    rows = []
+    for _ in range(n):
+        kind = "recurring" if rng.random() < recurring_share else rng.choice(["fixed", "fixed", "start-only", "end-only"])
+        a, b = rng.randrange(12), rng.randrange(12)
+        start = None if kind == "end-only" else a
+        end = None if kind == "start-only" or (kind == "fixed" and rng.random() < .3) else b if rng.random() < .1 else max(a, b)
+        rows.append({"hint": as_period(kind, start, end), "start_hms": None if start is None else f"s{start}", "end_hms": None if end is None else f"e{end}"})
+    return rows
+
+
+def test_a_summary_does_what_its_hints_do_to_any_periods():
+    """Ties, spans that end before they start, open ends and every split of the hints into two ranges."""
+    rng = random.Random(5)
+    for trial in range(20_000):
+        share = rng.choice([0, 0, .1])
+        before = []
+        for r in random_hint_rows(rng, rng.randrange(5), .2):
+            before = reconcile(before, r["hint"], r["start_hms"], r["end_hms"])
+        rows = random_hint_rows(rng, rng.randrange(9), share)
+        want = before
+        for r in rows:
+            want = reconcile(want, r["hint"], r["start_hms"], r["end_hms"])
+        at = rng.randrange(len(rows) + 1)
+        half = [add_hints(HINT_RANGE.empty, part) for part in (rows[:at], rows[at:])]
+        assert apply_hints(before, add_hints(HINT_RANGE.empty, rows)) == want, (before, rows)
+        assert apply_hints(apply_hints(before, half[0]), half[1]) == want
+
+
+def test_a_summary_of_fixed_hints_stays_small():
+    rows = [{"hint": as_period("fixed", i, i + 2), "start_hms": None, "end_hms": None} for i in range(1000)]
+    assert [len(s["spans"]) for s in add_hints(HINT_RANGE.empty, rows)["steps"]] == [1]
+
+
+def test_a_hot_entity_takes_three_passes(spark, monkeypatch):
+    """Fixed hints only: nothing resets, so states would travel through all ranges."""
+    df = claims(spark, [claim(f"e{i:03d}", "2024-01-01 08:00", svc("A"), hint=fixed(f"2024-01-{1 + i % 28:02d} 08:00", f"2024-01-{1 + i % 28:02d} 1{i % 10}:00")) for i in range(200)],
+                {f"e{i:03d}": i for i in range(200)})
+    saved, runs = fold.cut_lineage, []
+    monkeypatch.setattr(fold, "cut_lineage", lambda d: runs.append(1) or saved(d))
+    hot = {str(r) for r in reconcile_periods(df, hot_rows=10).collect()}
+    assert len(runs) == 1 and hot == {str(r) for r in reconcile_periods(df, hot_rows=None).collect()}
+
+
 def random_claims(rng, n):
     rows, order = [], {}
     for i in range(n):
