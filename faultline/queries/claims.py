@@ -317,3 +317,72 @@ def reconstruct_claims(t):
     out = R.reconstruct_claims(rows, state)
     return out.select("issue_id", "evidence_id", entity_key("entity").alias("entity_key"), F.col("effect.service.kind").isNotNull().cast("int").alias("has_effect"),
                       F.col("time_hints.kind").alias("hint"), F.col("causes")[0].alias("cause"))
+
+
+# --- first sight of each user's service is the start of a period that is still open for even users ----
+
+
+def _opened(t):
+    return t.events.groupBy("user_id", "event_type").agg(F.min("ts").alias("t0"))
+
+
+def open_state(t):
+    key = F.concat(F.lit("service:"), "event_type").alias("entity_key")
+    return _opened(t).filter("user_id % 2 = 0").select(F.concat(F.lit("u"), "user_id").alias("issue_id"), key, F.array(hint(F.lit("fixed"), sgt("t0"), _null("timestamp"))).alias("periods"))
+
+
+@query("reconstruct_updates", f"""
+WITH f AS (SELECT *, min(ts) OVER (PARTITION BY user_id, event_type) AS t0 FROM events),
+p AS (SELECT user_id, event_id, t0, 0 AS place, t0 AS s, CASE WHEN event_id % 3 <> 0 THEN ts + INTERVAL 1 HOUR END AS e FROM f
+  UNION ALL SELECT user_id, event_id, t0, 1, ts, ts + INTERVAL 1 HOUR FROM f WHERE event_id % 2 = 0)
+SELECT 'u' || user_id AS issue_id, 'e' || event_id AS evidence_id, place, CASE WHEN user_id % 2 <> 0 OR s <> t0 THEN 'fixed' WHEN e IS NULL THEN 'start-only' ELSE 'end-only' END AS hint,
+  CASE WHEN user_id % 2 = 0 AND s = t0 AND e IS NOT NULL THEN NULL ELSE {sql_text('s')} END AS start_at, {sql_text('e')} AS end_at FROM p""")
+def reconstruct_updates(t):
+    """Claims behind events that move, close or leave alone the period open before them."""
+    i, hour = F.col("event_id"), sgt(F.col("ts") + F.expr("interval 1 hour"))
+    first = hint(F.lit("fixed"), sgt("t0"), F.when(i % 3 != 0, hour))
+    rows = t.events.join(_opened(t), ["user_id", "event_type"]).select(
+        F.concat(F.lit("u"), "user_id").alias("issue_id"), F.concat(F.lit("e"), i).alias("evidence_id"), i.alias("seq"), service(F.col("event_type")).alias("entity"),
+        F.lit("periods.set").alias("type"), F.struct(_null("string").alias("kind"), _null("string").alias("duration")).alias("effect"),
+        _null(f"array<{SCOPE}>").alias("service_scopes"), _null("array<string>").alias("causes"),
+        F.when(i % 2 == 0, F.array(first, hint(F.lit("fixed"), sgt("ts"), hour))).otherwise(F.array(first)).alias("periods"))
+    out = R.reconstruct_claims(rows, open_state(t))
+    return out.select("issue_id", "evidence_id", F.col("seq.place").alias("place"), F.col("time_hints.kind").alias("hint"),
+                      sgt_text("time_hints.start_at").alias("start_at"), sgt_text("time_hints.end_at").alias("end_at"))
+
+
+@query("adapt_claims", f"""
+WITH h AS (SELECT event_id, user_id % 2 = 0 AS o, ts, CASE WHEN event_id % 50 = 49 THEN 'recurring' WHEN event_id % 4 = 0 THEN 'fixed' WHEN event_id % 4 = 1 THEN 'start-only' WHEN event_id % 4 = 2 THEN 'end-only' END AS kind,
+  CASE WHEN event_id % 50 = 49 THEN ts + INTERVAL 20 DAY WHEN event_id % 8 = 0 OR event_id % 4 = 2 THEN ts + to_minutes(CAST(floor(value) AS BIGINT)) END AS e FROM events),
+a AS (SELECT *, CASE WHEN NOT (kind = 'fixed' AND o) OR kind IS NULL THEN kind WHEN e IS NULL THEN 'start-only' ELSE 'end-only' END AS hint FROM h)
+SELECT event_id AS ev_seq, hint, CASE WHEN hint <> 'end-only' THEN {sql_text('ts')} END AS start_at, {sql_text('e')} AS end_at FROM a""")
+def adapt_claims(t):
+    """Fresh claims against the state: a fixed hint moves or closes the period that is open."""
+    return R.adapt_claims(event_claims(t), open_state(t)).select(
+        "ev_seq", F.col("time_hints.kind").alias("hint"), sgt_text("time_hints.start_at").alias("start_at"), sgt_text("time_hints.end_at").alias("end_at"))
+
+
+@query("select_targets_modes", """
+WITH l AS (SELECT user_id, event_id % 5 AS ev, event_type, event_id, ts FROM events),
+e AS (SELECT user_id, ev, min(ts) AS t0 FROM l GROUP BY 1, 2),
+x AS (SELECT user_id, ev, event_type, bool_or(event_id % 6 = 0) AS a, bool_or(event_id % 3 <> 0 AND event_id % 4 <> 1 AND ts + to_minutes(event_id % 11 - 5) > t0) AS b
+  FROM l JOIN e USING (user_id, ev) WHERE user_id % 7 <> 0 GROUP BY 1, 2, 3),
+m AS (SELECT DISTINCT 'degraded-future-no-service' AS mode, user_id, ev FROM x WHERE a AND b AND (user_id + ev) % 3 = 0
+  UNION ALL SELECT 'empty-impact', user_id, ev FROM e WHERE user_id % 7 = 0
+  UNION ALL SELECT 'explicit', user_id, ev FROM e WHERE user_id IN (1, 2) AND ev IN (1, 3))
+SELECT mode, 'u' || user_id AS issue_id, 'e' || ev AS evidence_id FROM m""")
+def select_targets_modes(t):
+    """The modes that read evidence; every seventh user has evidence but no events."""
+    i, ev = F.col("event_id"), F.col("event_id") % 5
+    start = F.col("ts") + minutes(i % 11 - 5)
+    issue, name = F.concat(F.lit("u"), "user_id").alias("issue_id"), F.concat(F.lit("e"), ev).alias("evidence_id")
+    log = t.events.filter("user_id % 7 <> 0").select(
+        issue, name, i.alias("seq"), service(F.col("event_type")).alias("entity"), sgt("ts").alias("ts"),
+        F.when(i % 3 == 0, "service_effects.set").otherwise("periods.set").alias("type"), F.struct(F.when(i % 2 == 0, "no-service").otherwise("delay").alias("kind")).alias("effect"),
+        F.array(hint(F.lit("fixed"), sgt(start), F.when(i % 4 != 1, sgt(start + minutes(F.lit(30)))))).alias("periods"))
+    said = (F.when((F.col("user_id") + ev) % 3 == 0, "Longer waits of up to 10 min. Expected works next year.")
+            .when((F.col("user_id") + ev) % 3 == 1, "No train service. Expected works next year.").otherwise("Longer waits of up to 10 min."))
+    evidence = t.events.groupBy(issue, name, said.alias("text")).agg(F.date_format(F.min("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+08:00'").alias("ts"))
+    modes = {"degraded-future-no-service": {}, "empty-impact": {}, "explicit": {"issue_ids": ["u1", "u2"], "evidence_ids": ["e1", "e3"]}}
+    parts = [R.select_targets(evidence, log, mode, **more).select(F.lit(mode).alias("mode"), "issue_id", "evidence_id") for mode, more in modes.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
