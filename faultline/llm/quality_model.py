@@ -76,10 +76,10 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
 
 def pooled(docs: DataFrame, vectors: np.ndarray, carry: list[str]) -> DataFrame:
-    """The columns in `carry` and `features`, the mean of a text's word vectors; zeros for a text without words."""
+    """The columns in `carry` and `features` (`fresh`), the mean of a text's word vectors; zeros for a text without words."""
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
     rows = docs.select(F.col("text").cast("string").alias(fresh(docs, "input_text")), *[F.col(f"`{c}`") for c in carry])
-    schema = StructType(rows.schema.fields[1:]).add("features", "binary")
+    schema = StructType(rows.schema.fields[1:]).add(fresh(rows.drop(rows.columns[0]), "features"), "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -168,10 +168,11 @@ def fit(features: DataFrame, labels: DataFrame, usable: Column) -> Network:
 
 
 def scored(features: DataFrame, net: Network) -> DataFrame:
-    """The rows with `score` in place of features: the probability of good quality."""
-    names = [c for c in features.columns if c != "features"]
-    schema = features.select(*names).schema.add("score", "double")
-    rows = features.select("features", *names)
+    """The rows with `score` in place of the last column, the features: the probability of good quality."""
+    *names, vector = features.columns
+    kept = features.select(*[F.col(f"`{c}`") for c in names])
+    schema = StructType(kept.schema.fields).add(fresh(kept, "score"), "double")
+    rows = features.select(F.col(f"`{vector}`"), *[F.col(f"`{c}`") for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,7 +185,9 @@ def scored(features: DataFrame, net: Network) -> DataFrame:
 def score(docs: DataFrame, labels: DataFrame, usable: Column, carry: list[str]) -> DataFrame:
     """The columns in `carry` and `score` of every row of `docs`, null and empty texts included; equal texts score alike.
 
-    Word vectors come from all documents; labels are read only where `usable`, an expression over doc_id.
+    Word vectors come from all documents; labels are read only where `usable`, an expression over doc_id. Where `carry`
+    already has a `score`, in whatever letter case, that one stays and the new column is the last, `score_`.
     """
-    features = cut_lineage(pooled(docs, word_vectors(docs), carry))
-    return scored(features, fit(features.select("doc_id", "features"), labels, usable))
+    features = cut_lineage(pooled(docs, word_vectors(docs), carry if "doc_id" in carry else ["doc_id", *carry]))
+    net = fit(features.select("doc_id", F.col(f"`{features.columns[-1]}`").alias("features")), labels, usable)
+    return scored(features.select(*[F.col(f"`{c}`") for c in [*carry, features.columns[-1]]]), net)

@@ -137,6 +137,30 @@ def test_classifier_learns_and_is_calibrated(spark):
     assert len(flat) == 1 and quality_model.score(empty(spark), labels, usable, ["doc_id"]).count() == 0
 
 
+def test_scores_equal_a_loop_under_clashing_names(spark):
+    rng = random.Random(9)
+    rows = [(i, prose(rng, 12 + i % 9) if i % 3 else "* ".join(prose(rng, 12).split())) for i in range(120)] + [(120, None), (121, "")]
+    rows.append((122, prose(rng, 40_000)))
+    docs = documents(spark, rows).selectExpr("*", "doc_id AS Score", "source AS features", "n_chars AS word", "key AS target")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    carry = ["Score", "features", "word", "target", "text"]
+    out = quality_model.score(docs, labels, F.col("doc_id") >= 0, carry)
+    assert out.columns == [*carry, "score_"]
+    got = {r["Score"]: (r["score_"], r["features"]) for r in out.collect()}
+    assert {i: v[1] for i, v in got.items()} == {i: f"s{n}" for n, (i, _) in enumerate(rows)}
+    vectors = quality_model.word_vectors(docs)
+    pools = {}
+    for i, text in rows:
+        own = quality_model.word_numbers(pa.array([text], pa.string()))[0]
+        pools[i] = np.mean([vectors[w].astype(np.float64) for w in own], 0) if len(own) else np.zeros(2 * quality_model.SIZE)
+    plain = quality_model.pooled(docs, vectors, ["doc_id"])
+    net = quality_model.fit(plain, labels, F.col("doc_id") >= 0)
+    for i, x in pools.items():
+        hidden = [np.tanh(sum((x[j] - net.mean[j]) / net.scale[j] * net.w1[j, k] for j in range(len(x))) + net.b1[k]) for k in range(len(net.b1))]
+        logit = sum(h * w for h, w in zip(hidden, net.w2)) + net.b2
+        assert got[i][0] == pytest.approx(1 / (1 + np.exp(-logit / net.heat)), abs=1e-3)
+
+
 def test_context_sums_equal_a_loop():
     texts = ["a b c d a", "", None, "x", "b a"]
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
