@@ -79,11 +79,11 @@ def _runs(docs: DataFrame) -> DataFrame:
                 row = pa.array(row)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), piece.column(1).take(row), piece.column(2).take(row), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["hash", "doc_id", "twin", "start", "end"])
 
-    return docs.select(F.col("text").cast("string").alias("text"), "doc_id", _twin().alias("twin")).mapInArrow(cut, f"hash long, doc_id {kind}, twin int, start int, end int")
+    return docs.select(F.col("text").cast("string").alias("text"), "doc_id", _twin().alias("twin")).mapInArrow(cut, f"hash long, doc_id {kind}, twin long, start int, end int")
 
 
 def _twin() -> Column:
-    return F.hash(F.col("text").cast("string"))
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, kinds)], ["doc_id", "twin", "spans"])
 
     gathered = later.groupBy("doc_id", "twin").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    return gathered.mapInArrow(merge, f"doc_id {kind}, twin int, spans array<struct<start:int,end:int>>")
+    return gathered.mapInArrow(merge, f"doc_id {kind}, twin long, spans array<struct<start:int,end:int>>")
 
 
 def without(text: Column, spans: Column) -> Column:
