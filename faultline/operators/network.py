@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.temporal import in_month, valid_at
 from faultline.functions.text import pair_key
-from faultline.lineage import cut_lineage
+from faultline.lineage import cut_lineage, discard, written
 from faultline.operators.graph import contract
 from faultline.operators import ordered
 
@@ -186,55 +186,95 @@ def both_ways(edge_df: DataFrame, a: str, b: str, keys: Sequence[str] = ()) -> D
     ).distinct()
 
 
+def path_tree(neighbours: DataFrame, sources: DataFrame, keys: Sequence[str] = (), max_hops: int | None = None) -> DataFrame:
+    """N4, first half: every node a source reaches, with its predecessor on the hop-shortest path.
+
+    Columns: keys, source, node, hops, parent. A round numbers the nodes of the round before in breadth-first order (by
+    their predecessor's number, then id); a node's predecessor is its neighbour of least number, so no row holds a path.
+    `neighbours` has both directions of every edge (`both_ways`): a round's neighbours are then new or of the last two
+    rounds, and no round reads all that is reached. Rounds are written tables; their number is the graph's diameter.
+    """
+    spark, group = neighbours.sparkSession, [*keys, "source"]
+    node = [*group, "node"]
+    neighbours, made = written(neighbours)
+    kind = sources.schema["source"].dataType
+    newest, path = written(sources.select(
+        *keys, "source", F.col("source").alias("node"), F.lit(0).alias("hops"), F.lit(1).cast("long").alias("_before"), F.lit(None).cast(kind).alias("parent")).distinct())
+    levels, known, many = [path], newest.select(*node), newest.count()  # counts come from the files' footers
+    while many and (max_hops is None or len(levels) <= max_hops):
+        rows = ordered.cut(newest, group, "_before", ordered.HOT_ROWS if many > ordered.HOT_ROWS else None)
+        placed = ordered.rank(rows, group, ["_before", "node"], "_place")
+        via = F.struct("_place", F.col("node").alias("parent"))
+        met = placed.join(neighbours, [*keys, "node"]).select(*group, via.alias("_via"), F.col("neighbour").alias("node"))
+        fresh = met.groupBy(*node).agg(F.min("_via").alias("_via")).join(known, node, "left_anti")
+        last = newest
+        newest, path = written(fresh.select(*node, F.lit(len(levels)).alias("hops"), F.col("_via._place").alias("_before"), F.col("_via.parent").alias("parent")))
+        levels.append(path)
+        known, many = last.select(*node).unionByName(newest.select(*node)), newest.count()
+    discard(spark, [made])
+    return spark.read.schema(newest.schema).parquet(*levels).drop("_before")
+
+
+def unroll_paths(tree: DataFrame, asked: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """N4, second half: the nodes of the asked (keys, source, node) paths of a `path_tree`, a row each.
+
+    Columns: keys, source, node, hops, pos (0 at the source), station_id. Pointer doubling: round i adds to the known nodes of a path
+    those 2^i steps nearer to the source, so rounds grow with the logarithm of the longest asked path. Pairs not reached have no rows.
+    """
+    spark, group, made, jumps = tree.sparkSession, [*keys, "source"], [], []
+    node = [*group, "node"]
+    rows = tree.select(*node, "hops").join(asked.select(*node).distinct(), node, "left_semi")
+    rows, path = written(rows.select(*node, "hops", F.col("hops").alias("pos"), F.col("node").alias("station_id")))
+    up = tree.filter("parent is not null").select(*group, F.col("node").alias("station_id"), F.col("parent").alias("_up"))
+    longest, reach = rows.agg(F.max("hops")).first()[0] or 0, 1
+    while reach <= longest:
+        more = rows.join(up, [*group, "station_id"]).select(*node, "hops", (F.col("pos") - reach).alias("pos"), F.col("_up").alias("station_id"))
+        rows = rows.unionByName(more)
+        reach *= 2
+        if reach <= longest:
+            made.append(path)
+            rows, path = written(rows)
+            far = up.select(*group, F.col("station_id").alias("_up"), F.col("_up").alias("_far"))
+            up, farther = written(up.join(far, [*group, "_up"]).select(*group, "station_id", F.col("_far").alias("_up")))
+            made, jumps = made + jumps, [farther]
+    discard(spark, made)
+    return rows
+
+
 def shortest_paths(
     neighbours: DataFrame, sources: DataFrame, keys: Sequence[str] = (), targets: DataFrame | None = None,
     max_hops: int | None = None,
 ) -> DataFrame:
-    """Hop-shortest path from every source to every node it reaches (or to its targets).
+    """Hop-shortest path from every source to every node it reaches (or to its targets), ties by smaller neighbour id.
 
-    Frontier expansion: each round joins the newest nodes to their neighbours, drops nodes
-    already reached and keeps the smallest path text per node, which is the breadth-first
-    tie rule by smaller neighbour id. Rounds are checkpointed; they end when nothing new
-    is reached, so their number is the graph's diameter. Columns: keys, source, node, hops, path.
+    Columns: keys, source, node, hops, path. Only paths that are asked for are written out (`path_tree`, `unroll_paths`).
     """
-    k = [*keys, "source", "node"]
-    neighbours = cut_lineage(neighbours)  # read by every round
-    frontier = sources.select(*keys, F.col("source"), F.col("source").alias("node"), F.lit(0).alias("hops"), F.array("source").alias("path")).distinct()
-    reached = frontier = cut_lineage(frontier)
-    hops = 0
-    while max_hops is None or hops < max_hops:
-        hops += 1
-        step = frontier.join(neighbours, [*keys, "node"]).select(
-            *keys, "source", F.col("neighbour").alias("node"), F.concat("path", F.array("neighbour")).alias("path")
-        )
-        step = step.join(reached.select(*k), k, "left_anti")
-        frontier = cut_lineage(step.groupBy(*k).agg(F.min("path").alias("path")).select(
-            *k[:-1], "node", F.lit(hops).alias("hops"), "path"))
-        if frontier.isEmpty():
-            break
-        reached = reached.unionByName(frontier)
-        if hops % 8 == 0:
-            reached = cut_lineage(reached)
-    if targets is not None:
-        reached = reached.join(targets.select(*k).distinct(), k, "left_semi")
-    return reached
+    tree = path_tree(neighbours, sources, keys, max_hops)
+    return whole_paths(tree, tree if targets is None else targets, keys)
+
+
+def whole_paths(tree: DataFrame, asked: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The asked paths of a `path_tree`, each as a list."""
+    rows = unroll_paths(tree, asked, keys)
+    inside = F.array_sort(F.collect_list(F.struct("pos", "station_id")))
+    return rows.groupBy(*keys, "source", "node", "hops").agg(F.transform(inside, lambda x: x["station_id"]).alias("path"))
 
 
 def line_trunks(line_edges: DataFrame, line: str = "line_id", a: str = "from_id", b: str = "to_id") -> DataFrame:
     """N5, first half: per line the longest shortest path between terminals, ties by path text.
 
     Terminals are stations with at most one neighbour; a line with fewer than two of them
-    uses all its stations.
+    uses all its stations. Of all pairs only lengths are made; the paths of the longest are written out.
     """
     near = both_ways(line_edges, a, b, [line])
     degree = near.groupBy(line, "node").agg(F.count(F.lit(1)).alias("deg"))
     ends = degree.groupBy(line).agg(F.count_if(F.col("deg") <= 1).alias("_t"))
     picked = degree.join(ends, line).filter((F.col("deg") <= 1) | (F.col("_t") < 2)).select(line, F.col("node").alias("source"))
-    paths = shortest_paths(near, picked, [line])
-    finals = picked.withColumnRenamed("source", "node")
-    forward = paths.join(finals, [line, "node"], "left_semi").filter("source < node")
+    tree = path_tree(near, picked, [line])
+    forward = tree.join(picked.withColumnRenamed("source", "node"), [line, "node"], "left_semi").filter("source < node")
+    longest = forward.groupBy(line).agg(F.max("hops").alias("hops"))
     text = F.array_join("path", "\x00")
-    best = forward.groupBy(line).agg(F.min_by("path", F.struct(-F.size("path"), text)).alias("trunk"))
+    best = whole_paths(tree, forward.join(longest, [line, "hops"], "left_semi"), [line]).groupBy(line).agg(F.min_by("path", F.struct(-F.size("path"), text)).alias("trunk"))
     lone = degree.groupBy(line).agg(F.array(F.min("node")).alias("_one"))
     return lone.join(best, line, "left").select(line, F.coalesce("trunk", "_one").alias("trunk"))
 

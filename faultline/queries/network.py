@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from faultline.operators import network as N
 from faultline.operators import platforms as P
 from faultline.queries.registry import query, sql_text
-from faultline.session import small_table
 
 # a stop's place is its line number, then its part, in digits of fixed length, so equal places are equal stations
 _STOPS_SQL = """s AS (SELECT l_orderkey AS service_id, 'L' || (l_orderkey % 40) AS line_id, 'p' || l_partkey AS station_id,
@@ -148,14 +147,16 @@ def services_towards(t):
 @query("shortest_paths", f"""WITH RECURSIVE {_STOPS_SQL}, n AS ({_PAIRS_SQL.format('s')}),
 d AS (SELECT DISTINCT station_id AS a, nxt AS b FROM n WHERE nxt IS NOT NULL AND station_id <> nxt
   UNION SELECT DISTINCT nxt, station_id FROM n WHERE nxt IS NOT NULL AND station_id <> nxt),
-r(node, hops) AS (SELECT 'p0', 0 UNION SELECT d.b, hops + 1 FROM r JOIN d ON d.a = r.node WHERE hops < 12)
-SELECT node, CAST(min(hops) AS BIGINT) AS hops FROM r GROUP BY node""")
+r(node, hops, path) USING KEY (node) AS (SELECT b, 0, [b] FROM d WHERE b = 'p0' GROUP BY b
+  UNION SELECT d.b, min(r.hops + 1), min(list_append(r.path, d.b)) FROM r JOIN d ON d.a = r.node
+    WHERE NOT EXISTS (FROM recurring.r known WHERE known.node = d.b) GROUP BY d.b)
+SELECT node, CAST(hops AS BIGINT) AS hops, array_to_string(path, '→') AS path FROM r""")
 def shortest_paths(t):
-    """Hops from the first part to every part over all orders."""
+    """The path from the first part to every part over all orders."""
     pairs = N.adjacent_pairs(path_stops(t), ["service_id"], "pos", "station_id")
     near = N.both_ways(pairs.select("station_id", "next_station_id"), "station_id", "next_station_id")
-    paths = N.shortest_paths(near, small_table(t.spark, [("p0",)], "source string"))
-    return paths.select("node", F.col("hops").cast("long").alias("hops"))
+    paths = N.shortest_paths(near, near.filter("node = 'p0'").select(F.col("node").alias("source")))
+    return paths.select("node", F.col("hops").cast("long").alias("hops"), F.array_join("path", "→").alias("path"))
 
 
 @query("components", f"""WITH RECURSIVE e AS (SELECT 'n' || n_nationkey AS a, 'r' || n_regionkey AS b FROM nation UNION SELECT 'r' || n_regionkey, 'n' || n_nationkey FROM nation

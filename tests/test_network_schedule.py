@@ -39,6 +39,19 @@ def test_shortest_paths_follow_breadth_first_order(spark):
     assert got == {(s, n): p for s in sources for n, p in bfs(near, s).items()}
 
 
+def test_paths_of_a_long_chain_by_doubling(spark):
+    n = 37
+    rows = [("k", f"c{i:02d}", f"c{i + 1:02d}") for i in range(n)] + [("k", "c00", "x"), ("j", "c00", "c01")]
+    near = N.both_ways(spark.createDataFrame(rows, "line string, a string, b string"), "a", "b", ["line"])
+    start = spark.createDataFrame([("k", "c00"), ("k", "lost")], "line string, source string")
+    tree = N.path_tree(near, start, ["line"])
+    asked = spark.createDataFrame([("k", "c00", f"c{n}"), ("k", "c00", "c00"), ("k", "c00", "none"), ("j", "c00", "c01")], "line string, source string, node string")
+    rows = N.unroll_paths(tree, asked, ["line"]).collect()
+    assert sorted((r.node, r.pos, r.station_id) for r in rows) == [("c00", 0, "c00")] + [(f"c{n}", i, f"c{i:02d}") for i in range(n + 1)]
+    assert {r.node for r in N.path_tree(near, start, ["line"], 1).filter("source = 'c00'").collect()} == {"c00", "c01", "x"}
+    assert {(r.node, tuple(r.path)) for r in N.shortest_paths(near, start, ["line"], asked).collect()} == {("c00", ("c00",)), (f"c{n}", tuple(f"c{i:02d}" for i in range(n + 1)))}
+
+
 def reference_order(near, paths):
     nodes = sorted(near)
     ends = [n for n in nodes if len(near[n]) <= 1]
