@@ -122,7 +122,7 @@ def state_by_stream(t):
     log = reader.option("pathGlobFilter", "events.parquet").parquet(t.folder) if one_file else reader.parquet(f"{t.folder}/events.parquet")
     state = streaming_state(log.withColumn("id", F.col("event_id")), ["user_id"], "event_type", "event_id", ["value", "id"])
     write_state(state, f"{work}/state", f"{work}/checkpoint", ["user_id"], "event_type", "event_id").awaitTermination()
-    return read_state(spark.read.parquet(f"{work}/state"), ["user_id"], "event_type", "event_id", ["value"]).select(
+    return read_state(spark, f"{work}/state", ["user_id"], "event_type", "event_id", ["value"]).select(
         "user_id", "event_type", "value", "event_id")
 
 

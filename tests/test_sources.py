@@ -1,5 +1,6 @@
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from faultline.plans import ingest as I
 from faultline.session import small_table
 from faultline.sources import features, readers, writers
 from faultline.streaming.ingest import checked_items, write_stream
-from faultline.streaming.state import read_state, streaming_state, write_state
+from faultline.streaming.state import compact_state, read_state, streaming_state, write_state
 from tests.helpers import claim, fixed, local, start_only, svc
 
 
@@ -177,10 +178,34 @@ def test_stream_state_equals_batch_whatever_the_arrival(spark, tmp_path):
     schema = "k string, attr string, seq long, v string"
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
     write_state(streaming_state(stream, ["k"], "attr", "seq", ["v"]), f"{tmp_path}/st", f"{tmp_path}/cp", ["k"], "attr", "seq").awaitTermination()
-    got = {tuple(r) for r in read_state(spark.read.parquet(f"{tmp_path}/st"), ["k"], "attr", "seq", ["v"]).collect()}
+    got = {tuple(r) for r in read_state(spark, f"{tmp_path}/st", ["k"], "attr", "seq", ["v"]).collect()}
     assert got == {("u", "a", 3, "late"), ("u", "b", 2, "x"), ("v", "a", 5, "y")}
 
 
+def test_compacted_state_equals_batch_and_drops_old_batches(spark, tmp_path):
+    src, st, how = str(tmp_path / "log"), str(tmp_path / "st"), (["k"], "attr", "seq", ["v"])
+    schema = "k string, attr string, seq long, v string"
+    rng = random.Random(4)
+    rows = [(rng.choice("uvw"), rng.choice("ab"), i, rng.choice([None, "x", "y"])) for i in rng.sample(range(90), 90)]
+    want = {}
+    for k, a, i, v in rows:
+        if i >= want.get((k, a), (-1,))[0]:
+            want[k, a] = (i, v)
+    for n in range(9):
+        spark.createDataFrame(rows[n * 10:n * 10 + 10], schema).coalesce(1).write.parquet(f"{src}/{n}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+    write_state(streaming_state(stream, *how), st, f"{tmp_path}/cp", *how[:3], every=2).awaitTermination()
+    state = lambda: {(r.k, r.attr): (r.seq, r.v) for r in read_state(spark, st, *how).collect()}
+    assert state() == want
+    assert sorted(os.listdir(f"{st}/snapshots")) == ["upto=5", "upto=7"]
+    assert sorted(f for f in os.listdir(f"{st}/deltas") if f.startswith("batch")) == ["batch_id=6", "batch_id=7", "batch_id=8"]
+    os.remove(f"{st}/snapshots/upto=7/_SUCCESS")  # a compaction that did not finish is not read, and is done again
+    assert state() == want
+    compact_state(spark, st, *how, 7)
+    compact_state(spark, st, *how, 7)
+    assert state() == want and sorted(os.listdir(f"{st}/snapshots")) == ["upto=5", "upto=7"]
+
+
 def test_ingest_batch(spark):
     raw = [("1", TWEET), ("2", {**TWEET, "url": "https://t.com/2", "createdAt": "2024-01-01T01:00:00Z"}), ("3", {**TWEET, "url": "https://t.com/3"}), ("4", {**TWEET, "url": "https://t.com/4"})]
     items = spark.createDataFrame([(i, json.dumps(c)) for i, c in raw], "item_id string, raw string").withColumn("c", F.from_json("raw", S.INGEST_CONTENT)).select("item_id", "raw", "c.*")
