@@ -13,7 +13,7 @@ from faultline.operators import ordered
 from faultline.operators.claims import issue_date
 from faultline.operators.impact import compute_impact, number_events
 from faultline.operators.state import bundle_state
-from faultline.sources.writers import append_batch
+from faultline.sources.writers import append_batch, in_buckets_of
 
 SOURCES = ["twitter", "mastodon", "reddit", "news-website", "crowd-report"]
 
@@ -103,7 +103,8 @@ def ingest(
     items: `read_ingest` plus item_id; decisions(item_id, kind, issue_id, issue_type, title) with
     kind part-of-existing-issue, part-of-new-issue or irrelevant-content; claims: claim columns keyed
     by item_id. Irrelevant items and new issues without claims are dropped. Items of one issue
-    apply in order of their time, so a batch equals one delivery after another. Items without a known
+    apply in order of their time, so a batch equals one delivery after another. A new issue whose id is among `issues` goes on
+    with that one. Of `impact` and `issues` from `read_batches` only the folders of the batch's issues are read. Items without a known
     decision, existing issues without an id and new ones whose id would be invalid are `rejected`, with a reason.
     """
     # the batch is written out before and after its issues are known: every later table reads it
@@ -128,8 +129,10 @@ def ingest(
     full = cut_lineage(claims.drop("issue_id", "evidence_id", "evidence_ts").join(order, "item_id"))
     kinds = created.select("issue_id", "type")
     if issues is not None:
-        kinds = kinds.unionByName(issues.select("issue_id", "type")).dropDuplicates(["issue_id"])
-    touched = impact.join(rows.select("issue_id").distinct(), "issue_id", "left_semi") if impact is not None else None
+        issues = in_buckets_of(issues, rows).select("issue_id", "type").dropDuplicates(["issue_id"])
+        created = created.join(issues, "issue_id", "left_anti")
+        kinds = created.select("issue_id", "type").unionByName(issues)
+    touched = in_buckets_of(impact, rows).join(rows.select("issue_id").distinct(), "issue_id", "left_semi") if impact is not None else None
     events = cut_lineage(compute_impact(full, kinds, bundle_state(touched) if touched is not None else None, tz))
     numbered = number_events(events)
     if touched is not None:

@@ -151,12 +151,14 @@ def services_of_line(services: DataFrame, line_id: str) -> DataFrame:
     return services.filter(F.col("lineId") == line_id)
 
 
-def read_ingest(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def read_ingest(spark: SparkSession, path: str, streaming: bool = False, per_batch: int | None = None) -> DataFrame:
     """One row per content item of the payload files, raw text kept for the strictness check.
 
-    Payloads are lines of JSON; the same code reads a batch or a stream.
+    Payloads are lines of JSON; the same code reads a batch or a stream, which takes `per_batch` files at a time.
     """
     reader = spark.readStream if streaming else spark.read
+    if per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", per_batch)
     lines = reader.text(path) if not streaming else reader.format("text").load(path)
     items = lines.select(F.explode(F.from_json("value", "content array<string>")["content"]).alias("raw"))
     return items.withColumn("c", F.from_json("raw", schemas.INGEST_CONTENT)).select("raw", "c.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.functions.text import issue_id_valid
@@ -15,6 +15,7 @@ from faultline.operators.rights import redact
 
 SAFE_ID = r"^[A-Za-z0-9][A-Za-z0-9_-]*$"
 BUCKETS = 256
+BATCH_BUCKETS = 64  # folders of issues in a batch
 
 
 class ExistingIds(ValueError):
@@ -82,10 +83,25 @@ def create_issue(issue: DataFrame, target: str) -> None:
     write_entities(issue, target, "create", "issue_id")
 
 
+def _found(spark: SparkSession, pattern: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return [f.getPath().toString() for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []]
+
+
+def batch_done(spark: SparkSession, target: str, batch_id: str | int) -> bool:
+    """Whether the batch's marker has been written, with all its tables before."""
+    return exists(spark, f"{target}/batches/id={batch_id}/_SUCCESS")
+
+
+def issue_bucket() -> Column:
+    """Folder of an issue within each batch."""
+    return F.pmod(F.xxhash64("issue_id"), F.lit(BATCH_BUCKETS)).cast("int")
+
+
 def append_batch(evidence: DataFrame, impact: DataFrame, target: str, batch_id: str | int, issue: DataFrame | None = None) -> None:
     """Evidence and the events it caused as one unit.
 
-    Each table is overwritten under its batch partition and the marker comes last; readers
+    Each table replaces the whole folder of its batch, split by a hash of the issue, and the marker comes last; readers
     see a batch only by its marker, so a failed or repeated delivery leaves no half batch.
     """
     spark = evidence.sparkSession
@@ -93,16 +109,27 @@ def append_batch(evidence: DataFrame, impact: DataFrame, target: str, batch_id:
     if issue is not None:
         tables["issue"] = issue
     for name, df in tables.items():
-        df.withColumn("batch_id", F.lit(str(batch_id))).write.partitionBy("batch_id").option(
-            "partitionOverwriteMode", "dynamic").mode("overwrite").parquet(f"{target}/{name}")
+        rows = df.withColumn("issue_bucket", issue_bucket()).hint("rebalance", "issue_bucket")  # a file a bucket, more for a large one
+        rows.write.partitionBy("issue_bucket").option("partitionOverwriteMode", "static").mode("overwrite").parquet(f"{target}/{name}/batch_id={batch_id}")
     spark.range(1).select(F.lit(str(batch_id)).alias("batch_id")).write.mode("overwrite").parquet(f"{target}/batches/id={batch_id}")
 
 
-def read_batches(spark: SparkSession, target: str, table: str) -> DataFrame:
-    """Rows of the batches whose marker exists."""
-    done = spark.read.parquet(f"{target}/batches/*").select(F.col("batch_id").cast("string").alias("batch_id")).distinct()
-    return spark.read.option("basePath", f"{target}/{table}").parquet(f"{target}/{table}").withColumn(
-        "batch_id", F.col("batch_id").cast("string")).join(done, "batch_id", "left_semi")
+def read_batches(spark: SparkSession, target: str, table: str) -> DataFrame | None:
+    """Rows of the batches whose marker exists, with `batch_id` and `issue_bucket`; None if these hold none."""
+    done = [path.split("/id=")[-1].removesuffix("/_SUCCESS") for path in _found(spark, f"{target}/batches/id=*/_SUCCESS")]
+    filled = {path.split("/batch_id=")[-1].split("/")[0] for path in _found(spark, f"{target}/{table}/batch_id=*/issue_bucket=*")}
+    paths = [f"{target}/{table}/batch_id={i}" for i in sorted(done) if i in filled]
+    if not paths:
+        return None
+    return spark.read.option("basePath", f"{target}/{table}").parquet(*paths).withColumn("batch_id", F.col("batch_id").cast("string"))
+
+
+def in_buckets_of(log: DataFrame, issues: DataFrame) -> DataFrame:
+    """Rows of `read_batches` in the folders of the given issues, so that others are not read; other tables as they are."""
+    if "issue_bucket" not in log.columns:
+        return log
+    buckets = [r[0] for r in issues.select(issue_bucket().alias("b")).distinct().collect()]  # BATCH_BUCKETS at most
+    return log.filter(F.col("issue_bucket").isin(buckets)).drop("issue_bucket")
 
 
 def export_public(

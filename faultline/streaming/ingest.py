@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.functions.temporal import parse_instant
-from faultline.plans.ingest import check_contract
+from faultline.functions.temporal import SGT, parse_instant
+from faultline.lineage import discard, written
+from faultline.plans.ingest import check_contract, ingest, write_ingest
+from faultline.sources.writers import batch_done, read_batches
 
 
 def checked_items(items: DataFrame, received_at: str | None = None, delay: str = "1 day") -> tuple[DataFrame, DataFrame]:
@@ -36,3 +40,38 @@ def write_stream(accepted: DataFrame, dead: DataFrame, target: str, checkpoint:
     if available_now:
         good, bad = good.trigger(availableNow=True), bad.trigger(availableNow=True)
     return good.start(), bad.start()
+
+
+def apply_batch(items: DataFrame, batch_id: int, decide: Callable[[DataFrame], tuple[DataFrame, DataFrame]], target: str, tz: str = SGT) -> bool:
+    """C14 and S6 of one micro-batch against what `target` holds of its issues; False if the batch is already there.
+
+    `decide` gives (decisions, claims) of the items, by item_id, as `ingest` takes them. A batch counts once its marker is
+    written; one that broke off before is done again from the same state, whatever it left behind.
+    """
+    spark = items.sparkSession
+    if batch_done(spark, target, batch_id):
+        items.write.format("noop").mode("overwrite").save()  # a stream's state moves on only when its batch is read
+        return False
+    items, path = written(items)  # read several times; the stream itself is read once
+    result = ingest(items, *decide(items), read_batches(spark, target, "impact"), read_batches(spark, target, "issue"), tz)
+    result["rejected"].write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{target}/rejected/batch_id={batch_id}")
+    write_ingest(result, target, batch_id)
+    discard(spark, [path])
+    return True
+
+
+def ingest_stream(
+    accepted: DataFrame, decide: Callable[[DataFrame], tuple[DataFrame, DataFrame]], target: str, checkpoint: str, tz: str = SGT, available_now: bool = True,
+):
+    """X1 to the end: accepted items become issues, evidence and events, one micro-batch after another.
+
+    An item is known by its delivery key. Within a batch items apply in order of their time; batches apply in order of
+    arrival, so the result equals one batch of everything if items arrive in order of their time.
+    """
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        apply_batch(batch.withColumn("item_id", F.col("delivery_key")), batch_id, decide, target, tz)
+
+    writer = accepted.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

@@ -11,7 +11,7 @@ from faultline.operators.rights import RULE_COLUMNS
 from faultline.plans import ingest as I
 from faultline.session import small_table
 from faultline.sources import features, readers, writers
-from faultline.streaming.ingest import checked_items, write_stream
+from faultline.streaming.ingest import checked_items, ingest_stream, write_stream
 from faultline.streaming.state import compact_state, read_state, streaming_state, write_state
 from tests.helpers import claim, fixed, local, start_only, svc
 
@@ -223,6 +223,58 @@ def test_ingest_batch(spark):
     assert out["rejected"].count() == 0
 
 
+def test_ingest_stream_killed_and_started_again_equals_one_batch(spark, tmp_path):
+    src, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    hours = [{**TWEET, "url": f"https://t.com/{h}", "createdAt": f"2024-01-01T0{h}:00:00Z"} for h in range(4)]
+    for n, item in enumerate(hours):
+        put(f"{src}/{n}.json", json.dumps({"content": [item]}) + "\n")
+        os.utime(f"{src}/{n}.json", (1000 + n, 1000 + n))  # arrival in order of time
+    key = lambda h: f"url:https://t.com/{h}"
+    issue = "2024-01-01-line-a-delay"
+    decisions = spark.createDataFrame(
+        [(key(0), "part-of-new-issue", None, "disruption", "Line A: Delay"), (key(1), "part-of-existing-issue", issue, None, None),
+         (key(2), "part-of-new-issue", None, "infra", "Line A: Delay"), (key(3), "part-of-existing-issue", issue, None, None)],
+        "item_id string, kind string, issue_id string, issue_type string, title string")
+    claims = spark.createDataFrame(
+        [(key(0), *claim("", "2024-01-01 08:00", svc("A"), service=("delay", None), hint=start_only("2024-01-01 08:00"))),
+         (key(1), *claim("", "2024-01-01 09:00", svc("A"), service=("no-service", None))),
+         (key(2), *claim("", "2024-01-01 10:00", svc("A"), service=("no-service", None), hint=fixed("2024-01-01 10:00", "2024-01-01 11:00"))),
+         (key(3), *claim("", "2024-01-01 11:00", svc("B"), service=("delay", None)))], "item_id string, " + S.CLAIM_COLUMNS)
+    items = readers.read_ingest(spark, src).withColumn("item_id", F.concat(F.lit("url:"), "url"))
+    whole = I.ingest(items, decisions, claims)
+    rows = lambda df, *cols: sorted(df.select(*[F.to_json(F.struct(*cols))]).collect())
+    seen = []
+
+    def decide(batch, fail=False):
+        ids = {r.item_id for r in batch.select("item_id").collect()}
+        seen.append(ids)
+        if fail and key(2) in ids:
+            raise RuntimeError("killed")
+        return tuple(df.join(batch.select("item_id"), "item_id", "left_semi") for df in (decisions, claims))
+
+    def run(fail=False):
+        stream = readers.read_ingest(spark, src, streaming=True, per_batch=1)
+        return ingest_stream(checked_items(stream)[0], lambda batch: decide(batch, fail), out, cp).awaitTermination()
+
+    with pytest.raises(Exception, match="killed"):
+        run(fail=True)
+    assert writers.read_batches(spark, out, "evidence").count() == 2
+    # what a batch broken off leaves: tables without a marker
+    whole["evidence"].withColumn("issue_bucket", F.lit(1)).write.partitionBy("issue_bucket").parquet(f"{out}/evidence/batch_id=2")
+    run()
+    times = len(seen)
+    last = max(int(f) for f in os.listdir(f"{cp}/commits") if f.isdigit())
+    for name in (f"{last}", f".{last}.crc"):  # killed between marker and commit: the batch comes again
+        os.remove(f"{cp}/commits/{name}")
+    run()
+    assert len(seen) == times and sorted(map(len, seen[:4])) == [1, 1, 1, 1]
+    got = {name: writers.read_batches(spark, out, name) for name in ("issue", "evidence", "impact")}
+    assert rows(got["issue"], "issue_id", "type", "title") == rows(whole["issue"], "issue_id", "type", "title") and got["issue"].count() == 1
+    assert rows(got["evidence"], *whole["evidence"].columns) == rows(whole["evidence"], *whole["evidence"].columns)
+    own = [c for c in whole["impact"].columns if c != "ev_seq"]  # ev_seq counts the evidence of a batch
+    assert rows(got["impact"], *own) == rows(whole["impact"], *own) and got["impact"].count() == 3
+
+
 def test_ingest_rejects_what_it_cannot_place(spark):
     raw = [(str(i), {**TWEET, "url": f"https://t.com/{i}"}) for i in range(1, 5)]
     items = spark.createDataFrame([(i, json.dumps(c)) for i, c in raw], "item_id string, raw string").withColumn("c", F.from_json("raw", S.INGEST_CONTENT)).select("item_id", "raw", "c.*")
