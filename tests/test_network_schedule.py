@@ -197,6 +197,15 @@ def test_departures_equal_gap_by_gap_search(spark):
     assert got == {i: m for i, m in want.items() if m} and {r.id for r in bad.collect()} == {i for i, m in want.items() if not m}
 
 
+def test_one_impossible_window_refuses_its_schedule(spark):
+    fine, bad = (0, 3600, 600, 500, 700, None), (3600, 3615, 600, 500, 700, None)
+    rows = [(1, "f", "l", [fine, bad], None), (2, "f", "l", [fine], None), (None, "f", "l", [fine, bad], None), (None, "f", "l", [fine], None)]
+    df = spark.createDataFrame(rows, f"id int, first_train string, last_train string, windows {S.WINDOWS}, error string")
+    good, failed = S.departures(df, ["id"])
+    assert sorted((r.id or 0, r.seconds) for r in good.collect()) == sorted((i, s) for i in (0, 2) for s in range(0, 3601, 600))
+    assert sorted((r.id or 0, r.start_s) for r in failed.collect()) == [(0, 3600), (1, 3600)]
+
+
 def test_departures_bases(spark):
     df = schedule(spark, "06:00", "07:00", [("am", "weekdays", "06:30", "09:00", (500, 700, 600))])
     rows = S.departures(df, [])[0].orderBy("seconds").collect()
