@@ -155,13 +155,14 @@ def interval_counts(classes: DataFrame) -> DataFrame:
     return keep_computed(rows, _n=best["n"]).drop("_ideal", "_low", "_high")
 
 
-def departures(scheduled: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def departures(scheduled: DataFrame, keep: Sequence[str], refuse: bool = True) -> tuple[DataFrame, DataFrame]:
     """(departures, windows no interval count satisfies).
 
     Per window the interval count closest to the ideal whose quantised gaps all lie within
     the headway range, smaller counts first on ties. Window ends are exclusive but for the
     last window of the day; its first and last instants are the sourced trains. A schedule with a window that no count
-    satisfies is refused whole: it has rows among the windows only. `keep`, the first and the last train name a schedule.
+    satisfies is refused whole: it has rows among the windows only; without `refuse` its other windows have their departures.
+    `keep`, the first and the last train name a schedule.
 
     Windows of equal length and headways have equal counts, so each such class is solved once and joined back; classes are few
     (lengths below two days, headways of the profiles), which Spark sees when it has made them distinct.
@@ -176,9 +177,11 @@ def departures(scheduled: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, Da
     rows = rows.join(solved.select(*[F.col(n).alias(f"{n}_k") for n in shape], "_n"), reduce(and_, same))
     failed = rows.filter("_n is null").select(*keep, F.col("w.start_s").alias("start_s"), F.col("w.end_s").alias("end_s"))
     last_i = F.when(F.col("w.end_s") == F.col("_last"), F.col("_n")).otherwise(F.col("_n") - 1)
-    day = [*keep, "_first", "_last"]
-    refused = rows.filter("_n is null").select(*[F.col(c).alias(f"{c}_k") for c in day]).distinct()
-    good = rows.filter("_n is not null").join(refused, reduce(and_, [F.col(c).eqNullSafe(F.col(f"{c}_k")) for c in day]), "left_anti")
+    good = rows.filter("_n is not null")
+    if refuse:
+        day = [*keep, "_first", "_last"]
+        refused = rows.filter("_n is null").select(*[F.col(c).alias(f"{c}_k") for c in day]).distinct()
+        good = good.join(refused, reduce(and_, [F.col(c).eqNullSafe(F.col(f"{c}_k")) for c in day]), "left_anti")
     times = good.withColumn("_i", F.explode(F.sequence(F.lit(0), last_i)))
     seconds = F.col("w.start_s") + _offset(F.col("_i"), F.col("_n"), F.col("_len"))
     out = times.withColumn("seconds", seconds).select(

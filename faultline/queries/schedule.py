@@ -92,12 +92,13 @@ z AS (SELECT *, list_sort(list_transform(fit, lambda x: (abs(x - ideal), x)))[1]
 
 
 @query("departures", f"""WITH {_WINDOW_SQL}, {_CHOICE_SQL},
-i AS (SELECT *, unnest(range(0, n + CASE WHEN end_s = last_s THEN 1 ELSE 0 END)) AS i FROM z WHERE (station_id, calendar) NOT IN (SELECT (station_id, calendar) FROM z WHERE n IS NULL)),
+i AS (SELECT *, unnest(range(0, n + CASE WHEN end_s = last_s THEN 1 ELSE 0 END)) AS i FROM z WHERE n IS NOT NULL),
 d AS (SELECT *, start_s + {_OFF.format(i='i')} AS seconds FROM i)
 SELECT station_id, calendar, count(*) AS departures, CAST(sum(seconds) AS BIGINT) AS seconds_sum, count(*) FILTER (seconds = last_s) AS last_trains,
   count(*) FILTER (seconds = first_s AND seconds <> last_s) AS first_trains FROM d GROUP BY 1, 2""")
 def departures(t):
-    out, _ = S.departures(windows(t), ["station_id", "calendar"])
+    """Every window that can be met has its departures; the others are the rows of `impossible_windows`."""
+    out, _ = S.departures(windows(t), ["station_id", "calendar"], refuse=False)
     is_ = lambda b: F.count_if(F.col("basis") == b)
     return out.groupBy("station_id", "calendar").agg(
         F.count(F.lit(1)).alias("departures"), F.sum("seconds").alias("seconds_sum"), is_("last_train").alias("last_trains"), is_("first_train").alias("first_trains"))

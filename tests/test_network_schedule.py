@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from faultline.operators import network as N
 from faultline.operators import platforms as P
 from faultline.operators import schedule as S
+from faultline.queries import QUERIES
 
 
 def bfs(near, start):
@@ -206,6 +207,20 @@ def test_one_impossible_window_refuses_its_schedule(spark):
     assert sorted((r.id or 0, r.start_s) for r in failed.collect()) == [(0, 3600), (1, 3600)]
 
 
+def test_departures_of_the_windows_beside_an_impossible_one(spark):
+    fine, bad = (0, 3600, 600, 500, 700, None), (3600, 3615, 600, 500, 700, None)
+    df = spark.createDataFrame([(1, "f", "l", [fine, bad], None), (2, "f", "l", [fine], None)], f"id int, first_train string, last_train string, windows {S.WINDOWS}, error string")
+    good, failed = S.departures(df, ["id"], refuse=False)
+    assert sorted((r.id, r.seconds) for r in good.collect()) == [(1, s) for s in range(0, 3600, 600)] + [(2, s) for s in range(0, 3601, 600)]
+    assert [(r.id, r.start_s) for r in failed.collect()] == [(1, 3600)]
+
+
+def test_departures_query_covers_schedules_with_an_impossible_window(spark, tmp_path):
+    spark.createDataFrame([(k, 1) for k in range(1, 400)], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    bad = {(r.station_id, r.calendar) for r in QUERIES["impossible_windows"](spark, str(tmp_path)).collect()}
+    assert bad and bad <= {(r.station_id, r.calendar) for r in QUERIES["departures"](spark, str(tmp_path)).collect()}
+
+
 def test_departures_bases(spark):
     df = schedule(spark, "06:00", "07:00", [("am", "weekdays", "06:30", "09:00", (500, 700, 600))])
     rows = S.departures(df, [])[0].orderBy("seconds").collect()
