@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from faultline.lineage import cut_lineage
 from faultline.llm.common import TOKENS, WORDS, buffers, fresh, in_row, mix, need, pieces, row_sums, table, tokens, windows
+from faultline.operators import ordered
 
 #: Buckets of n-gram counts; what the driver gathers is a few numbers for each, whatever the corpus.
 BUCKETS = 1 << 16
@@ -23,8 +25,10 @@ SMOOTHING = 0.01
 WIDE, FOLDS, SMOOTHINGS = 1 << 20, 4, (0.001, 0.01, 0.1, 1.0, 10.0)
 #: Buckets whose counts are one row.
 BLOCK = 1 << 14
-#: Held-out good texts the threshold is taken from, the share of them that may be lost, and quartile ranges that none is lost within.
-HELD, LOST, FENCE = 5000, 0.01, 3.0
+#: Share of the held-out good texts that the threshold may lose, and quartile ranges that none is lost within.
+LOST, FENCE = 0.01, 3.0
+#: Scores that are ranked in one task; more are ranked in ranges.
+RANKED = 100_000
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 #: Lines: everything but the line feed.
 LINES = table({1: [(0, 9), (11, 255)]})
@@ -92,13 +96,13 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _grams(texts, BUCKETS)[:2]
 
 
-_COUNTED = "block int, counts binary, held string"
+_COUNTED = "block int, counts binary"
 
 
 def _packed(block: int, counts: np.ndarray) -> pa.RecordBatch:
     """One row: the counts of a block of buckets (raw, target of each fold), their bytes by significance, compressed."""
     planes = np.ascontiguousarray(counts.astype("<i8").reshape(-1).view(np.uint8).reshape(-1, 8).T)
-    return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([pa.compress(planes.tobytes(), "zstd", asbytes=True)], pa.binary()), pa.nulls(1, pa.string())], ["block", "counts", "held"])
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([pa.compress(planes.tobytes(), "zstd", asbytes=True)], pa.binary())], ["block", "counts"])
 
 
 def _unpacked(counts: bytes) -> np.ndarray:
@@ -107,7 +111,7 @@ def _unpacked(counts: bytes) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, counts) of the task's texts, and the texts drawn as they are, under negative blocks."""
+    """(block, counts) of the task's texts."""
     counts = np.zeros((1 + FOLDS) * WIDE, np.int64)
     for batch in batches:
         for piece in pieces(batch, 0):
@@ -115,9 +119,6 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some = piece.column(1).to_numpy(zero_copy_only=False)[rows]
             np.add.at(counts, found, 1)
             np.add.at(counts, (1 + folds[rows[some]]) * WIDE + found[some], 1)
-            held = piece.column(0).filter(piece.column(2))
-            if len(held):
-                yield pa.RecordBatch.from_arrays([pa.array(-1 - np.arange(len(held)) % 61, pa.int32()), pa.nulls(len(held), pa.binary()), held.cast(pa.string())], ["block", "counts", "held"])
     for block in range(WIDE // BLOCK):
         own = counts.reshape(1 + FOLDS, WIDE)[:, block * BLOCK:(block + 1) * BLOCK]
         if own.any():
@@ -125,33 +126,53 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each block of the task; held texts pass."""
+    """One row for each block of the task."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
-        yield batch.filter(batch.column(1).is_null())
         for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if counts is not None:
-                sums[block] = sums.get(block, 0) + _unpacked(counts)
+            sums[block] = sums.get(block, 0) + _unpacked(counts)
     for block, counts in sums.items():
         yield _packed(block, counts)
 
 
-def _counts(docs: DataFrame, trusted: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame]:
-    """Raw counts of the buckets, target counts of each fold, and about `HELD` distinct trusted texts (all if fewer).
+def _known(trusted: DataFrame) -> DataFrame:
+    return trusted.select(F.col("doc_id").cast("long").alias("__id")).filter("__id is not null").distinct().hint("merge")  # neither side of its joins has a proven bound
+
+
+def _counts(docs: DataFrame, trusted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Raw counts of the buckets and target counts of each fold, from all texts.
 
     Tasks count their own texts, blocks of buckets are summed after a shuffle. A row for each of WIDE / BLOCK blocks
     reaches the driver; texts stay in Spark.
     """
-    known = trusted.select(F.col("doc_id").cast("long").alias("__id")).filter("__id is not null").distinct().hint("merge")  # neither side has a proven bound
-    rows = need(docs, doc_id="long", text="string").join(known, F.col("doc_id") == F.col("__id"), "left")
-    share = min(HELD / max(known.count(), 1), 1.0)
-    drawn = F.col("__id").isNotNull() & F.col("text").isNotNull() & (F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    counts = rows.select("text", F.col("__id").isNotNull().alias("trusted"), drawn.alias("drawn")).mapInArrow(_count, _COUNTED)
-    counts = cut_lineage(counts.repartition("block").mapInArrow(_sum_blocks, _COUNTED))
+    rows = need(docs, doc_id="long", text="string").join(_known(trusted), F.col("doc_id") == F.col("__id"), "left")
+    counts = rows.select("text", F.col("__id").isNotNull().alias("trusted")).mapInArrow(_count, _COUNTED)
     whole = np.zeros((1 + FOLDS, WIDE))
-    for row in counts.filter("block >= 0").select("block", "counts").collect():
+    for row in counts.repartition("block").mapInArrow(_sum_blocks, _COUNTED).collect():
         whole[:, row["block"] * BLOCK:(row["block"] + 1) * BLOCK] = _unpacked(bytes(row["counts"]))
-    return whole[0], whole[1:], counts.filter("block < 0").select("held").distinct()
+    return whole[0], whole[1:]
+
+
+def good_scores(docs: DataFrame, trusted: DataFrame, ratios: np.ndarray) -> DataFrame:
+    """`log_ratio` of every distinct trusted text (by a 64-bit hash) that passes the base rule.
+
+    All documents are scored where they are read; ids, text keys and scores are shuffled, texts are not.
+    """
+    rows = need(docs, doc_id="long", text="string").filter("text is not null").withColumn("key", F.xxhash64("text"))
+    scored = judge(rows, ratios, 0.0, ["doc_id", "key"]).filter("not base_failed").select("doc_id", "key", "log_ratio")
+    return scored.join(_known(trusted), F.col("doc_id") == F.col("__id"), "left_semi").groupBy("key").agg(F.min("log_ratio").alias("log_ratio"))
+
+
+def order_statistics(scores: DataFrame, name: str, shares: tuple[float, ...], ranked: int = RANKED) -> list[float]:
+    """The scores that these shares of all others precede (the lower of two); none without scores. Exact: all scores are ranked."""
+    rows = cut_lineage(scores.select(F.lit(0).alias("all"), F.col(name).alias("score")))
+    n = rows.count()
+    if not n:
+        return []
+    places = [math.floor(share * (n - 1)) + 1 for share in shares]
+    placed = ordered.rank(ordered.cut(rows, ["all"], "score", ranked), ["all"], ["score"], "place")
+    found = {r["place"]: r["score"] for r in placed.filter(F.col("place").isin(places)).select("place", "score").collect()}
+    return [found[p] for p in places]
 
 
 def _share(counts: np.ndarray, smoothing: float) -> np.ndarray:
@@ -168,14 +189,15 @@ def best_smoothing(target: np.ndarray) -> float:
     return SMOOTHINGS[int(np.argmax(gain))] if gain.any() else SMOOTHING
 
 
-def lowest(scores: np.ndarray) -> float:
+def lowest(scores: DataFrame) -> float:
     """Threshold by the scores of held-out good texts: `LOST` of them are below it at most, and none within `FENCE` quartile ranges.
 
     A text that is likelier in the target than in the raw corpus is never below.
     """
-    if not len(scores):
+    found = order_statistics(scores, "log_ratio", (LOST, 0.25, 0.75))
+    if not found:
         return 0.0
-    lost, low, high = np.quantile(scores, [LOST, 0.25, 0.75], method="lower")
+    lost, low, high = found
     return float(min(0.0, lost, low - FENCE * (high - low)))
 
 
@@ -191,20 +213,19 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> Ratios:
 
     Its `folds` have `WIDE` buckets each. A text is scored by the row of its fold, so a labelled text and one like it
     without a label score alike, whatever the size. Smoothing is the likeliest for held-out folds, the threshold comes
-    from the held-out scores of about `HELD` trusted texts (all if fewer) that pass the base rule. A fold whose other
+    from the held-out scores of all trusted texts that pass the base rule. A fold whose other
     folds have no trusted text has zeros.
     """
-    raw, target, held = _counts(docs, trusted)
+    raw, target = _counts(docs, trusted)
     ratios = np.zeros((FOLDS, WIDE), np.float32)
     whole, smoothing = target.sum(0), best_smoothing(target)
     for k in range(FOLDS):
         if (whole - target[k]).sum():
             ratios[k] = np.log(_share(whole - target[k], smoothing)) - np.log(_share(raw, smoothing))
-    scores = judge(held.withColumnRenamed("held", "text"), ratios, carry=[]).filter("not base_failed").select("log_ratio").toArrow()  # HELD numbers
     narrow = lambda c: c.reshape(BUCKETS, -1).sum(1)
     plain = np.log(_share(narrow(whole), SMOOTHING)) - np.log(_share(narrow(raw), SMOOTHING)) if whole.any() else np.zeros(BUCKETS)
     out = plain.view(Ratios)
-    out.folds, out.threshold = ratios, lowest(scores.column(0).to_numpy())
+    out.folds, out.threshold = ratios, lowest(good_scores(docs, trusted, ratios))
     return out
 
 

@@ -104,6 +104,31 @@ def test_ratio_equals_a_loop_and_rejects_junk(spark):
     assert (quality_rules.log_ratios(docs, quality_rules.trusted_documents(labels.filter("false"))) == 0).all()
 
 
+def test_order_statistics_rank_all_scores(spark):
+    rng = random.Random(12)
+    values = [rng.choice([0.0, rng.gauss(0, 1)]) for _ in range(997)]
+    df = spark.createDataFrame([(v,) for v in values], "log_ratio double").repartition(3)
+    want = [float(x) for x in np.quantile(values, [0.01, 0.25, 0.75, 1.0], method="lower")]
+    for ranked in (10_000, 100):  # in one task; in ranges
+        assert quality_rules.order_statistics(df, "log_ratio", (0.01, 0.25, 0.75, 1.0), ranked) == want
+    assert quality_rules.order_statistics(df.limit(0), "log_ratio", (0.5,)) == []
+
+
+def test_threshold_comes_from_every_good_text(spark):
+    rng = random.Random(13)
+    made = lambda: " ".join(f"w{min(int(rng.expovariate(0.02)), 400)}" for _ in range(rng.randrange(10, 16)))
+    rows = [(i, made()) for i in range(7000)]
+    rows += [(7000 + i, rows[i][1]) for i in range(50)]  # copies count once
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(6000)] + [(7000 + i, 1, 0) for i in range(50)], "doc_id long, quality int, toxic int")
+    trusted = quality_rules.trusted_documents(labels)
+    ratios = quality_rules.log_ratios(docs, trusted)
+    good = {rows[i][1]: None for i in range(6000)}
+    scores = [r["log_ratio"] for r in quality_rules.judge(docs, ratios, carry=["text"]).filter("not base_failed").dropDuplicates(["text"]).collect() if r["text"] in good]
+    lost, low, high = np.quantile(scores, [quality_rules.LOST, 0.25, 0.75], method="lower")
+    assert len(scores) > 5000 and ratios.threshold == min(0.0, lost, low - quality_rules.FENCE * (high - low)) < 0
+
+
 @pytest.mark.parametrize("n", [40, 300])
 def test_good_text_without_a_label_stays_at_any_size(spark, n):
     rng = random.Random(9)
