@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from faultline.operators import network as N
 from faultline.operators import platforms as P
 from faultline.operators import schedule as S
-from faultline.queries import QUERIES
+from faultline.queries import QUERIES, registry
 
 
 def bfs(near, start):
@@ -243,3 +243,23 @@ def test_timing_fallback(spark):
                                    "station_id string, service_id string, calendar string, first_train string, last_train string")
     got = {(r.service_id, r.calendar): r.first_train for r in S.resolve_timing(stops, timing).collect()}
     assert got[("a", "weekday")] == got[("a", "saturday")] == "05:00" and got[("a", "sunday_public_holiday")] == "06:00" and got[("b", "weekday")] is None
+
+
+def test_shuffle_partitions_follow_the_tables_read(spark, tmp_path, monkeypatch):
+    spark.range(1000).selectExpr("id AS l_orderkey", "id AS l_partkey", "id AS l_linenumber").write.parquet(f"{tmp_path}/lineitem.parquet")
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    number, before = names[0], [spark.conf.get(n) for n in names]
+    try:
+        size = registry.stored_bytes(spark, f"{tmp_path}/lineitem.parquet")
+        monkeypatch.setattr(registry, "PART_BYTES", -(-size // 7))
+        for _ in range(2):  # read again, the table counts once
+            assert registry.Tables(spark, str(tmp_path)).lineitem.count() == 1000 and spark.conf.get(number) == "7"
+        assert int(spark.conf.get(names[1])) <= registry.TASK_BYTES
+        registry.fit_partitions(spark, 1)  # small tables have the session's own number again
+        assert spark.conf.get(number) == before[0]
+        spark.conf.set(number, "9")  # a number set meanwhile is the session's
+        registry.fit_partitions(spark, size)
+        assert spark.conf.get(number) == "9"
+    finally:
+        for n, value in zip(names, before):
+            spark.conf.set(n, value)
