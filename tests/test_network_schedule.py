@@ -263,3 +263,15 @@ def test_shuffle_partitions_follow_the_tables_read(spark, tmp_path, monkeypatch)
     finally:
         for n, value in zip(names, before):
             spark.conf.set(n, value)
+
+
+def test_small_graphs_are_walked_without_a_round_per_hop(spark, monkeypatch):
+    rows = [("k", f"c{i:02d}", f"c{i + 1:02d}") for i in range(8)] + [("j", a, b) for a, around in graph(2, 12, 20).items() for b in around]
+    near = N.both_ways(spark.createDataFrame(rows, "line string, a string, b string"), "a", "b", ["line"])
+    start = near.select("line", F.col("node").alias("source")).distinct()
+    tables, write = [], N.written
+    monkeypatch.setattr(N, "written", lambda df: tables.append(1) or write(df))
+    walked = sorted(tuple(r) for r in N.path_tree(near, start, ["line"]).select("line", "source", "node", "hops", "parent").fillna("").collect())
+    assert len(tables) < 6
+    monkeypatch.setattr(N, "WALK_ROWS", 10)  # now both lines take rounds
+    assert sorted(tuple(r) for r in N.path_tree(near, start, ["line"]).select("line", "source", "node", "hops", "parent").fillna("").collect()) == walked
