@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from faultline.functions.text import digest
+from faultline.functions.text import digest_key
 from faultline.operators.diff import dedup_semantic
 
 CLAIM_FIELDS = ["entity", "effect", "scopes", "status_signal", "time_hints", "causes"]
@@ -80,7 +80,7 @@ def complete_siblings(claims: DataFrame, services: DataFrame) -> DataFrame:
     dim = services.select(F.col("service_id").alias("_sid"), "line_id", "revisions")
     lined = eligible.join(dim, eligible["entity.service_id"] == dim["_sid"]).filter(
         _active(F.col("revisions"), F.col("evidence_ts"))
-    ).withColumn("_hash", digest(*TEMPLATE_FIELDS))
+    ).withColumn("_hash", digest_key(*TEMPLATE_FIELDS))
     others = [c for c in claims.columns if c not in (*EVIDENCE_KEY, "entity")]
     template = F.struct(*others)
     per_service = lined.groupBy(*EVIDENCE_KEY, "line_id", "_sid").agg(
@@ -123,16 +123,22 @@ def anchor_claims(claims: DataFrame) -> DataFrame:
     return claims.withColumn("time_hints", F.when(F.coalesce(bare, F.lit(False)), start_only).otherwise(F.col("time_hints")))
 
 
-def dedup_claims(claims: DataFrame) -> DataFrame:
-    return dedup_semantic(claims, CLAIM_FIELDS, "seq", EVIDENCE_KEY)
+def dedup_claims(claims: DataFrame, within: Sequence[str] = EVIDENCE_KEY) -> DataFrame:
+    return dedup_semantic(claims, CLAIM_FIELDS, "seq", within)
 
 
 def normalize_for_evidence(claims: DataFrame, services: DataFrame | None = None) -> DataFrame:
-    """C4: C1, C2, J4, C3, C1 and D5 in this order; without services C2 and J4 are skipped and `seq` keeps its type."""
+    """C4: C1, C2, J4, C3, C1 and D5 in this order; without services C2 and J4 are skipped and `seq` keeps its type.
+
+    Both times only claims that differ in nothing but their hints can be equal, so these are brought together once.
+    """
     out = normalize_claims(claims)
-    if services is not None:
-        out = dedup_claims(complete_siblings(filter_inactive(out, services), services))
-    return dedup_claims(normalize_claims(anchor_claims(out)))
+    if services is None:
+        return dedup_claims(normalize_claims(anchor_claims(out)))
+    within = [*EVIDENCE_KEY, "_alike"]
+    done = complete_siblings(filter_inactive(out, services), services)
+    alike = done.withColumn("_alike", digest_key(*[c for c in CLAIM_FIELDS if c != "time_hints"])).repartition(*within)
+    return dedup_claims(normalize_claims(anchor_claims(dedup_claims(alike, within))), within).drop("_alike")
 
 
 def clamp_hints(claims: DataFrame) -> DataFrame:

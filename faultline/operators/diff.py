@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.functions.text import digest, stable_json
+from faultline.functions.text import digest, digest_key, stable_json
 from faultline.operators import ordered
 
 
@@ -88,10 +88,13 @@ def only_in(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def dedup_semantic(df: DataFrame, by: Sequence[str], seq: str, within: Sequence[str] = ()) -> DataFrame:
-    """First row per equal content, whatever the order of fields; combines before the shuffle."""
-    row = F.struct(*df.columns)
-    kept = df.withColumn("_hash", digest(*by)).groupBy(*within, "_hash").agg(F.min_by(row, seq).alias("_row"))
-    return kept.select("_row.*")
+    """First row per equal content, whatever the order of fields; combines before the shuffle.
+
+    Rows that already stand together by some of `within` are not shuffled.
+    """
+    row = F.struct(*[c for c in df.columns if c not in within])
+    kept = df.withColumn("_hash", digest_key(*by)).groupBy(*within, "_hash").agg(F.min_by(row, seq).alias("_row"))
+    return kept.select(*[F.col(c) if c in within else F.col(f"_row.{c}") for c in df.columns])
 
 
 def preserve_ids(

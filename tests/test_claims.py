@@ -337,3 +337,11 @@ def test_targets(spark):
     assert ids("explicit", issue_ids=["i1"], evidence_ids=["e1", "e9"]) == ["e1"]
     with pytest.raises(ValueError):
         ids("other")
+
+
+def test_claims_are_brought_together_once_for_both_dedups(spark):
+    rows = [claim("a", "2024-01-01 08:00", svc("s1"), i, service=("delay", None), hint=h) for i, h in enumerate([None, start_only("2024-01-01 08:00"), None])]
+    out = C.normalize_for_evidence(claims(spark, rows), services(spark))
+    dealt = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning(issue_id" in line and "_hash" in line]
+    assert not dealt
+    assert [local(r.time_hints.start_at) for r in out.collect()] == ["2024-01-01 08:00"]
