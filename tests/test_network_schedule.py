@@ -275,3 +275,18 @@ def test_small_graphs_are_walked_without_a_round_per_hop(spark, monkeypatch):
     assert len(tables) < 6
     monkeypatch.setattr(N, "WALK_ROWS", 10)  # now both lines take rounds
     assert sorted(tuple(r) for r in N.path_tree(near, start, ["line"]).select("line", "source", "node", "hops", "parent").fillna("").collect()) == walked
+
+
+def test_active_stops_stay_dealt_by_service(spark):
+    net, _ = network(spark)
+    stops = P._active(net, F.to_date(F.lit("2024-06-01")))[2]
+    plan = stops._jdf.queryExecution().optimizedPlan().toString()
+    assert "(_rev" in plan and stops.count() == 12
+
+
+def test_repeated_observation_ids_meet_each_others_services_and_dates(spark):
+    net, lines = network(spark)
+    obs = observations(spark, [("B", "L", "A", None, ["s1"], "2024-01-01"), ("C", "L", "A", None, ["s2", "s2"], "2019-02-01")]).withColumn("obs_id", F.lit(7))
+    good, errors = P.resolve_observations(obs, net, lines, F.to_date(F.lit("2024-06-01")))
+    assert sorted((r.station_id, r.service_id) for r in good.collect()) == [("B", "s1"), ("B", "s2"), ("C", "s1"), ("C", "s2")]
+    assert errors.filter("error like '%inactive on%'").count() == 0
