@@ -166,7 +166,7 @@ def _replay_step(state: dict, rows: list[dict]):
     claims = []
     for r in rows:
         opened = _open_start(state.get(r["entity_key"], []))
-        base = {"entity_key": r["entity_key"], "entity": json.loads(r["entity"]), "body": r["body"], "seq": r["seq"]}
+        base = {"entity_key": r["entity_key"], "entity": None, "body": r["body"], "seq": r["seq"]}
         if r["fresh"]:
             claims.append({**base, "hint": adapt_hint(r["hint"], opened), "row": r})
             continue
@@ -180,12 +180,12 @@ def _replay_step(state: dict, rows: list[dict]):
         r, hint = c["row"], c["hint"]
         if hint is None and r["anchors"] and not r["fresh"]:
             hint = _hint("start-only", r["ts_us"], None)
-        same = json.dumps([c["entity_key"], c["body"], hint], sort_keys=True)
+        same = (c["entity_key"], c["body"], _hint_key(hint))
         if same in seen and not r["fresh"]:
             continue
         seen.add(same)
         out.append({"ev_seq": r["ev_seq"], "evidence_id": r["evidence_id"], "ts_us": r["ts_us"], "seq": c["seq"],
-                    "entity": json.dumps(c["entity"]), "body": c["body"], "hint": hint})
+                    "entity": r["entity"] if c["entity"] is None else json.dumps(c["entity"]), "body": c["body"], "hint": hint})
         if hint is not None:
             applied = hint
             if hint["kind"] == "fixed" and hint["end_at"] is None and hint["start_at"] > r["ts_us"]:
@@ -195,6 +195,11 @@ def _replay_step(state: dict, rows: list[dict]):
     return state, out
 
 
+def _hint_key(hint: dict | None):
+    """A hint as a key: its values by field, lists as tuples."""
+    return hint and tuple((k, tuple(v) if isinstance(v, list) else v) for k, v in sorted(hint.items()))
+
+
 def _clock(us, row):
     """Wall-clock time of an instant at the fixed offset of the log."""
     if us is None:
@@ -208,13 +213,14 @@ def _copies_for_siblings(claims: list[dict]) -> list[dict]:
     whole = [c for c in claims if c["row"]["whole"] and c["row"]["siblings"] is not None and not c["row"]["fresh"]]
     if not whole:
         return []
-    present = {c["entity"]["service_id"] for c in whole}
-    templates = {json.dumps([c["body"], c["hint"]], sort_keys=True) for c in whole}
+    named = [json.loads(c["row"]["entity"]) for c in whole]
+    present = {e["service_id"] for e in named}
+    templates = {(c["body"], _hint_key(c["hint"])) for c in whole}
     if len(present) < 2 or len(templates) != 1:
         return []
     first = whole[0]
     return [
-        {**first, "entity": {**first["entity"], "service_id": s}, "entity_key": f"service:{s}", "seq": {**first["row"]["seq"], "origin": COPIED, "place": i}}
+        {**first, "entity": {**named[0], "service_id": s}, "entity_key": f"service:{s}", "seq": {**first["row"]["seq"], "origin": COPIED, "place": i}}
         for i, s in enumerate(first["row"]["siblings"]) if s not in present
     ]
 

@@ -345,3 +345,11 @@ def test_claims_are_brought_together_once_for_both_dedups(spark):
     dealt = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning(issue_id" in line and "_hash" in line]
     assert not dealt
     assert [local(r.time_hints.start_at) for r in out.collect()] == ["2024-01-01 08:00"]
+
+
+def test_a_replayed_claim_is_not_written_as_text_again(monkeypatch):
+    monkeypatch.setattr(R.json, "dumps", lambda *a, **k: pytest.fail("not needed"))
+    row = {"ev_seq": 1, "evidence_id": "a", "ts_us": 5, "offset_s": 0, "seq": {"origin": 0, "seq": 1, "place": 0}, "entity_key": "service:s", "entity": '{"service_id":"s"}',
+           "body": "{}", "periods": [R._hint("fixed", 1, 2), R._hint("fixed", 1, 2)], "hint": None, "fresh": False, "active": True, "siblings": None, "anchors": True, "whole": True}
+    state, out = R._replay_step({}, [row])
+    assert [(o["entity"], o["hint"]["end_at"]) for o in out] == [('{"service_id":"s"}', 2)] and len(state["service:s"]) == 1
